@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martsmith.operators.dedup import NULL_KEY_SALT, first_wins, key_columns
+from martsmith.operators.dedup import NULL_KEY_SALT, first_wins, key_columns, with_null_key_salt
 
 
 def anti_existing(batch: DataFrame, existing: DataFrame, key: Sequence[str],
@@ -86,3 +86,40 @@ def guarded_refresh_content(existing: DataFrame, incoming: DataFrame) -> DataFra
     flag = incoming.select(F.lit(1).alias("__has_rows")).limit(1)
     old = existing.withColumn("__has_rows", F.lit(1)).join(F.broadcast(flag), "__has_rows", "left_anti")
     return incoming.unionByName(old.drop("__has_rows"))
+
+
+def insert_ignore_report(existing: DataFrame | None, incoming: DataFrame, key: Sequence[str],
+                         order: Sequence[str | Column] = (), collation: str | None = None) -> DataFrame:
+    """MET-1 as a lazy one-row frame: ``read``, ``deduped_in_batch``, ``already_present``,
+    ``written`` of an insert-ignore of ``incoming`` into ``existing``.
+
+    Counted per key group (a partial aggregate, so a hot key costs one row per
+    map task), then one join of the groups against the distinct target keys.
+    ``order`` does not change counts; it is accepted to mirror the load call."""
+    salted = with_null_key_salt(incoming, key)
+    names = [f"__k{i}" for i in range(len(key))]
+    groups = salted.groupBy(
+        *[kc.alias(n) for kc, n in zip(key_columns(salted, key, collation), names)], NULL_KEY_SALT
+    ).agg(F.count(F.lit(1)).alias("__n"))
+    if existing is not None:
+        tnames = [f"__tk{i}" for i in range(len(key))]
+        tkeys = existing.select(
+            *[kc.alias(n) for kc, n in zip(key_columns(existing, key, collation), tnames)]
+        ).where(" AND ".join(f"{n} IS NOT NULL" for n in tnames)).distinct()
+        tkeys = tkeys.withColumn("__present", F.lit(True)).withColumn(
+            "__tsalt", F.when(F.col(tnames[0]).isNull(), F.lit(-1)).otherwise(F.lit(0)).cast("long"))
+        cond = None
+        for n, tn in zip(names, tnames):
+            eq = F.col(n) == F.col(tn)
+            cond = eq if cond is None else cond & eq
+        cond = cond & (F.col(NULL_KEY_SALT) == F.col("__tsalt"))
+        groups = groups.join(tkeys, cond, "left")
+        present = F.coalesce(F.col("__present"), F.lit(False))
+    else:
+        present = F.lit(False)
+    return groups.agg(
+        F.coalesce(F.sum("__n"), F.lit(0)).cast("long").alias("read"),
+        F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).cast("long").alias("deduped_in_batch"),
+        F.count(F.when(present, 1)).alias("already_present"),
+        F.count(F.when(~present, 1)).alias("written"),
+    )
