@@ -2,16 +2,20 @@
 
 Recipe (the DataFrame form of ``zipWithIndex``):
 
+0. the input is staged once (written under the checkpoint folder) unless the
+   caller passes an already staged frame: a global sort evaluates its input
+   twice (range-boundary sampling, then the shuffle), and this keeps the
+   upstream joins from running twice;
 1. range-partition and sort by the *total* arrival order (``orderBy``; the
    range partitioner samples the whole composite key, so a hot leading value
    is split by the tie-break columns);
-2. ``checkpoint()`` the sorted frame into the shared checkpoint folder: the
-   sampled range boundaries are non-deterministic, so partition contents must
-   be frozen before they are numbered (a lost executor then re-reads the
-   checkpoint instead of re-sampling);
-3. ``monotonically_increasing_id`` = (partition index << 33) + row position;
-   per-partition row counts (one row per partition) give each partition's
-   offset through a running sum;
+2. in the same pass stamp every row with ``monotonically_increasing_id`` =
+   (partition index << 33) + position, and write the result as a staging
+   table under the shared checkpoint folder. The stamp is now stored data: a
+   lost executor or a second read cannot re-sample the range boundaries and
+   move rows between partitions;
+3. per-partition row counts (one row per partition, read back from the
+   staging table) give each partition's offset through a running sum;
 4. id = start + offset(partition) + position + 1 via a broadcast join of the
    offsets, whose size is bounded by the partition count and checked.
 
@@ -21,13 +25,14 @@ The result is unique, dense and above ``start``; equal to a global
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from martsmith.operators.dedup import arrival_order
-from martsmith.session import ensure_checkpoint_dir
+from martsmith.session import scratch_path
 
 _POS_BITS = 33
 # One row per partition in the offsets table; at ~16 bytes a row this bound
@@ -35,6 +40,15 @@ _POS_BITS = 33
 MAX_BROADCAST_PARTITIONS = 1_000_000
 
 
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as a parquet table under the checkpoint folder and read it back
+    (cuts the lineage; the write is a SQL action, so observed metrics fire)."""
+    spark = df.sparkSession
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def assign_surrogate_ids(
     df: DataFrame,
     order: Sequence[str | Column] = (),
@@ -42,25 +56,26 @@ def assign_surrogate_ids(
     start_after: int = 0,
     id_type: str = "int",
     tiebreak_exclude: Sequence[str] = (),
+    input_staged: bool = False,
 ) -> DataFrame:
     """Add ``id_col`` = ``start_after`` + 1, 2, ... following the arrival order.
 
     ``order`` columns come first (ascending, NULLs first); every other column
-    breaks ties. The id column is put first."""
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
+    breaks ties. The id column is put first. Pass ``input_staged=True`` when
+    ``df`` is already a scan of a staged table."""
+    if not input_staged:
+        df = stage(df, "surrogate-input")
     ordered = df.orderBy(*arrival_order(df, order, exclude=tiebreak_exclude))
-    staged = ordered.checkpoint(eager=True)
-    n_parts = staged.rdd.getNumPartitions()
-
-    numbered = staged.withColumn("__mid", F.monotonically_increasing_id()).withColumn(
-        "__part", F.shiftright(F.col("__mid"), _POS_BITS)
-    )
+    staged = stage(ordered.withColumn("__mid", F.monotonically_increasing_id()), "surrogate")
+    numbered = staged.withColumn("__part", F.shiftright(F.col("__mid"), _POS_BITS))
     counts = numbered.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
         "__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off")
     )
+    # bound on the offsets table: one row per partition of the range exchange,
+    # at most spark.sql.shuffle.partitions (AQE only coalesces)
+    n_parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if n_parts <= MAX_BROADCAST_PARTITIONS:
         offsets = F.broadcast(offsets)
     pos = F.col("__mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1))

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from martsmith.operators.conform import COERCED_COL, conform
 from martsmith.operators.dedup import NULL_KEY_SALT, first_wins
 from martsmith.operators.loadplan import anti_existing
-from martsmith.operators.surrogate import assign_surrogate_ids, max_id
+from martsmith.operators.surrogate import assign_surrogate_ids, max_id, stage
 from martsmith.plans.jobs import MARTS, MartSpec
 from martsmith.schemas import TargetSpec
 from martsmith.sources.registry import SourceRegistry
@@ -102,22 +102,22 @@ def load_mart(
     obs_new = Observation(f"{mart.name}_new")
     rows = rows.observe(obs_new, F.count(F.lit(1)).alias("rows"))
 
-    if spec.surrogate:
-        start = 0 if spec.mode == "full_refresh" else max_id(existing, spec.surrogate)
-        id_type = spec.field(spec.surrogate).dataType.simpleString()
-        # materialised in the checkpoint folder: the write below reads it back
-        rows = assign_surrogate_ids(rows, arrival, spec.surrogate, start, id_type)
-    elif spec.mode == "full_refresh":
-        rows = rows.checkpoint()  # the guard below must not re-run the query
-    rows = rows.drop(*arrival)
-
-    if spec.mode == "full_refresh":
-        if rows.isEmpty():
-            report.skipped_empty = True
-        else:
-            target.overwrite(rows)
+    # One evaluation of the whole plan: the new rows are staged in the checkpoint
+    # folder (the observations fire exactly once), and every later step -
+    # empty guard, sort for ids, target write - reads the staged table.
+    rows = stage(rows, f"{mart.name}-rows")
+    if spec.mode == "full_refresh" and rows.isEmpty():
+        report.skipped_empty = True
     else:
-        target.append(rows)
+        if spec.surrogate:
+            start = 0 if spec.mode == "full_refresh" else max_id(existing, spec.surrogate)
+            id_type = spec.field(spec.surrogate).dataType.simpleString()
+            rows = assign_surrogate_ids(rows, arrival, spec.surrogate, start, id_type, input_staged=True)
+        rows = rows.drop(*arrival)
+        if spec.mode == "full_refresh":
+            target.overwrite(rows)
+        else:
+            target.append(rows)
 
     r = obs_read.get
     report.read = int(r.get("rows", 0) or 0)
