@@ -14,8 +14,9 @@ Recipe (the DataFrame form of ``zipWithIndex``):
    table under the shared checkpoint folder. The stamp is now stored data: a
    lost executor or a second read cannot re-sample the range boundaries and
    move rows between partitions;
-3. per-partition row counts (one row per partition, read back from the
-   staging table) give each partition's offset through a running sum;
+3. per-partition row counts (one row per partition of the range exchange,
+   read back from the staging table: a bounded result) give each partition's
+   offset through a running sum;
 4. id = start + offset(partition) + position + 1 via a broadcast join of the
    offsets, whose size is bounded by the partition count and checked.
 
@@ -28,7 +29,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martsmith.operators.dedup import arrival_order
@@ -68,16 +69,21 @@ def assign_surrogate_ids(
     ordered = df.orderBy(*arrival_order(df, order, exclude=tiebreak_exclude))
     staged = stage(ordered.withColumn("__mid", F.monotonically_increasing_id()), "surrogate")
     numbered = staged.withColumn("__part", F.shiftright(F.col("__mid"), _POS_BITS))
-    counts = numbered.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
-    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        "__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off")
+    # one count per partition of the range exchange - at most
+    # spark.sql.shuffle.partitions rows (AQE only coalesces) - so the running
+    # sum is done on the driver and the offsets are broadcast
+    counts = sorted(
+        (int(r["__part"]), int(r["__n"]))
+        for r in numbered.groupBy("__part").agg(F.count(F.lit(1)).alias("__n")).collect()
     )
-    # bound on the offsets table: one row per partition of the range exchange,
-    # at most spark.sql.shuffle.partitions (AQE only coalesces)
-    n_parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    if n_parts <= MAX_BROADCAST_PARTITIONS:
-        offsets = F.broadcast(offsets)
+    if len(counts) > MAX_BROADCAST_PARTITIONS:  # pragma: no cover - needs > 1e6 partitions
+        raise ValueError("too many partitions for the offsets table")
+    running, rows = 0, []
+    for part, n in counts:
+        rows.append((part, running))
+        running += n
+    spark = df.sparkSession
+    offsets = F.broadcast(spark.createDataFrame(rows, "__part long, __off long"))
     pos = F.col("__mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1))
     new_id = (F.lit(int(start_after)) + F.col("__off") + pos + F.lit(1)).cast(id_type)
     out = numbered.join(offsets, "__part").withColumn(id_col, new_id)

@@ -30,7 +30,7 @@ from martsmith.operators.loadplan import (
     insert_ignore_report,
     plan_insert_ignore,
 )
-from martsmith.operators.surrogate import assign_surrogate_ids
+from martsmith.operators.surrogate import assign_surrogate_ids, stage
 from martsmith.plans.jobs import KYC_JSON_PATHS
 from martsmith.plans.runner import mart_rows
 from martsmith.schemas import REFERRALS, spark_type
@@ -230,10 +230,10 @@ def insert_ignore_nullable_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def append_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SNK-4 + SNK-7: the keyless users mart appended twice; ids continue after the first load."""
-    rows = mart_rows(_src(spark, sf_dir), "users")
-    first = assign_surrogate_ids(rows, ["user_id"], "id", 0)
-    n = first.count()
-    second = assign_surrogate_ids(rows, ["user_id"], "id", n)
+    rows = stage(mart_rows(_src(spark, sf_dir), "users"), "users-snapshot")
+    first = assign_surrogate_ids(rows, ["user_id"], "id", 0, input_staged=True)
+    n = rows.count()
+    second = assign_surrogate_ids(rows, ["user_id"], "id", n, input_staged=True)
     return first.withColumn("load_no", F.lit(1)).unionByName(second.withColumn("load_no", F.lit(2)))
 
 

@@ -78,11 +78,24 @@ def load_mart(
       key); an empty batch leaves the old content in place.
     """
     mart = MARTS[mart] if isinstance(mart, str) else mart
-    spec = mart.target
-    report = LoadReport(mart.name, spec.mode)
+    return load_frame(spark, mart.query(src), mart.target, target, on_bad_cast, name=mart.name)
 
-    q, arrival = with_arrival(mart.query(src), spec)
-    obs_read = Observation(f"{mart.name}_read")
+
+def load_frame(
+    spark: SparkSession,
+    query: DataFrame,
+    spec: TargetSpec,
+    target,
+    on_bad_cast: str = "null",
+    name: str | None = None,
+) -> LoadReport:
+    """Load the query-level frame ``query`` into ``target`` following ``spec`` (also the
+    body of each streaming micro-batch)."""
+    name = name or spec.name
+    report = LoadReport(name, spec.mode)
+
+    q, arrival = with_arrival(query, spec)
+    obs_read = Observation(f"{name}_read")
     conformed = conform(q, spec, on_bad_cast=on_bad_cast, keep=tuple(arrival), count_coerced=True)
     conformed = conformed.observe(
         obs_read, F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(COERCED_COL), F.lit(0)).alias("coerced")
@@ -94,18 +107,18 @@ def load_mart(
     rows = conformed
     if spec.key:
         rows = first_wins(rows, spec.key, arrival, spec.key_collation)
-        obs_batch = Observation(f"{mart.name}_batch")
+        obs_batch = Observation(f"{name}_batch")
         rows = rows.observe(obs_batch, F.count(F.lit(1)).alias("rows"))
         if spec.mode == "insert_ignore" and existing is not None:
             rows = anti_existing(rows, existing, spec.key, spec.key_collation)
         rows = rows.drop(NULL_KEY_SALT)
-    obs_new = Observation(f"{mart.name}_new")
+    obs_new = Observation(f"{name}_new")
     rows = rows.observe(obs_new, F.count(F.lit(1)).alias("rows"))
 
     # One evaluation of the whole plan: the new rows are staged in the checkpoint
     # folder (the observations fire exactly once), and every later step -
     # empty guard, sort for ids, target write - reads the staged table.
-    rows = stage(rows, f"{mart.name}-rows")
+    rows = stage(rows, f"{name}-rows")
     if spec.mode == "full_refresh" and rows.isEmpty():
         report.skipped_empty = True
     else:
