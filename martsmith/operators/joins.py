@@ -11,14 +11,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
+# The estimate comes from file sizes (compressed) and column widths, so it can
+# be several times below the in-memory size; keep the bound well under the
+# executor memory a broadcast may take.
+DEFAULT_BROADCAST_BYTES = 32 * 1024 * 1024
 SPREAD_BUCKETS = 4096
 
 
 def estimated_size_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of ``df`` (file sizes and projections; may over-estimate)."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        return int(size if isinstance(size, int) else size.toString())
     except Exception:  # pragma: no cover - estimate not available: treat as large
         return 1 << 62
 
@@ -40,32 +44,20 @@ def lookup(fact: DataFrame, dim: DataFrame, condition: Column, how: str = "left"
     return fact.join(checked_broadcast(dim, max_broadcast_bytes), condition, how)
 
 
-def spread_nulls(df: DataFrame, key: Column, salt_col: str, buckets: int = SPREAD_BUCKETS) -> DataFrame:
-    """Salt for the preserved side of an outer join: 0 for a present key, a hash
-    bucket of the row when the key is NULL. NULL keys never match, so the salt
-    only spreads those rows instead of hashing them all into one partition."""
-    names = df.columns
-    unique = [n for n in names if names.count(n) == 1]  # skip names a join made ambiguous
-    row_hash = F.xxhash64(*[F.col(f"`{n}`") for n in unique])
-    return df.withColumn(salt_col, F.when(key.isNull(), F.pmod(row_hash, F.lit(buckets))).otherwise(F.lit(0)))
+def outer_join_split_nulls(preserved: DataFrame, other: DataFrame, preserved_key: str,
+                           other_key: str, max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """``preserved`` LEFT JOIN ``other`` ON preserved_key = other_key, safe when many
+    preserved rows have a NULL key (orphans of an earlier outer join, dangling facts).
 
-
-def match_salt(df: DataFrame, key: Column, salt_col: str) -> DataFrame:
-    """Salt for the other side: 0 for present keys (never a constant, so the
-    optimizer keeps it as an equi-join key), -1 for NULL keys."""
-    return df.withColumn(salt_col, F.when(key.isNull(), F.lit(-1)).otherwise(F.lit(0)))
-
-
-def outer_join_spread(preserved: DataFrame, other: DataFrame, preserved_key: Column,
-                      other_key: Column, how: str = "left", salt: str = "__spread",
-                      max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
-    """``preserved`` LEFT JOIN ``other`` (or ``other`` RIGHT JOIN ``preserved``) where the
-    preserved key may be NULL for many rows. A small ``other`` side is broadcast
-    (no shuffle, no skew); otherwise both sides get a salt and the join is on
-    (key, salt)."""
+    A small ``other`` side is broadcast: no shuffle, no skew. Otherwise the
+    NULL-key rows - which can never match - are split off before the join and
+    appended afterwards with NULLs for ``other``'s columns, so they are never
+    hashed into a single partition and the other side keeps its partitioning.
+    Column names of the two sides must be distinct; keys are column names."""
     if estimated_size_bytes(other) <= max_broadcast_bytes:
-        return preserved.join(F.broadcast(other), preserved_key == other_key, how)
-    p = spread_nulls(preserved, preserved_key, salt + "_p")
-    o = match_salt(other, other_key, salt + "_o")
-    cond = (preserved_key == other_key) & (p[salt + "_p"] == o[salt + "_o"])
-    return p.join(o, cond, how).drop(salt + "_p", salt + "_o")
+        return preserved.join(F.broadcast(other), F.col(preserved_key) == F.col(other_key), "left")
+    pk = F.col(f"`{preserved_key}`")
+    matched = preserved.where(pk.isNotNull()).join(other, pk == F.col(f"`{other_key}`"), "left")
+    fill = [F.lit(None).cast(f.dataType).alias(f.name) for f in other.schema.fields]
+    orphans = preserved.where(pk.isNull()).select("*", *fill)
+    return matched.unionByName(orphans)

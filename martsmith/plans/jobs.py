@@ -13,7 +13,9 @@ Join plans are written for scale:
   joins whose second predicate references only the joined side this is the
   same result, and no join ever hashes the NULL-extended rows of a previous
   outer join into one partition;
-* right joins are written as left joins from the preserved fact side;
+* right joins are written as left joins from the preserved fact side, and
+  NULL keys of a preserved side are split off before the join instead of being
+  hashed into one partition (``outer_join_split_nulls``);
 * joins whose output is unused under DISTINCT are placed last, where the
   optimizer removes them (see ``tests/test_plans.py``).
 """
@@ -28,7 +30,7 @@ from pyspark.sql import functions as F
 
 from martsmith.functions.scalar import PAYMENT_TYPE_LABELS, decode_codes, full_name, json_fields
 from martsmith.operators.dedup import distinct_rows
-from martsmith.operators.joins import checked_broadcast, outer_join_spread, typed_key
+from martsmith.operators.joins import checked_broadcast, outer_join_split_nulls, typed_key
 from martsmith.schemas import (
     BANK,
     CAMPAIGN,
@@ -78,22 +80,18 @@ _CAMPAIGN_PASSTHROUGH_2 = [
 
 def campaign_query(src: SourceRegistry) -> DataFrame:
     """JOB-2: campaign_masters LEFT JOIN user_types (fan-out) LEFT JOIN admin countries."""
-    cm = src["admin.campaign_masters"].alias("c")
-    ut = src["accounts.user_types"].alias("ut")
-    co = checked_broadcast(src["admin.countries"]).alias("co")
-    q = (
-        cm.join(ut, c("c.user_id") == c("ut.user_id"), "left")
-        .join(co, c("c.country_id") == c("co.id"), "left")
-        .where(c("c.id").isNotNull())
-        .select(
-            c("c.id").alias("campaign_id"),
-            *[c(f"c.`{n}`").alias(n) for n in _CAMPAIGN_PASSTHROUGH],
-            c("co.name").alias("country_name"),
-            *[c(f"c.{n}").alias(n) for n in _CAMPAIGN_PASSTHROUGH_2],
-            c("ut.type_id").alias("user_type_id"),
-        )
+    cm = src["admin.campaign_masters"].where(c("id").isNotNull())
+    ut = src["accounts.user_types"].select(c("user_id").alias("ut_user_id"), c("type_id").alias("user_type_id"))
+    co = src["admin.countries"].select(c("id").alias("co_id"), c("name").alias("country_name"))
+    j = outer_join_split_nulls(cm, ut, "user_id", "ut_user_id")
+    j = j.join(checked_broadcast(co), c("country_id") == c("co_id"), "left")
+    return j.select(
+        c("id").alias("campaign_id"),
+        *[c(f"`{n}`") for n in _CAMPAIGN_PASSTHROUGH],
+        c("country_name"),
+        *[c(n) for n in _CAMPAIGN_PASSTHROUGH_2],
+        c("user_type_id"),
     )
-    return q
 
 
 def campaign_transactions_query(src: SourceRegistry) -> DataFrame:
@@ -236,25 +234,25 @@ def wallet_add_funds_query(src: SourceRegistry) -> DataFrame:
     """JOB-7: users RIGHT JOIN fund_users LEFT JOIN add_funds, payment code decoded, DISTINCT.
 
     Written from the preserved bridge: fund_users LEFT JOIN users LEFT JOIN add_funds."""
-    fu = src["wallet.fund_users"].alias("fu")
-    u = src["accounts.users"].select(c("id").alias("u_id")).alias("u")
-    a = src["wallet.add_funds"].alias("a")
-    j = outer_join_spread(fu, u, c("fu.user_id"), c("u_id"))
-    j = outer_join_spread(j, a, c("fu.fund_id"), c("a.id"))
-    q = j.select(
-        c("u_id").alias("user_id"),
-        c("a.amount").alias("add_funds_amount"),
-        c("a.currency").alias("add_funds_currency"),
-        c("a.base_currency").alias("add_funds_base_currency_USD"),
-        c("a.converted_amount").alias("add_funds_converted_amount_USD"),
-        c("a.updated_amount").alias("add_funds_updated_amount"),
-        c("a.date").alias("add_funds_date"),
-        decode_codes(c("a.payment_type"), PAYMENT_TYPE_LABELS).alias("add_funds_payment_type"),
-        c("a.transaction_id").alias("add_funds_transaction_id"),
-        c("a.is_approved").alias("add_funds_status"),
-        c("a.created_at").alias("add_funds_created_at"),
-        c("a.updated_at").alias("add_funds_updated_at"),
+    fu = src["wallet.fund_users"].select(c("user_id").alias("fu_user_id"), c("fund_id"))
+    u = src["accounts.users"].select(c("id").alias("u_id"))
+    a = src["wallet.add_funds"].select(
+        c("id").alias("a_id"),
+        c("amount").alias("add_funds_amount"),
+        c("currency").alias("add_funds_currency"),
+        c("base_currency").alias("add_funds_base_currency_USD"),
+        c("converted_amount").alias("add_funds_converted_amount_USD"),
+        c("updated_amount").alias("add_funds_updated_amount"),
+        c("date").alias("add_funds_date"),
+        decode_codes(c("payment_type"), PAYMENT_TYPE_LABELS).alias("add_funds_payment_type"),
+        c("transaction_id").alias("add_funds_transaction_id"),
+        c("is_approved").alias("add_funds_status"),
+        c("created_at").alias("add_funds_created_at"),
+        c("updated_at").alias("add_funds_updated_at"),
     )
+    j = outer_join_split_nulls(fu, u, "fu_user_id", "u_id")
+    j = outer_join_split_nulls(j, a, "fund_id", "a_id")
+    q = j.select(c("u_id").alias("user_id"), *[n for n in a.columns if n != "a_id"])
     return distinct_rows(q)
 
 
@@ -263,32 +261,32 @@ def wallet_withdraw_funds_query(src: SourceRegistry) -> DataFrame:
 
     The bank join only references ``u.id``, so users are joined to their bank
     infos first and the withdrawals then keep every row (orphans get NULLs)."""
-    w = src["wallet.withdraw_funds"].alias("w")
-    ub = src["admin.user_bank_infos"].alias("ub")
-    u = src["accounts.users"].select(c("id").alias("u_id"))
-    ubank = u.join(ub, c("u_id") == c("ub.user_id"), "left").select(
-        "u_id", c("ub.bank_name"), c("ub.ac_name"), c("ub.ac_no"), c("ub.country_id"),
-        c("ub.branch"), c("ub.iban"), c("ub.home_address"), c("ub.swift_code"),
+    w = src["wallet.withdraw_funds"].select(
+        c("user_id").alias("w_user_id"),
+        c("amount").alias("withdraw_funds_amount"),
+        c("currency").alias("withdraw_funds_currency"),
+        c("base_currency").alias("withdraw_funds_base_currency"),
+        c("exchange_rate").alias("withdraw_funds_exchange_rate"),
+        c("converted_amount").alias("withdraw_funds_converted_amount"),
+        c("remaining_balance").alias("withdraw_funds_remaining_balance"),
+        c("bank").alias("withdraw_funds_bank_id"),
+        decode_codes(c("payment_type"), PAYMENT_TYPE_LABELS).alias("withdraw_funds_payment_type"),
+        c("is_processed").alias("withdraw_funds_status"),
+        c("created_at").alias("withdraw_funds_created_at"),
+        c("updated_at").alias("withdraw_funds_updated_at"),
     )
-    j = outer_join_spread(w, ubank, c("w.user_id"), c("u_id"))
+    ub = src["admin.user_bank_infos"].select(
+        c("user_id").alias("ub_user_id"), c("bank_name"), c("ac_name").alias("account_name"),
+        c("ac_no").alias("account_num"), c("country_id"), c("branch"), c("iban"),
+        c("home_address"), c("swift_code"),
+    )
+    u = src["accounts.users"].select(c("id").alias("u_id"))
+    ubank = u.join(ub, c("u_id") == c("ub_user_id"), "left").drop("ub_user_id")
+    j = outer_join_split_nulls(w, ubank, "w_user_id", "u_id")
     return j.select(
         c("u_id").alias("user_id"),
-        c("w.amount").alias("withdraw_funds_amount"),
-        c("w.currency").alias("withdraw_funds_currency"),
-        c("w.base_currency").alias("withdraw_funds_base_currency"),
-        c("w.exchange_rate").alias("withdraw_funds_exchange_rate"),
-        c("w.converted_amount").alias("withdraw_funds_converted_amount"),
-        c("w.remaining_balance").alias("withdraw_funds_remaining_balance"),
-        c("w.bank").alias("withdraw_funds_bank_id"),
-        decode_codes(c("w.payment_type"), PAYMENT_TYPE_LABELS).alias("withdraw_funds_payment_type"),
-        c("w.is_processed").alias("withdraw_funds_status"),
-        c("w.created_at").alias("withdraw_funds_created_at"),
-        c("w.updated_at").alias("withdraw_funds_updated_at"),
-        c("bank_name"),
-        c("ac_name").alias("account_name"),
-        c("ac_no").alias("account_num"),
-        c("country_id"),
-        c("branch"), c("iban"), c("home_address"), c("swift_code"),
+        *[n for n in w.columns if n != "w_user_id"],
+        *[n for n in ubank.columns if n != "u_id"],
     )
 
 
