@@ -59,8 +59,15 @@ def _default_value(dt: T.DataType):
 
 
 def convert(src: Column, src_type: T.DataType, field: T.StructField,
-            on_bad_cast: str = "null") -> tuple[Column, Column]:
-    """Return (converted value, changed flag) for one column."""
+            on_bad_cast: str = "null", want_flag: bool = True) -> tuple[Column, Column | None]:
+    """Return (converted value, changed flag) for one column; the flag is None when
+    ``want_flag`` is false (building expressions is a driver-side cost)."""
+    value, changed = _convert(src, src_type, field, on_bad_cast, want_flag)
+    return value, (F.coalesce(changed, F.lit(False)) if want_flag else None)
+
+
+def _convert(src: Column, src_type: T.DataType, field: T.StructField,
+             on_bad_cast: str, want_flag: bool) -> tuple[Column, Column]:
     dt = field.dataType
     changed = F.lit(False)
 
@@ -71,9 +78,10 @@ def convert(src: Column, src_type: T.DataType, field: T.StructField,
         value = src if isinstance(src_type, T.StringType) else src.cast("string")
         n = field.metadata.get(VARCHAR_META)
         if n:
-            changed = F.length(value) > F.lit(n)
+            if want_flag:
+                changed = F.length(value) > F.lit(n)
             value = F.substring(value, 1, n)
-        return value, F.coalesce(changed, F.lit(False))
+        return value, changed
 
     if isinstance(dt, (T.ByteType, T.IntegerType, T.LongType, T.DecimalType)):
         if isinstance(src_type, _INTEGRAL) and isinstance(dt, _INTEGRAL):
@@ -86,7 +94,7 @@ def convert(src: Column, src_type: T.DataType, field: T.StructField,
             num = src
         else:
             num = src.try_cast(T.DecimalType(38, 10))
-        failed = src.isNotNull() & num.isNull()
+        failed = src.isNotNull() & num.isNull() if (want_flag or on_bad_cast == "zero") else None
         if isinstance(dt, T.DecimalType):
             hi = _decimal_bound(dt)
             lo_lit, hi_lit = F.lit(-hi), F.lit(hi)
@@ -97,29 +105,31 @@ def convert(src: Column, src_type: T.DataType, field: T.StructField,
                 num = F.round(num, 0)
         if isinstance(src_type, (T.DoubleType, T.FloatType)):
             lo_lit, hi_lit = lo_lit.cast("double"), hi_lit.cast("double")
-        out_of_range = (num > hi_lit) | (num < lo_lit)
         clamped = F.when(num > hi_lit, hi_lit).when(num < lo_lit, lo_lit).otherwise(num)
         value = clamped.cast(dt)
         if on_bad_cast == "zero":
             value = F.when(failed, F.lit(0).cast(dt)).otherwise(value)
-        changed = F.coalesce(failed | out_of_range, F.lit(False))
+        if want_flag:
+            changed = failed | (num > hi_lit) | (num < lo_lit)
         return value, changed
 
     if isinstance(dt, T.DateType):
         if isinstance(src_type, T.StringType):
             value = F.trim(src).try_cast(T.DateType())
-            changed = src.isNotNull() & value.isNull()
+            if want_flag:
+                changed = src.isNotNull() & value.isNull()
         else:
             value = src.cast(T.DateType())
-        return value, F.coalesce(changed, F.lit(False))
+        return value, changed
 
     if isinstance(dt, (T.TimestampNTZType, T.TimestampType)):
         if isinstance(src_type, T.StringType):
             value = F.trim(src).try_cast(dt)
-            changed = src.isNotNull() & value.isNull()
+            if want_flag:
+                changed = src.isNotNull() & value.isNull()
         else:
             value = src.cast(dt)
-        return value, F.coalesce(changed, F.lit(False))
+        return value, changed
 
     return src.cast(dt), changed
 
@@ -143,20 +153,23 @@ def conform(
     out, flags = [], []
     for field in target.load_schema.fields:
         if field.name in types:
-            value, changed = convert(F.col(f"`{field.name}`"), types[field.name], field, on_bad_cast)
+            value, changed = convert(F.col(f"`{field.name}`"), types[field.name], field, on_bad_cast,
+                                     want_flag=count_coerced)
         else:
-            value, changed = F.lit(None).cast(field.dataType), F.lit(False)
+            value, changed = F.lit(None).cast(field.dataType), None
         if field.name in target.not_null:
             default = _default_value(field.dataType)
             if default is not None:
-                changed = changed | value.isNull()
+                if count_coerced:
+                    changed = value.isNull() if changed is None else (changed | value.isNull())
                 value = F.coalesce(value, default)
         out.append(value.alias(field.name))
-        flags.append(F.when(changed, 1).otherwise(0))
+        if count_coerced and changed is not None:
+            flags.append(F.when(changed, 1).otherwise(0))
     extra = [F.col(f"`{k}`") for k in keep]
     if count_coerced:
-        total = flags[0]
-        for f in flags[1:]:
+        total = F.lit(0)
+        for f in flags:
             total = total + f
         extra.append(total.alias(COERCED_COL))
     return df.select(*out, *extra)

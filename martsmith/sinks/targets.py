@@ -12,7 +12,6 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.utils import AnalysisException
 
 from martsmith.schemas import TargetSpec
 
@@ -29,11 +28,11 @@ class ParquetTarget:
     path: str
 
     def exists(self, spark: SparkSession) -> bool:
-        try:
-            spark.read.schema(self.spec.schema).parquet(self.path).limit(0).collect()
-            return True
-        except AnalysisException:
-            return False
+        """A metadata call on the target's file system (no Spark job)."""
+        jvm = spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(self.path)
+        fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        return bool(fs.exists(path))
 
     def create_if_missing(self, spark: SparkSession) -> None:
         if not self.exists(spark):
