@@ -9,6 +9,7 @@ stages its sorted input under the session's checkpoint folder.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -271,6 +272,30 @@ def load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return insert_ignore_report(existing, li, _LI_KEY, ["l_shipdate"])
 
 
+def incremental_referrals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Structured Streaming: the referrals load run incrementally over the orders files
+    (``availableNow`` file stream, each micro-batch an insert-ignore), then read back."""
+    from martsmith.plans.jobs import referrals_query
+    from martsmith.schemas import REFERRALS as spec
+    from martsmith.session import scratch_path
+    from martsmith.sinks import ParquetTarget
+    from martsmith.sources.registry import SourceRegistry
+    from martsmith.sources.standins import standin_frame
+    from martsmith.streaming import incremental_load
+
+    run = scratch_path(spark, f"incremental-referrals-{uuid.uuid4().hex[:12]}")
+    target = ParquetTarget(spec, f"{run}/target")
+    schema = spark.read.parquet(f"{sf_dir}/orders.parquet").schema
+
+    def to_query(batch: DataFrame) -> DataFrame:
+        rt = standin_frame(batch, "admin.referral_transactions")
+        return referrals_query(SourceRegistry(spark, {"admin.referral_transactions": rt}))
+
+    incremental_load(spark, f"{sf_dir.rstrip('/')}/orders.parque[t]", schema, spec, target, to_query,
+                     checkpoint_location=f"{run}/stream", base_path=sf_dir)
+    return target.read(spark)
+
+
 QUERIES: dict[str, Query] = {
     "referrals_mart": _mart("referrals"),
     "transactions_mart": _mart("campaign_transactions"),
@@ -299,4 +324,5 @@ QUERIES: dict[str, Query] = {
     "full_refresh": full_refresh,
     "surrogate_id": surrogate_id,
     "load_report": load_report,
+    "incremental_referrals": incremental_referrals,
 }

@@ -381,4 +381,5 @@ ORACLES: dict[str, str] = {
     "full_refresh": FULL_REFRESH_SQL,
     "surrogate_id": SURROGATE_ID_SQL,
     "load_report": LOAD_REPORT_SQL,
+    "incremental_referrals": REFERRALS_SQL,
 }

@@ -309,6 +309,13 @@ def _view(raw: SourceRegistry, table: str, cols: dict[str, tuple[str, str]]):
     return build
 
 
+def standin_frame(base: DataFrame, name: str) -> DataFrame:
+    """Apply stand-in ``name``'s expressions to ``base``, a frame shaped like its test table
+    (e.g. a micro-batch of new files)."""
+    _, cols = STANDINS[name]
+    return base.selectExpr(*[f"{expr} AS `{c}`" for c, (expr, _) in cols.items()])
+
+
 def standin_sql(name: str) -> str:
     """DuckDB subquery text producing the same stand-in table (for the SQL oracle)."""
     table, cols = STANDINS[name]

@@ -35,9 +35,11 @@ def incremental_load(
     to_query: Callable[[DataFrame], DataFrame] | None = None,
     checkpoint_location: str | None = None,
     max_files_per_trigger: int | None = None,
+    base_path: str | None = None,
 ) -> list[LoadReport]:
     """Load every new parquet file of ``source_dir`` into ``target`` and stop.
 
+    ``source_dir`` is a folder or a glob (with ``base_path`` set to its folder).
     ``to_query`` turns a micro-batch of source rows into the mart's query-level
     frame (projection, renames, lookups against static tables). Returns one
     load report per micro-batch. Re-running with the same
@@ -46,6 +48,8 @@ def incremental_load(
         raise ValueError("a full refresh target cannot be loaded incrementally")
     ckpt = checkpoint_location or scratch_path(spark, f"stream-{spec.name}-{uuid.uuid4().hex[:8]}")
     reader = spark.readStream.schema(source_schema)
+    if base_path:
+        reader = reader.option("basePath", base_path)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     stream = reader.parquet(source_dir)
