@@ -5,7 +5,7 @@ from martsmith.operators.dedup import arrival_order, distinct_rows, first_wins
 from martsmith.operators.joins import (
     checked_broadcast,
     lookup,
-    outer_join_split_nulls,
+    skew_safe_left_join,
     typed_key,
 )
 from martsmith.operators.loadplan import (
@@ -26,7 +26,7 @@ __all__ = [
     "guarded_refresh_content",
     "lookup",
     "max_id",
-    "outer_join_split_nulls",
+    "skew_safe_left_join",
     "plan_append",
     "plan_full_refresh",
     "plan_insert_ignore",

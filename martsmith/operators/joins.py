@@ -44,20 +44,48 @@ def lookup(fact: DataFrame, dim: DataFrame, condition: Column, how: str = "left"
     return fact.join(checked_broadcast(dim, max_broadcast_bytes), condition, how)
 
 
-def outer_join_split_nulls(preserved: DataFrame, other: DataFrame, preserved_key: str,
-                           other_key: str, max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
-    """``preserved`` LEFT JOIN ``other`` ON preserved_key = other_key, safe when many
-    preserved rows have a NULL key (orphans of an earlier outer join, dangling facts).
-
-    A small ``other`` side is broadcast: no shuffle, no skew. Otherwise the
-    NULL-key rows - which can never match - are split off before the join and
-    appended afterwards with NULLs for ``other``'s columns, so they are never
-    hashed into a single partition and the other side keeps its partitioning.
-    Column names of the two sides must be distinct; keys are column names."""
-    if estimated_size_bytes(other) <= max_broadcast_bytes:
-        return preserved.join(F.broadcast(other), F.col(preserved_key) == F.col(other_key), "left")
+def rescan_is_cheap(df: DataFrame) -> bool:
+    """True when ``df`` is scans, filters and projections only (no join, aggregate,
+    window or sort), so reading it again in a second branch costs a scan, not a shuffle."""
+    try:
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+    except Exception:  # pragma: no cover
+        return False
+    return not any(op in plan for op in ("Join ", "Aggregate ", "Window ", "Sort ", "Union", "Generate "))
+
+
+def skew_safe_left_join(preserved: DataFrame, other: DataFrame, preserved_key: str, other_key: str,
+                        max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
+                        other_keys: DataFrame | None = None) -> DataFrame:
+    """``preserved`` LEFT JOIN ``other`` ON preserved_key = other_key, planned so that no
+    key - and not NULL either - can put a third of the rows into one task.
+
+    * ``other`` small (checked estimate): broadcast hash join, no shuffle at all.
+    * ``preserved`` cheap to read again (scans/projections): three branches,
+      - complete keys INNER JOIN ``other``: AQE may split a hot key on *both*
+        sides (a left outer join only allows splitting the preserved side, so a
+        key with a huge fan-out on ``other`` would stay in one task);
+      - complete keys LEFT ANTI JOIN the *distinct* keys of ``other`` (a partial
+        aggregate: a hot key is one row), extended with NULLs;
+      - NULL keys, which can never match, extended with NULLs without entering
+        any exchange.
+    * otherwise a plain left join; AQE splits hot partitions of the preserved side.
+
+    Column names of the two sides must be distinct; keys are column names.
+    ``other_keys`` (one column) may give the key set of ``other`` from a cheaper
+    source when ``other`` is itself a join that preserves its key side."""
     pk = F.col(f"`{preserved_key}`")
-    matched = preserved.where(pk.isNotNull()).join(other, pk == F.col(f"`{other_key}`"), "left")
+    ok = F.col(f"`{other_key}`")
+    if estimated_size_bytes(other) <= max_broadcast_bytes:
+        return preserved.join(F.broadcast(other), pk == ok, "left")
+    if not rescan_is_cheap(preserved):
+        return preserved.join(other, pk == ok, "left")
     fill = [F.lit(None).cast(f.dataType).alias(f.name) for f in other.schema.fields]
+    keyed = preserved.where(pk.isNotNull())
+    matched = keyed.join(other, pk == ok, "inner")
+    keys_src = other.select(ok) if other_keys is None else other_keys
+    keys = keys_src.toDF("__other_key").where(F.col("__other_key").isNotNull()).distinct()
+    unmatched = keyed.join(keys, pk == F.col("__other_key"), "left_anti").select("*", *fill)
     orphans = preserved.where(pk.isNull()).select("*", *fill)
-    return matched.unionByName(orphans)
+    return matched.unionByName(unmatched).unionByName(orphans)
+

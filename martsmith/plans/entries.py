@@ -25,7 +25,7 @@ from martsmith.functions.scalar import (
 )
 from martsmith.operators.conform import conform, convert
 from martsmith.operators.dedup import distinct_rows, first_wins, NULL_KEY_SALT
-from martsmith.operators.joins import checked_broadcast, outer_join_split_nulls, typed_key
+from martsmith.operators.joins import checked_broadcast, skew_safe_left_join, typed_key
 from martsmith.operators.loadplan import (
     guarded_refresh_content,
     insert_ignore_report,
@@ -71,7 +71,7 @@ def bridge_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select(c("b.user_id").alias("bt_user_id"), c("b.type_id"), c("t.type").alias("user_type"))
     )
     u = src["accounts.users"].select(c("id").alias("user_id"))
-    return outer_join_split_nulls(u, bt, "user_id", "bt_user_id").select("user_id", "type_id", "user_type")
+    return skew_safe_left_join(u, bt, "user_id", "bt_user_id").select("user_id", "type_id", "user_type")
 
 
 def orphan_fact_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,7 +81,7 @@ def orphan_fact_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = src["wallet.withdraw_funds"].select(
         c("user_id").alias("w_user_id"), c("amount"), c("bank"), c("created_at")
     )
-    return outer_join_split_nulls(w, u, "w_user_id", "user_id").select(
+    return skew_safe_left_join(w, u, "w_user_id", "user_id").select(
         "user_id", "w_user_id", "amount", "bank", "created_at"
     )
 

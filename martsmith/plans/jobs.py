@@ -13,9 +13,10 @@ Join plans are written for scale:
   joins whose second predicate references only the joined side this is the
   same result, and no join ever hashes the NULL-extended rows of a previous
   outer join into one partition;
-* right joins are written as left joins from the preserved fact side, and
-  NULL keys of a preserved side are split off before the join instead of being
-  hashed into one partition (``outer_join_split_nulls``);
+* right joins are written as left joins from the preserved fact side;
+* a left join straight off a scan goes through ``skew_safe_left_join``: inner
+  join (AQE may split a hot key on both sides) + anti join against the distinct
+  keys + the NULL-key rows, which never enter an exchange;
 * joins whose output is unused under DISTINCT are placed last, where the
   optimizer removes them (see ``tests/test_plans.py``).
 """
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 
 from martsmith.functions.scalar import PAYMENT_TYPE_LABELS, decode_codes, full_name, json_fields
 from martsmith.operators.dedup import distinct_rows
-from martsmith.operators.joins import checked_broadcast, outer_join_split_nulls, typed_key
+from martsmith.operators.joins import checked_broadcast, skew_safe_left_join, typed_key
 from martsmith.schemas import (
     BANK,
     CAMPAIGN,
@@ -49,17 +50,12 @@ c = F.col
 
 def bank_query(src: SourceRegistry) -> DataFrame:
     """JOB-1: users LEFT JOIN user_bank_infos, ids not NULL, DISTINCT."""
-    u = src["accounts.users"].alias("u")
-    ub = src["admin.user_bank_infos"].alias("ub")
-    q = (
-        u.join(ub, c("u.id") == c("ub.user_id"), "left")
-        .where(c("u.id").isNotNull())
-        .select(
-            c("u.id").alias("user_id"),
-            c("ub.bank_name"), c("ub.ac_name"), c("ub.ac_no"), c("ub.branch"),
-            c("ub.swift_code"), c("ub.iban"), c("ub.home_address"),
-        )
+    u = src["accounts.users"].where(c("id").isNotNull()).select(c("id").alias("user_id"))
+    ub = src["admin.user_bank_infos"].select(
+        c("user_id").alias("ub_user_id"), "bank_name", "ac_name", "ac_no", "branch",
+        "swift_code", "iban", "home_address",
     )
+    q = skew_safe_left_join(u, ub, "user_id", "ub_user_id").drop("ub_user_id")
     return distinct_rows(q)
 
 
@@ -83,7 +79,7 @@ def campaign_query(src: SourceRegistry) -> DataFrame:
     cm = src["admin.campaign_masters"].where(c("id").isNotNull())
     ut = src["accounts.user_types"].select(c("user_id").alias("ut_user_id"), c("type_id").alias("user_type_id"))
     co = src["admin.countries"].select(c("id").alias("co_id"), c("name").alias("country_name"))
-    j = outer_join_split_nulls(cm, ut, "user_id", "ut_user_id")
+    j = skew_safe_left_join(cm, ut, "user_id", "ut_user_id")
     j = j.join(checked_broadcast(co), c("country_id") == c("co_id"), "left")
     return j.select(
         c("id").alias("campaign_id"),
@@ -105,19 +101,15 @@ def campaign_transactions_query(src: SourceRegistry) -> DataFrame:
 
 def issuer_onboardings_query(src: SourceRegistry) -> DataFrame:
     """JOB-4: issuer_onboardings LEFT JOIN campaign_masters on the issuer's user id."""
-    i = src["admin.issuer_onboardings"].alias("i")
-    b = src["admin.campaign_masters"].select("id", "user_id").alias("b")
+    i = src["admin.issuer_onboardings"].where(c("issuer_id").isNotNull())
+    b = src["admin.campaign_masters"].select(c("id").alias("campaign_id"), c("user_id").alias("b_user_id"))
     passthrough = [n for n, _ in ISSUER_ONBOARDINGS.columns
                    if n not in ("id", "campaign_id", "issuer_id", "on_boarding_status")]
-    return (
-        i.join(b, c("i.issuer_id") == c("b.user_id"), "left")
-        .where(c("i.issuer_id").isNotNull())
-        .select(
-            c("i.issuer_id"),
-            c("b.id").alias("campaign_id"),
-            *[c(f"i.{n}").alias(n) for n in passthrough],
-            c("i.status").alias("on_boarding_status"),
-        )
+    return skew_safe_left_join(i, b, "issuer_id", "b_user_id").select(
+        c("issuer_id"),
+        c("campaign_id"),
+        *[c(n) for n in passthrough],
+        c("status").alias("on_boarding_status"),
     )
 
 
@@ -170,7 +162,7 @@ def users_query(src: SourceRegistry, json_null: str = "sql", dead_joins: bool =
 
     The KYC documents are parsed once per document (before the fan-out), and
     the KYC chain and the user-type bridge are joined on their own first."""
-    u = src["accounts.users"].alias("u")
+    u = src["accounts.users"].where(c("id").isNotNull()).alias("u")
     cntrs = checked_broadcast(src["accounts.countries"]).alias("cntrs")
     a = src["accounts.aml_stores"].alias("a")
     ic = checked_broadcast(src["accounts.investor_categories"]).alias("ic")
@@ -196,28 +188,32 @@ def users_query(src: SourceRegistry, json_null: str = "sql", dead_joins: bool =
     )
     kyc = k.join(ke, c("k_id") == c("kyc_info_id"), "left").drop("k_id")
 
+    # the widest per-user fan-out (KYC) is joined straight off the users scan, where
+    # the skew-safe form applies; the bridge then follows as a plain left join
+    uid = u.select(c("u.id").alias("u_id"), *[c(f"u.`{n}`").alias(f"u_{n}") for n in u.columns if n != "id"])
     j = (
-        u.join(cntrs, c("u.country_id") == c("cntrs.id"), "left")
-        .join(bt, c("u.id") == c("bt_user_id"), "left")
-        .join(kyc, c("u.id") == c("k_user_id"), "left")
-        .join(a, c("u.id") == c("a.id"), "left")
-        .join(ic, c("u.investor_category_id") == c("ic.id"), "left")
+        skew_safe_left_join(uid, kyc, "u_id", "k_user_id",
+                            other_keys=src["accounts.kyc_infos"].select(typed_key(c("namescan_id"))))
+        .join(bt, c("u_id") == c("bt_user_id"), "left")
+        .join(cntrs, c("u_country_id") == c("cntrs.id"), "left")
+        .join(a, c("u_id") == c("a.id"), "left")
+        .join(ic, c("u_investor_category_id") == c("ic.id"), "left")
     )
     if dead_joins:
         # JN-06, JN-11, JN-14: written in the source query, no column used.
         j = (
-            j.join(src["accounts.cities"].alias("cities"), c("u.country_id") == c("cities.id"), "left")
-            .join(src["accounts.states"].alias("s"), c("u.id") == c("s.id"), "left")
-            .join(src["accounts.user_types"].alias("utp"), c("u.id") == c("utp.user_id"), "left")
+            j.join(src["accounts.cities"].alias("cities"), c("u_country_id") == c("cities.id"), "left")
+            .join(src["accounts.states"].alias("s"), c("u_id") == c("s.id"), "left")
+            .join(src["accounts.user_types"].alias("utp"), c("u_id") == c("utp.user_id"), "left")
         )
-    q = j.where(c("u.id").isNotNull()).select(
-        c("u.id").alias("user_id"),
-        c("u.email"),
-        full_name(c("u.first_name"), c("u.last_name")).alias("full_name"),
-        *[c(f"u.{n}").alias(n) for n in _USER_COLS[1:]],
-        c("u.created_at").alias("user_created_at"),
-        c("u.updated_at").alias("user_updated_at"),
-        *[c(f"u.{n}").alias(n) for n in _USER_COLS_2],
+    q = j.select(
+        c("u_id").alias("user_id"),
+        c("u_email").alias("email"),
+        full_name(c("u_first_name"), c("u_last_name")).alias("full_name"),
+        *[c(f"u_{n}").alias(n) for n in _USER_COLS[1:]],
+        c("u_created_at").alias("user_created_at"),
+        c("u_updated_at").alias("user_updated_at"),
+        *[c(f"u_{n}").alias(n) for n in _USER_COLS_2],
         c("cntrs.name").alias("country"),
         c("user_type"),
         c("a.aml_record"),
@@ -250,8 +246,8 @@ def wallet_add_funds_query(src: SourceRegistry) -> DataFrame:
         c("created_at").alias("add_funds_created_at"),
         c("updated_at").alias("add_funds_updated_at"),
     )
-    j = outer_join_split_nulls(fu, u, "fu_user_id", "u_id")
-    j = outer_join_split_nulls(j, a, "fund_id", "a_id")
+    j = skew_safe_left_join(fu, u, "fu_user_id", "u_id")
+    j = skew_safe_left_join(j, a, "fund_id", "a_id")
     q = j.select(c("u_id").alias("user_id"), *[n for n in a.columns if n != "a_id"])
     return distinct_rows(q)
 
@@ -281,8 +277,9 @@ def wallet_withdraw_funds_query(src: SourceRegistry) -> DataFrame:
         c("home_address"), c("swift_code"),
     )
     u = src["accounts.users"].select(c("id").alias("u_id"))
-    ubank = u.join(ub, c("u_id") == c("ub_user_id"), "left").drop("ub_user_id")
-    j = outer_join_split_nulls(w, ubank, "w_user_id", "u_id")
+    ubank = skew_safe_left_join(u, ub, "u_id", "ub_user_id").drop("ub_user_id")
+    # ubank keeps every user, so its key set is the users' ids
+    j = skew_safe_left_join(w, ubank, "w_user_id", "u_id", other_keys=u)
     return j.select(
         c("u_id").alias("user_id"),
         *[n for n in w.columns if n != "w_user_id"],
