@@ -141,3 +141,11 @@ def load_frame(
     report.already_present = batch_rows - new_rows
     report.written = 0 if report.skipped_empty else new_rows
     return report
+
+
+def load_all(spark: SparkSession, src: SourceRegistry, targets: dict,
+             names: list[str] | None = None, on_bad_cast: str = "null") -> list[LoadReport]:
+    """Run the marts one after another (each an independent job, as the source jobs are);
+    ``targets`` maps mart name -> target."""
+    return [load_mart(spark, src, n, targets[n], on_bad_cast) for n in (names or list(MARTS))]
+

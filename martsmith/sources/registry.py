@@ -13,6 +13,16 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+# The operational tables the marts read, as ``<schema>.<table>``: three source
+# schemas (user accounts, admin/campaigns, wallet) on one server.
+SOURCE_TABLES = (
+    "accounts.users accounts.countries accounts.cities accounts.user_types accounts.types "
+    "accounts.kyc_infos accounts.kyc_ex_platforms accounts.states accounts.aml_stores "
+    "accounts.investor_categories admin.user_bank_infos admin.campaign_masters admin.countries "
+    "admin.campaign_transactions admin.issuer_onboardings admin.referral_transactions "
+    "wallet.fund_users wallet.add_funds wallet.withdraw_funds"
+).split()
+
 # The raw tables of the test data set.
 TEST_TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -147,3 +157,29 @@ def parquet_dir_registry(spark: SparkSession, sf_dir: str,
                          names: tuple[str, ...] = tuple(TEST_TABLES)) -> SourceRegistry:
     """One scan per ``{sf_dir}/{name}.parquet`` (read-only test data, resolved once per session)."""
     return SourceRegistry(spark, {n: _shared_scan(f"{sf_dir.rstrip('/')}/{n}.parquet") for n in names})
+
+
+def jdbc_registry(spark: SparkSession, url: str, databases: Mapping[str, str],
+                  properties: Mapping[str, str] | None = None,
+                  partitioning: Mapping[str, tuple[str, int, int, int]] | None = None,
+                  fetchsize: int = 10_000) -> SourceRegistry:
+    """Registry of all operational tables behind one JDBC server.
+
+    ``databases`` maps the logical schema (``accounts``, ``admin``, ``wallet``) to the
+    database name on the server; ``partitioning`` gives (column, lower, upper,
+    partitions) per logical table for parallel range reads of the big tables."""
+    partitioning = partitioning or {}
+    tables = {}
+    for name in SOURCE_TABLES:
+        schema, table = name.split(".", 1)
+        col, lo, hi, n = partitioning.get(name, (None, None, None, None))
+        tables[name] = JdbcTable(url, f"{databases[schema]}.{table}", dict(properties or {}),
+                                 col, lo, hi, n, fetchsize)
+    return SourceRegistry(spark, tables)
+
+
+def parquet_registry(spark: SparkSession, root: str) -> SourceRegistry:
+    """Registry of operational tables exported as parquet under ``{root}/{schema}/{table}``."""
+    root = root.rstrip("/")
+    return SourceRegistry(spark, {n: ParquetTable(f"{root}/{n.replace('.', '/')}") for n in SOURCE_TABLES})
+

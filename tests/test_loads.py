@@ -86,3 +86,21 @@ def test_incremental_insert_ignore(spark, tmp_path):
     assert sum(r.read for r in r1) == n1
     assert sum(r.already_present for r in r2) == n1
     assert rows(target.read(spark)) == rows(mart_rows(standin_registry(spark, SF0001), "referrals"))
+
+
+def test_parquet_export_registry_and_cli(spark, tmp_path):
+    """Operational tables exported as <root>/<schema>/<table> load like the stand-ins."""
+    from martsmith.__main__ import main
+    from martsmith.sources import STANDINS, parquet_registry
+
+    src = standin_registry(spark, SF0001)
+    root = tmp_path / "exports"
+    for name in ("admin.referral_transactions", "accounts.users", "admin.user_bank_infos"):
+        schema, table = name.split(".")
+        src[name].write.parquet(str(root / schema / table))
+    reg = parquet_registry(spark, str(root))
+    assert rows(mart_rows(reg, "bank")) == rows(mart_rows(src, "bank"))
+    assert main(["--sources", str(root), "--targets", str(tmp_path / "marts"), "--mart", "referrals"]) == 0
+    out = spark.read.parquet(str(tmp_path / "marts" / "referrals"))
+    assert rows(out) == rows(mart_rows(src, "referrals"))
+    assert "admin.referral_transactions" in STANDINS
