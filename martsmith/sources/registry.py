@@ -67,21 +67,25 @@ class JdbcTable:
 class ParquetTable:
     """A parquet folder or file.
 
-    ``spread_below_bytes``: a table larger than this whose scan yields fewer
-    splits than the session's default parallelism (a few large files with one
-    row group each) is spread round-robin over that many partitions, so the
+    A table between ``spread_min_bytes`` and ``spread_max_bytes`` whose scan
+    yields fewer splits than the session's default parallelism (a few files with
+    one row group each) is spread round-robin over that many partitions, so the
     per-row work before the first shuffle (JSON parsing, conform, partial
-    aggregation) does not run in a single task. On a cluster reading many
-    files the scan already has enough splits and this is a no-op."""
+    aggregation) does not run in a single task. The exchange this adds is
+    bounded by ``spread_max_bytes``; bigger tables keep their file splits, which
+    at that size already give tasks of ``spark.sql.files.maxPartitionBytes``."""
 
     path: str
-    spread_below_bytes: int = 1 << 20
+    spread_min_bytes: int = 1 << 20
+    spread_max_bytes: int = 1 << 30
 
     def read(self, spark: SparkSession) -> DataFrame:
         df = spark.read.parquet(self.path)
         want = spark.sparkContext.defaultParallelism
-        if want > 1 and df.rdd.getNumPartitions() < want and _size(df) > self.spread_below_bytes:
-            df = df.repartition(want)
+        if want > 1 and df.rdd.getNumPartitions() < want:
+            size = _size(df)
+            if self.spread_min_bytes < size <= self.spread_max_bytes:
+                df = df.repartition(want)
         return df
 
 
