@@ -33,11 +33,12 @@ def with_arrival(df: DataFrame, spec: TargetSpec) -> tuple[DataFrame, list[str]]
     return df.withColumns({n: F.col(f"`{o}`") for n, o in zip(names, spec.order)}), names
 
 
-def mart_rows(src: SourceRegistry, name: str, on_bad_cast: str = "null") -> DataFrame:
-    """Rows a load of mart ``name`` writes into an empty target (surrogate id aside)."""
+def mart_rows(src: SourceRegistry, name: str, on_bad_cast: str = "null", **query_options) -> DataFrame:
+    """Rows a load of mart ``name`` writes into an empty target (surrogate id aside).
+    ``query_options`` go to the mart's query (e.g. ``json_null="literal"`` for users)."""
     mart = MARTS[name]
     spec = mart.target
-    q, arrival = with_arrival(mart.query(src), spec)
+    q, arrival = with_arrival(mart.query(src, **query_options), spec)
     rows = conform(q, spec, on_bad_cast=on_bad_cast, keep=tuple(arrival))
     if spec.key:
         rows = first_wins(rows, spec.key, arrival, spec.key_collation).drop(NULL_KEY_SALT)
@@ -68,6 +69,7 @@ def load_mart(
     mart: MartSpec | str,
     target,
     on_bad_cast: str = "null",
+    **query_options,
 ) -> LoadReport:
     """Load one mart into ``target`` (``ParquetTarget``/``JdbcTarget``) by its spec's mode.
 
@@ -78,7 +80,8 @@ def load_mart(
       key); an empty batch leaves the old content in place.
     """
     mart = MARTS[mart] if isinstance(mart, str) else mart
-    return load_frame(spark, mart.query(src), mart.target, target, on_bad_cast, name=mart.name)
+    return load_frame(spark, mart.query(src, **query_options), mart.target, target, on_bad_cast,
+                      name=mart.name)
 
 
 def load_frame(
@@ -115,22 +118,27 @@ def load_frame(
     obs_new = Observation(f"{name}_new")
     rows = rows.observe(obs_new, F.count(F.lit(1)).alias("rows"))
 
-    # One evaluation of the whole plan: the new rows are staged in the checkpoint
-    # folder (the observations fire exactly once), and every later step -
-    # empty guard, sort for ids, target write - reads the staged table.
-    rows = stage(rows, f"{name}-rows")
-    if spec.mode == "full_refresh" and rows.isEmpty():
-        report.skipped_empty = True
+    if not spec.surrogate and spec.mode != "full_refresh":
+        # nothing reads the new rows twice: one job computes them and appends
+        # (the target keys it reads are listed before the job writes)
+        target.append(rows.drop(*arrival))
     else:
-        if spec.surrogate:
-            start = 0 if spec.mode == "full_refresh" else max_id(existing, spec.surrogate)
-            id_type = spec.field(spec.surrogate).dataType.simpleString()
-            rows = assign_surrogate_ids(rows, arrival, spec.surrogate, start, id_type, input_staged=True)
-        rows = rows.drop(*arrival)
-        if spec.mode == "full_refresh":
-            target.overwrite(rows)
+        # One evaluation of the whole plan: the new rows are staged in the checkpoint
+        # folder (the observations fire exactly once), and every later step -
+        # empty guard, sort for ids, target write - reads the staged table.
+        rows = stage(rows, f"{name}-rows")
+        if spec.mode == "full_refresh" and rows.isEmpty():
+            report.skipped_empty = True
         else:
-            target.append(rows)
+            if spec.surrogate:
+                start = 0 if spec.mode == "full_refresh" else max_id(existing, spec.surrogate)
+                id_type = spec.field(spec.surrogate).dataType.simpleString()
+                rows = assign_surrogate_ids(rows, arrival, spec.surrogate, start, id_type, input_staged=True)
+            rows = rows.drop(*arrival)
+            if spec.mode == "full_refresh":
+                target.overwrite(rows)
+            else:
+                target.append(rows)
 
     r = obs_read.get
     report.read = int(r.get("rows", 0) or 0)

@@ -284,3 +284,10 @@ def test_collated_insert_ignore_key(spark, tmp_path):
                      spec, target)
     assert rep.written == 1 and rep.already_present == 1 and rep.deduped_in_batch == 1
     assert rows(target.read(spark)) == [("Bank", 1), ("Other", 4)]
+
+
+def test_users_json_null_option(spark):
+    src = standin_registry(spark, SF0001)
+    default = mart_rows(src, "users").where("Malaa_Name2 = 'null'").count()
+    literal = mart_rows(src, "users", json_null="literal").where("Malaa_Name2 = 'null'").count()
+    assert default == 0 and literal > 0
