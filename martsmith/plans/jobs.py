@@ -1,7 +1,7 @@
 """The eight reporting marts as DataFrame queries over the operational tables.
 
 Each ``*_query(src)`` takes a ``SourceRegistry`` and returns the query-level
-result under the reference's output column names (before conforming to the
+result under the source jobs' output column names (before conforming to the
 target). ``MARTS`` ties each query to its target spec.
 
 Join plans are written for scale:

@@ -3,7 +3,7 @@
 Each statement runs on the raw test tables (``customer``, ``orders``...,
 registered as views) and rebuilds the stand-in tables with the same SQL
 expressions (``standin_sql``). The mart queries are written the way the
-reference writes them - right joins, chained NULL-extended joins and dead
+source jobs write them - right joins, chained NULL-extended joins and dead
 joins in their original places - so a match also shows that the reordered
 Spark plans give the same rows.
 

@@ -1,6 +1,6 @@
 """Source registry: logical table name -> DataFrame (parquet path or JDBC table).
 
-The reference runs one federated SQL text on the source server. Here every
+The source jobs run one federated SQL text on the source server. Here every
 source table is its own scan and all joins run on Spark executors; filters and
 column pruning reach the scan (parquet ``PushedFilters``/``ReadSchema``, JDBC
 ``WHERE`` and column list).

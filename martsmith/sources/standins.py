@@ -1,4 +1,4 @@
-"""Stand-ins: the reference's operational tables derived from the driver's test tables.
+"""Stand-ins: the source jobs' operational tables derived from the driver's test tables.
 
 The mart queries are written against the operational schema (``accounts.users``,
 ``admin.campaign_masters``, ``wallet.fund_users``...). For tests and benchmarks each of

@@ -1,6 +1,6 @@
 """Incremental loads with Structured Streaming.
 
-The reference re-extracts every source table in full every six hours. For an
+The source jobs re-extract every source table in full every six hours. For an
 append-only source (new parquet files landing in a folder) the same
 insert-ignore load can run incrementally: ``readStream`` picks up only files
 it has not seen (the file log lives in the stream's checkpoint), each

@@ -1,4 +1,4 @@
-"""Micro fixtures: one small literal input per trap of the reference's jobs."""
+"""Micro fixtures: one small literal input per trap of the source jobs."""
 
 from __future__ import annotations
 
