@@ -2,10 +2,10 @@
 
 Recipe (the DataFrame form of ``zipWithIndex``):
 
-0. the input is staged once (written under the checkpoint folder) unless the
-   caller passes an already staged frame: a global sort evaluates its input
-   twice (range-boundary sampling, then the shuffle), and this keeps the
-   upstream joins from running twice;
+0. the input is staged once (written under the checkpoint folder) unless it is
+   already staged or only scans and projections: a global sort evaluates its
+   input twice (range-boundary sampling, then the shuffle), and this keeps the
+   upstream joins and aggregates from running twice;
 1. range-partition and sort by the *total* arrival order (``orderBy``; the
    range partitioner samples the whole composite key, so a hot leading value
    is split by the tie-break columns);
@@ -33,6 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martsmith.operators.dedup import arrival_order
+from martsmith.operators.joins import rescan_is_cheap
 from martsmith.session import scratch_path
 
 _POS_BITS = 33
@@ -64,7 +65,7 @@ def assign_surrogate_ids(
     ``order`` columns come first (ascending, NULLs first); every other column
     breaks ties. The id column is put first. Pass ``input_staged=True`` when
     ``df`` is already a scan of a staged table."""
-    if not input_staged:
+    if not input_staged and not rescan_is_cheap(df):
         df = stage(df, "surrogate-input")
     ordered = df.orderBy(*arrival_order(df, order, exclude=tiebreak_exclude))
     staged = stage(ordered.withColumn("__mid", F.monotonically_increasing_id()), "surrogate")
