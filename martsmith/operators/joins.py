@@ -13,8 +13,16 @@ from pyspark.sql import functions as F
 
 # The estimate comes from file sizes (compressed) and column widths, so it can
 # be several times below the in-memory size; keep the bound well under the
-# executor memory a broadcast may take.
+# executor memory a broadcast may take. Per session: ``martsmith.broadcastMaxBytes``.
 DEFAULT_BROADCAST_BYTES = 32 * 1024 * 1024
+BROADCAST_CONF = "martsmith.broadcastMaxBytes"
+
+
+def broadcast_limit(df: DataFrame, max_bytes: int | None = None) -> int:
+    """The broadcast bound in force: the explicit argument, else the session setting."""
+    if max_bytes is not None:
+        return max_bytes
+    return int(df.sparkSession.conf.get(BROADCAST_CONF, str(DEFAULT_BROADCAST_BYTES)))
 SPREAD_BUCKETS = 4096
 
 
@@ -27,9 +35,9 @@ def estimated_size_bytes(df: DataFrame) -> int:
         return 1 << 62
 
 
-def checked_broadcast(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
-    """Broadcast hint only when the estimated size is under ``max_bytes``."""
-    return F.broadcast(df) if estimated_size_bytes(df) <= max_bytes else df
+def checked_broadcast(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
+    """Broadcast hint only when the estimated size is under the bound."""
+    return F.broadcast(df) if estimated_size_bytes(df) <= broadcast_limit(df, max_bytes) else df
 
 
 def typed_key(key: Column, as_type: str = "bigint") -> Column:
@@ -39,7 +47,7 @@ def typed_key(key: Column, as_type: str = "bigint") -> Column:
 
 
 def lookup(fact: DataFrame, dim: DataFrame, condition: Column, how: str = "left",
-           max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+           max_broadcast_bytes: int | None = None) -> DataFrame:
     """Star lookup (N:1 or 1:N): ``fact`` joined to ``dim``, the fact side preserved."""
     return fact.join(checked_broadcast(dim, max_broadcast_bytes), condition, how)
 
@@ -55,8 +63,9 @@ def rescan_is_cheap(df: DataFrame) -> bool:
 
 
 def skew_safe_left_join(preserved: DataFrame, other: DataFrame, preserved_key: str, other_key: str,
-                        max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
-                        other_keys: DataFrame | None = None) -> DataFrame:
+                        max_broadcast_bytes: int | None = None,
+                        other_keys: DataFrame | None = None, rescan: bool | None = None,
+                        key_not_null: bool = False) -> DataFrame:
     """``preserved`` LEFT JOIN ``other`` ON preserved_key = other_key, planned so that no
     key - and not NULL either - can put a third of the rows into one task.
 
@@ -73,12 +82,18 @@ def skew_safe_left_join(preserved: DataFrame, other: DataFrame, preserved_key: s
 
     Column names of the two sides must be distinct; keys are column names.
     ``other_keys`` (one column) may give the key set of ``other`` from a cheaper
-    source when ``other`` is itself a join that preserves its key side."""
+    source when ``other`` is itself a join that preserves its key side.
+    ``rescan=True`` uses the three branches even when ``preserved`` is not a plain
+    scan: its shuffle by the key is then shared by the inner and the anti branch
+    (``ReusedExchange``), so it is computed once. ``key_not_null=True`` (the
+    caller filtered NULL keys out) drops the NULL branch; the union of the two
+    remaining branches then keeps their hash partitioning on the key, so a
+    later aggregate or window on it needs no new shuffle."""
     pk = F.col(f"`{preserved_key}`")
     ok = F.col(f"`{other_key}`")
-    if estimated_size_bytes(other) <= max_broadcast_bytes:
+    if estimated_size_bytes(other) <= broadcast_limit(other, max_broadcast_bytes):
         return preserved.join(F.broadcast(other), pk == ok, "left")
-    if not rescan_is_cheap(preserved):
+    if not (rescan if rescan is not None else rescan_is_cheap(preserved)):
         return preserved.join(other, pk == ok, "left")
     fill = [F.lit(None).cast(f.dataType).alias(f.name) for f in other.schema.fields]
     keyed = preserved.where(pk.isNotNull())
@@ -86,6 +101,8 @@ def skew_safe_left_join(preserved: DataFrame, other: DataFrame, preserved_key: s
     keys_src = other.select(ok) if other_keys is None else other_keys
     keys = keys_src.toDF("__other_key").where(F.col("__other_key").isNotNull()).distinct()
     unmatched = keyed.join(keys, pk == F.col("__other_key"), "left_anti").select("*", *fill)
-    orphans = preserved.where(pk.isNull()).select("*", *fill)
-    return matched.unionByName(unmatched).unionByName(orphans)
+    out = matched.unionByName(unmatched)
+    if key_not_null:
+        return out
+    return out.unionByName(preserved.where(pk.isNull()).select("*", *fill))
 

@@ -55,7 +55,7 @@ def bank_query(src: SourceRegistry) -> DataFrame:
         c("user_id").alias("ub_user_id"), "bank_name", "ac_name", "ac_no", "branch",
         "swift_code", "iban", "home_address",
     )
-    q = skew_safe_left_join(u, ub, "user_id", "ub_user_id").drop("ub_user_id")
+    q = skew_safe_left_join(u, ub, "user_id", "ub_user_id", key_not_null=True).drop("ub_user_id")
     return distinct_rows(q)
 
 
@@ -105,7 +105,7 @@ def issuer_onboardings_query(src: SourceRegistry) -> DataFrame:
     b = src["admin.campaign_masters"].select(c("id").alias("campaign_id"), c("user_id").alias("b_user_id"))
     passthrough = [n for n, _ in ISSUER_ONBOARDINGS.columns
                    if n not in ("id", "campaign_id", "issuer_id", "on_boarding_status")]
-    return skew_safe_left_join(i, b, "issuer_id", "b_user_id").select(
+    return skew_safe_left_join(i, b, "issuer_id", "b_user_id", key_not_null=True).select(
         c("issuer_id"),
         c("campaign_id"),
         *[c(n) for n in passthrough],
@@ -192,7 +192,7 @@ def users_query(src: SourceRegistry, json_null: str = "sql", dead_joins: bool =
     # the skew-safe form applies; the bridge then follows as a plain left join
     uid = u.select(c("u.id").alias("u_id"), *[c(f"u.`{n}`").alias(f"u_{n}") for n in u.columns if n != "id"])
     j = (
-        skew_safe_left_join(uid, kyc, "u_id", "k_user_id",
+        skew_safe_left_join(uid, kyc, "u_id", "k_user_id", key_not_null=True,
                             other_keys=src["accounts.kyc_infos"].select(typed_key(c("namescan_id"))))
         .join(bt, c("u_id") == c("bt_user_id"), "left")
         .join(cntrs, c("u_country_id") == c("cntrs.id"), "left")
@@ -246,8 +246,10 @@ def wallet_add_funds_query(src: SourceRegistry) -> DataFrame:
         c("created_at").alias("add_funds_created_at"),
         c("updated_at").alias("add_funds_updated_at"),
     )
-    j = skew_safe_left_join(fu, u, "fu_user_id", "u_id")
-    j = skew_safe_left_join(j, a, "fund_id", "a_id")
+    # the fan-out join (a fund with many add_funds rows) goes skew-safe straight off the
+    # bridge scan; the unique-key users lookup follows (AQE splits a hot preserved side)
+    j = skew_safe_left_join(fu, a, "fund_id", "a_id")
+    j = j.join(u, c("fu_user_id") == c("u_id"), "left")
     q = j.select(c("u_id").alias("user_id"), *[n for n in a.columns if n != "a_id"])
     return distinct_rows(q)
 
@@ -276,8 +278,9 @@ def wallet_withdraw_funds_query(src: SourceRegistry) -> DataFrame:
         c("ac_no").alias("account_num"), c("country_id"), c("branch"), c("iban"),
         c("home_address"), c("swift_code"),
     )
-    u = src["accounts.users"].select(c("id").alias("u_id"))
-    ubank = skew_safe_left_join(u, ub, "u_id", "ub_user_id").drop("ub_user_id")
+    # users without an id can never match a withdrawal: filtered before the join
+    u = src["accounts.users"].where(c("id").isNotNull()).select(c("id").alias("u_id"))
+    ubank = skew_safe_left_join(u, ub, "u_id", "ub_user_id", key_not_null=True).drop("ub_user_id")
     # ubank keeps every user, so its key set is the users' ids
     j = skew_safe_left_join(w, ubank, "w_user_id", "u_id", other_keys=u)
     return j.select(
