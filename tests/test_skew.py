@@ -66,3 +66,47 @@ def test_null_heavy_outer_join_keeps_nulls_out_of_the_exchange(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_skew_safe_join_keeps_key_partitioning_without_null_branch(spark):
+    """With NULL keys filtered by the caller, the inner + anti union stays hash-partitioned on
+    the key: an aggregate on the key after it adds no exchange."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        orders = spark.read.parquet(f"{SF001}/orders.parquet").select(F.col("o_orderkey").alias("ok"))
+        other = _skewed_lineitem(spark).select(F.col("hot").alias("k"), "l_quantity")
+        joined = skew_safe_left_join(orders, other, "ok", "k", max_broadcast_bytes=0, key_not_null=True)
+        agg = joined.groupBy("ok").agg(F.count(F.lit(1)).alias("n"))
+
+        def exchanges(df):
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            return sum(1 for line in plan.splitlines()
+                       if "Exchange hashpartitioning" in line and "ReusedExchange" not in line)
+
+        # the aggregate on ok adds no exchange to those of the join itself
+        assert exchanges(agg) == exchanges(joined)
+        plain = orders.join(other, F.col("ok") == F.col("k"), "left").groupBy("ok").agg(
+            F.count(F.lit(1)).alias("n"))
+        assert sorted(map(tuple, agg.collect())) == sorted(map(tuple, plain.collect()))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_session_broadcast_bound(spark):
+    from martsmith.plans.jobs import campaign_query
+    from martsmith.sources.standins import standin_registry
+    from tests.conftest import SF0001
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        spark.conf.set("martsmith.broadcastMaxBytes", "0")
+        plan = campaign_query(standin_registry(spark, SF0001))._jdf.queryExecution().sparkPlan().toString()
+        assert "BroadcastHashJoin" not in plan
+        spark.conf.unset("martsmith.broadcastMaxBytes")
+        plan = campaign_query(standin_registry(spark, SF0001))._jdf.queryExecution().sparkPlan().toString()
+        assert "BroadcastHashJoin" in plan
+    finally:
+        spark.conf.unset("martsmith.broadcastMaxBytes")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
