@@ -160,8 +160,10 @@ _USER_COLS_2 = [
 def users_query(src: SourceRegistry, json_null: str = "sql", dead_joins: bool = True) -> DataFrame:
     """JOB-6: the users star - 10 left joins, JSON extraction, DISTINCT on 45 columns.
 
-    The KYC documents are parsed once per document (before the fan-out), and
-    the KYC chain and the user-type bridge are joined on their own first."""
+    The KYC documents are parsed once per document (before the fan-out); the
+    KYC chain and the user-type bridge are pre-joined on their own, the KYC
+    fan-out goes through ``skew_safe_left_join`` off the users scan, and the
+    three unused joins come last, where the optimizer removes them."""
     u = src["accounts.users"].where(c("id").isNotNull()).alias("u")
     cntrs = checked_broadcast(src["accounts.countries"]).alias("cntrs")
     a = src["accounts.aml_stores"].alias("a")
@@ -229,7 +231,9 @@ def users_query(src: SourceRegistry, json_null: str = "sql", dead_joins: bool =
 def wallet_add_funds_query(src: SourceRegistry) -> DataFrame:
     """JOB-7: users RIGHT JOIN fund_users LEFT JOIN add_funds, payment code decoded, DISTINCT.
 
-    Written from the preserved bridge: fund_users LEFT JOIN users LEFT JOIN add_funds."""
+    Written from the preserved bridge: fund_users LEFT JOIN add_funds (skew-safe
+    fan-out) LEFT JOIN users (unique-key lookup); both joins hang off fund_users,
+    so their order does not change the rows."""
     fu = src["wallet.fund_users"].select(c("user_id").alias("fu_user_id"), c("fund_id"))
     u = src["accounts.users"].select(c("id").alias("u_id"))
     a = src["wallet.add_funds"].select(
