@@ -48,3 +48,22 @@ def test_insert_ignore_and_refresh_into_jdbc(spark):
     assert [tuple(r) for r in rtarget.read(spark).select("ID", "K", "V").collect()] == [(1, 3, 30)]
     rep = load_frame(spark, spark.createDataFrame([], "K int, V int"), refresh, rtarget)
     assert rep.skipped_empty and rtarget.read(spark).count() == 1
+
+
+def test_bank_mart_over_jdbc_schemas(spark):
+    """The operational tables behind one JDBC server in several schemas (``jdbc_registry``)."""
+    from martsmith.plans.runner import mart_rows
+    from martsmith.sources import jdbc_registry
+    from martsmith.sources.standins import standin_registry
+    from tests.conftest import SF0001, rows
+
+    url = _url()
+    src = standin_registry(spark, SF0001)
+    for name, schema in (("accounts.users", "ACC"), ("admin.user_bank_infos", "ADM")):
+        table = name.split(".")[1]
+        (src[name].write.format("jdbc").options(url=url, dbtable=f"{schema}.{table}", **DRIVER)
+         .mode("overwrite").save())
+    reg = jdbc_registry(spark, url, {"accounts": "ACC", "admin": "ADM", "wallet": "WAL"}, DRIVER,
+                        partitioning={"accounts.users": ("id", 0, 200, 3)})
+    assert reg["accounts.users"].rdd.getNumPartitions() == 3
+    assert rows(mart_rows(reg, "bank")) == rows(mart_rows(src, "bank"))
