@@ -161,9 +161,9 @@ def users_query(src: SourceRegistry, json_null: str = "sql", dead_joins: bool =
     """JOB-6: the users star - 10 left joins, JSON extraction, DISTINCT on 45 columns.
 
     The KYC documents are parsed once per document (before the fan-out); the
-    KYC chain and the user-type bridge are pre-joined on their own, the KYC
-    fan-out goes through ``skew_safe_left_join`` off the users scan, and the
-    three unused joins come last, where the optimizer removes them."""
+    KYC chain and the user-type bridge are pre-joined on their own, both
+    fan-outs go through ``skew_safe_left_join``, and the three unused joins
+    come last, where the optimizer removes them."""
     u = src["accounts.users"].where(c("id").isNotNull()).alias("u")
     cntrs = checked_broadcast(src["accounts.countries"]).alias("cntrs")
     a = src["accounts.aml_stores"].alias("a")
@@ -190,13 +190,15 @@ def users_query(src: SourceRegistry, json_null: str = "sql", dead_joins: bool =
     )
     kyc = k.join(ke, c("k_id") == c("kyc_info_id"), "left").drop("k_id")
 
-    # the widest per-user fan-out (KYC) is joined straight off the users scan, where
-    # the skew-safe form applies; the bridge then follows as a plain left join
+    # both per-user fan-outs go through the skew-safe form: KYC straight off the users
+    # scan, then the type bridge off that result (hash-partitioned on u_id, its
+    # exchanges are reused by both branches)
     uid = u.select(c("u.id").alias("u_id"), *[c(f"u.`{n}`").alias(f"u_{n}") for n in u.columns if n != "id"])
+    by_kyc = skew_safe_left_join(uid, kyc, "u_id", "k_user_id", key_not_null=True,
+                                 other_keys=src["accounts.kyc_infos"].select(typed_key(c("namescan_id"))))
     j = (
-        skew_safe_left_join(uid, kyc, "u_id", "k_user_id", key_not_null=True,
-                            other_keys=src["accounts.kyc_infos"].select(typed_key(c("namescan_id"))))
-        .join(bt, c("u_id") == c("bt_user_id"), "left")
+        skew_safe_left_join(by_kyc, bt, "u_id", "bt_user_id", key_not_null=True, rescan=True,
+                            other_keys=src["accounts.user_types"].select("user_id"))
         .join(cntrs, c("u_country_id") == c("cntrs.id"), "left")
         .join(a, c("u_id") == c("a.id"), "left")
         .join(ic, c("u_investor_category_id") == c("ic.id"), "left")
