@@ -54,11 +54,12 @@ def _mart(name: str) -> Query:
 
 
 def reserved_column(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """PRJ-4/5: a column named ``order`` and a quoted alias, read through Spark SQL."""
-    _src(spark, sf_dir)["admin.campaign_masters"].createOrReplaceTempView("campaign_masters_v")
+    """PRJ-4/5: a column named ``order`` and a quoted alias, read through Spark SQL
+    (the frame is passed as a query parameter, no session-wide view)."""
     return spark.sql(
         "SELECT c.id AS campaign_id, c.`order`, c.status AS `on_boarding_status` "
-        "FROM campaign_masters_v AS c WHERE c.id IS NOT NULL"
+        "FROM {cm} AS c WHERE c.id IS NOT NULL",
+        cm=_src(spark, sf_dir)["admin.campaign_masters"],
     )
 
 
