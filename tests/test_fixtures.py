@@ -291,3 +291,10 @@ def test_users_json_null_option(spark):
     default = mart_rows(src, "users").where("Malaa_Name2 = 'null'").count()
     literal = mart_rows(src, "users", json_null="literal").where("Malaa_Name2 = 'null'").count()
     assert default == 0 and literal > 0
+
+
+@pytest.mark.parametrize("collation,expected", [(None, 3), ("UTF8_LCASE", 2), ("UTF8_LCASE_RTRIM", 1)])
+def test_collation_trailing_blanks(spark, collation, expected):
+    """Server collations ignore trailing blanks in comparisons: the ``_RTRIM`` collations."""
+    df = spark.createDataFrame([("Bank",), ("bank ",), ("BANK",)], "v string")
+    assert distinct_rows(df, collation).count() == expected
