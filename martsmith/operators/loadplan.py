@@ -81,11 +81,9 @@ def guarded_refresh_content(existing: DataFrame, incoming: DataFrame) -> DataFra
     """Table content after a guarded refresh, as one lazy plan: ``incoming`` if it
     has at least one row, else ``existing`` unchanged.
 
-    The guard is a one-row flag (``limit 1`` of the incoming side, a proven
-    size bound) joined to the old rows with a left anti join."""
-    flag = incoming.select(F.lit(1).alias("__has_rows")).limit(1)
-    old = existing.withColumn("__has_rows", F.lit(1)).join(F.broadcast(flag), "__has_rows", "left_anti")
-    return incoming.unionByName(old.drop("__has_rows"))
+    The guard is an uncorrelated ``NOT EXISTS`` on ``incoming``: Spark plans it
+    as a one-row scalar subquery (``CollectLimit 1``) evaluated once, no join."""
+    return incoming.unionByName(existing.where(~incoming.exists()))
 
 
 def insert_ignore_report(existing: DataFrame | None, incoming: DataFrame, key: Sequence[str],
