@@ -34,3 +34,14 @@ def test_smoke_scale_oracles(spark):
     con = duck_connection(SF0001)
     for name in ("users_mart", "withdraw_mart", "add_funds_mart", "issuer_mart"):
         assert compare(spark, name, SF0001, con)["status"] == "ok", name
+
+
+def test_oracles_hold_with_ansi_off(spark):
+    """The driver's session may run without ANSI mode: coercion uses try_* either way."""
+    con = duck_connection(SF0001)
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        for name in ("conform_types", "users_mart", "withdraw_mart", "typed_key_join"):
+            assert compare(spark, name, SF0001, con)["status"] == "ok", name
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
