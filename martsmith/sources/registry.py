@@ -143,14 +143,16 @@ class SourceRegistry:
         return self.table(name).isEmpty()
 
 
-_SCANS: dict[tuple[int, str], DataFrame] = {}
+_SCANS: dict[tuple[str, int, str], DataFrame] = {}
 
 
 def _shared_scan(path: str):
     """Resolve a read-only parquet file once per session: listing files and reading
     footers is a fixed driver-side cost per scan, paid once for all queries."""
     def build(reg: SourceRegistry) -> DataFrame:
-        key = (id(reg.spark._jsparkSession), path)
+        # the application id changes with every new SparkContext, the JVM hash code
+        # with every new session: a stopped session's frames are never reused
+        key = (reg.spark.sparkContext.applicationId, reg.spark._jsparkSession.hashCode(), path)
         if key not in _SCANS:
             _SCANS[key] = ParquetTable(path).read(reg.spark)
         return _SCANS[key]
