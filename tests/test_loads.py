@@ -104,3 +104,22 @@ def test_parquet_export_registry_and_cli(spark, tmp_path):
     out = spark.read.parquet(str(tmp_path / "marts" / "referrals"))
     assert rows(out) == rows(mart_rows(src, "referrals"))
     assert "admin.referral_transactions" in STANDINS
+
+
+def test_scale_conf_sizes_partitions():
+    from martsmith.session import scale_conf
+
+    conf = scale_conf(100 * 10**12)
+    assert int(conf["spark.sql.shuffle.partitions"]) * 256 * 1024 * 1024 >= 100 * 10**12
+    assert scale_conf(10)["spark.sql.shuffle.partitions"] == "200"
+
+
+def test_load_all_runs_every_requested_mart(spark, tmp_path):
+    from martsmith.plans import load_all
+
+    names = ["referrals", "bank"]
+    targets = {n: ParquetTarget(MARTS[n].target, str(tmp_path / n)) for n in names}
+    reports = load_all(spark, standin_registry(spark, SF0001), targets, names)
+    assert [r.mart for r in reports] == names
+    for r in reports:
+        assert r.written == targets[r.mart].read(spark).count() > 0
