@@ -3,11 +3,19 @@
 from __future__ import annotations
 
 from martsmith.llm.decontam import op1_decontamination
+from martsmith.llm.langid import op8_language_id
+from martsmith.llm.linededup import OP9_SQL, op9_line_dedup
+from martsmith.llm.packing import op2_packing
 from martsmith.llm.simhash import op3_simhash
 
 QUERIES = {
     "op1_decontamination": op1_decontamination,
+    "op2_packing": op2_packing,
     "op3_simhash": op3_simhash,
+    "op8_language_id": op8_language_id,
+    "op9_line_dedup": op9_line_dedup,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op9_line_dedup": OP9_SQL,
+}
