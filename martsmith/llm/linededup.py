@@ -85,7 +85,7 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP9_SQL = """
 WITH lines AS (
   SELECT doc_id, coalesce(source, '') AS host, unnest(string_split(text, chr(10))) AS line,
-         generate_subscripts(string_split(text, chr(10)), 1) AS at
+         generate_subscripts(string_split(text, chr(10)), 1) AS pos
   FROM documents WHERE text IS NOT NULL
 ), hosts AS (
   SELECT coalesce(source, '') AS host, count(*) AS host_pages FROM documents GROUP BY 1
@@ -96,11 +96,11 @@ WITH lines AS (
   GROUP BY 1, 2, host_pages
   HAVING count(DISTINCT doc_id) >= 10 AND count(DISTINCT doc_id) > 0.1 * host_pages
 ), marked AS (
-  SELECT l.doc_id, l.line, l.at, b.line IS NOT NULL AS dropped
+  SELECT l.doc_id, l.line, l.pos, b.line IS NOT NULL AS dropped
   FROM lines l LEFT JOIN bad b ON l.host = b.host AND trim(l.line) = b.line
 ), cut AS (
   SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
-         coalesce(string_agg(line, chr(10) ORDER BY at) FILTER (NOT dropped), '') AS text
+         coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT dropped), '') AS text
   FROM marked GROUP BY doc_id
 )
 SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_dropped, 0) AS n_dropped,
