@@ -6,12 +6,14 @@ from martsmith.llm.decontam import op1_decontamination
 from martsmith.llm.langid import op8_language_id
 from martsmith.llm.linededup import OP9_SQL, op9_line_dedup
 from martsmith.llm.packing import op2_packing
+from martsmith.llm.secretscan import op5_secret_scan
 from martsmith.llm.simhash import op3_simhash
 
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_packing": op2_packing,
     "op3_simhash": op3_simhash,
+    "op5_secret_scan": op5_secret_scan,
     "op8_language_id": op8_language_id,
     "op9_line_dedup": op9_line_dedup,
 }
