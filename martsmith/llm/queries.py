@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from martsmith.llm.decontam import op1_decontamination
 from martsmith.llm.langid import op8_language_id
+from martsmith.llm.lattice import op6_lm_score
 from martsmith.llm.linededup import OP9_SQL, op9_line_dedup
 from martsmith.llm.packing import op2_packing
 from martsmith.llm.secretscan import op5_secret_scan
@@ -14,6 +15,7 @@ QUERIES = {
     "op2_packing": op2_packing,
     "op3_simhash": op3_simhash,
     "op5_secret_scan": op5_secret_scan,
+    "op6_lm_score": op6_lm_score,
     "op8_language_id": op8_language_id,
     "op9_line_dedup": op9_line_dedup,
 }
