@@ -9,11 +9,13 @@ from martsmith.llm.linededup import OP9_SQL, op9_line_dedup
 from martsmith.llm.packing import op2_packing
 from martsmith.llm.secretscan import op5_secret_scan
 from martsmith.llm.simhash import op3_simhash
+from martsmith.llm.vafile import OP4_SQL, op4_topk
 
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_packing": op2_packing,
     "op3_simhash": op3_simhash,
+    "op4_topk": op4_topk,
     "op5_secret_scan": op5_secret_scan,
     "op6_lm_score": op6_lm_score,
     "op8_language_id": op8_language_id,
@@ -21,5 +23,6 @@ QUERIES = {
 }
 
 ORACLES: dict[str, str] = {
+    "op4_topk": OP4_SQL,
     "op9_line_dedup": OP9_SQL,
 }
