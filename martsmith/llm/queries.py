@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from martsmith.llm.decontam import op1_decontamination
+from martsmith.llm.htmltext import op7_html_text
 from martsmith.llm.langid import op8_language_id
 from martsmith.llm.lattice import op6_lm_score
 from martsmith.llm.linededup import OP9_SQL, op9_line_dedup
@@ -18,6 +19,7 @@ QUERIES = {
     "op4_topk": op4_topk,
     "op5_secret_scan": op5_secret_scan,
     "op6_lm_score": op6_lm_score,
+    "op7_html_text": op7_html_text,
     "op8_language_id": op8_language_id,
     "op9_line_dedup": op9_line_dedup,
 }
