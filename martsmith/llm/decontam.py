@@ -117,3 +117,34 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = F.array_join(F.sort_array(F.transform("items", lambda i: i.cast("string"))), ",")
     return got.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                       F.sha2(ids, 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+OP1_SQL = r"""
+WITH docs AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM documents
+), items AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM benchmark
+), item_windows AS (
+  SELECT DISTINCT item_id, least(len(words), 10) AS n, array_to_string(words[pos : pos + least(len(words), 10) - 1], ' ') AS w
+  FROM (SELECT item_id, words, unnest(range(1, len(words) - least(len(words), 10) + 2)) AS pos FROM items WHERE len(words) > 0)
+), lengths AS (
+  SELECT DISTINCT n FROM item_windows
+), doc_windows AS (
+  SELECT doc_id, n, pos, array_to_string(words[pos : pos + n - 1], ' ') AS w
+  FROM (SELECT doc_id, words, n, unnest(range(1, len(words) - n + 2)) AS pos FROM docs, lengths WHERE len(words) >= n)
+), hits AS (
+  SELECT d.doc_id, d.n, d.pos, i.item_id FROM doc_windows d JOIN item_windows i ON d.n = i.n AND d.w = i.w
+), hit_words AS (
+  SELECT doc_id, count(DISTINCT word) AS n_hit FROM (SELECT doc_id, unnest(range(pos, pos + n)) AS word FROM hits) GROUP BY doc_id
+), hit_items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM hits) GROUP BY doc_id
+)
+SELECT d.doc_id, len(d.words) AS n_words, coalesce(w.n_hit, 0) AS n_hit, coalesce(i.n_items, 0) AS n_items,
+       sha256(coalesce(i.ids, '')) AS items_sha256, coalesce(w.n_hit, 0) > 0 AS contaminated
+FROM docs d LEFT JOIN hit_words w ON d.doc_id = w.doc_id LEFT JOIN hit_items i ON d.doc_id = i.doc_id
+"""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from martsmith.llm.decontam import op1_decontamination
+from martsmith.llm.decontam import OP1_SQL, op1_decontamination
 from martsmith.llm.htmltext import op7_html_text
 from martsmith.llm.langid import op8_language_id
 from martsmith.llm.lattice import op6_lm_score
@@ -10,6 +10,7 @@ from martsmith.llm.linededup import OP9_SQL, op9_line_dedup
 from martsmith.llm.packing import op2_packing
 from martsmith.llm.secretscan import op5_secret_scan
 from martsmith.llm.simhash import op3_simhash
+from martsmith.llm.toolcalls import OP10_SQL, op10_tool_calls
 from martsmith.llm.vafile import OP4_SQL, op4_topk
 
 QUERIES = {
@@ -22,9 +23,12 @@ QUERIES = {
     "op7_html_text": op7_html_text,
     "op8_language_id": op8_language_id,
     "op9_line_dedup": op9_line_dedup,
+    "op10_tool_calls": op10_tool_calls,
 }
 
 ORACLES: dict[str, str] = {
+    "op1_decontamination": OP1_SQL,
     "op4_topk": OP4_SQL,
     "op9_line_dedup": OP9_SQL,
+    "op10_tool_calls": OP10_SQL,
 }
