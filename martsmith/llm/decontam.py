@@ -51,9 +51,7 @@ def contamination(docs: DataFrame, bench: DataFrame, n: int = 10, id_col: str =
     spans (word ranges [first, last) that are hit, in order), items (sorted ids)."""
     wins = windows(bench, n, bench_id, bench_text)
     known = wins.agg(F.collect_set("w_len"), F.count(F.lit(1))).first()
-    lengths = sorted(known[0])  # n values at most
-    if known[1] <= max_broadcast_rows:
-        wins = F.broadcast(wins)
+    lengths, fits = sorted(known[0]), known[1] <= max_broadcast_rows  # n lengths at most
     text = F.coalesce(F.col(text_col), F.lit(""))
     own = docs.select(F.col(id_col).alias("doc_id"), F.array(*fingerprint128(text)).alias("text_key"), words_of(text).alias("words"))
     own = own.withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w)))
@@ -61,12 +59,18 @@ def contamination(docs: DataFrame, bench: DataFrame, n: int = 10, id_col: str =
     places = own.select("*", F.explode(F.array(*map(F.lit, [0, *lengths]))).alias("len")).select("*", F.explode(
         F.when(F.col("len") <= F.size("words"), F.sequence(F.lit(0), F.when(F.col("len") > 0, F.size("words") - F.col("len")).otherwise(0)))
         .otherwise(F.array().cast("array<int>"))).alias("at"))
+    places = places.withColumn("hash", _window_hash(F.col("hashes"), F.col("at"), F.col("len"), n))
+    window = F.slice("words", F.col("at") + 1, F.col("len"))
+    if not fits:  # rows that are shuffled carry their own window, not the text's words
+        places = places.select("doc_id", "text_key", "len", "at", "hash", F.when(F.col("len") == 0, F.size("words")).alias("size"), window.alias("window"))
+        window = F.col("window")
+    else:
+        places = places.withColumn("size", F.when(F.col("len") == 0, F.size("words")))
     # the hash alone is the join key (a primitive long); the words are compared on its few matches
-    probed = places.withColumn("hash", _window_hash(F.col("hashes"), F.col("at"), F.col("len"), n)).join(
-        wins, F.col("hash") == F.col("w_hash"), "left")
-    same = (F.col("len") == F.col("w_len")) & (F.slice("words", F.col("at") + 1, F.col("len")) == F.col("w_words"))
+    probed = places.join(F.broadcast(wins) if fits else wins, F.col("hash") == F.col("w_hash"), "left")
+    same = (F.col("len") == F.col("w_len")) & (window == F.col("w_words"))
     found = probed.where((F.col("len") == 0) | (F.col("w_hash").isNotNull() & same)).select(
-        "doc_id", "text_key", F.when(F.col("len") == 0, F.size("words")).alias("size"),
+        "doc_id", "text_key", "size",
         F.when(F.col("len") > 0, F.struct("at", (F.col("at") + F.col("len")).alias("end"))).alias("hit"),
         F.when(F.col("len") > 0, F.col("w_items")).alias("w_items"))
     per = found.groupBy("doc_id", "text_key").agg(
