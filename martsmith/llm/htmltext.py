@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martsmith.llm.common import table
+from martsmith.llm.common import fresh, table
 
 # Element names by their role in HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -331,7 +331,7 @@ def extract(pages: DataFrame, html_col: str = "html", keep: list[str] | None = N
 
     schema = pages.select(*keep, F.lit("").alias(text_col)).schema
     schema[text_col].nullable = True
-    return pages.select(F.col(html_col).alias("html_in"), *keep).mapInArrow(run, schema)
+    return pages.select(F.col(html_col).alias(fresh(keep, "html_in")), *keep).mapInArrow(run, schema)
 
 
 def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -185,22 +185,26 @@ def viterbi(e: np.ndarray, penalty: float) -> np.ndarray:
 
 
 def label_words(model: Model, texts: list[str], penalty: float, floor: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(place, length, language) of each text's words; places count in the lower-cased text."""
-    parts: list[list[tuple]] = [[] for _ in texts]
-    base = [0] * len(texts)
+    """(place, length, language) of each text's words; places count in the lower-cased text. What is held at a
+    time is the words of one slice, or of one long text."""
+    long_one: list[tuple] = []  # what came before of a text in several slices
+    base = 0
     for held, joined in _slices(texts):
         w = Words(joined)
-        e = model.scores(w, floor) if len(w.first) else np.zeros((0, len(model.langs)), np.float32)
-        lengths = [len(joined)] if len(held) == 1 else [len(texts[i]) for i in held]
-        starts = np.cumsum([0, *(n + 1 for n in lengths)])
+        e = model.scores(w, floor) if len(w.first) and model.langs else np.zeros((len(w.first), len(model.langs)), np.float32)
+        if len(held) == 1:
+            long_one.append((w.place + base, w.length, e))
+            base += len(joined)
+            if base == len(texts[held[0]]):
+                place, length, e = (np.concatenate(x) for x in zip(*long_one, strict=True))
+                long_one, base = [], 0
+                yield place, length, viterbi(e, penalty)
+            continue
+        starts = np.cumsum([0, *(len(texts[i]) + 1 for i in held)])
         cuts = np.searchsorted(w.place, starts)
-        for k, i in enumerate(held):
+        for k in range(len(held)):
             lo, hi = cuts[k], cuts[k + 1]
-            parts[i].append((w.place[lo:hi] - starts[k] + base[i], w.length[lo:hi], e[lo:hi]))
-            base[i] += lengths[k]
-    for found in parts:
-        place, length, e = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, int), np.zeros(0, int), np.zeros((0, len(model.langs))))
-        yield place, length, viterbi(e, penalty)
+            yield w.place[lo:hi] - starts[k], w.length[lo:hi], viterbi(e[lo:hi], penalty)
 
 
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = 4000) -> Model:

@@ -128,7 +128,7 @@ def search(blocks: DataFrame, queries: tuple[np.ndarray, list[np.ndarray]], k: i
             for dim, *raw in zip(*(c for c in b.columns), strict=True):
                 if (d := dim.as_py()) in best:
                     names, cells, exact, base, step = (np.frombuffer(x.as_py(), t) for x, t in zip(raw, ("<i8", np.uint8, "<i4", "<i8", "<i8"), strict=True))
-                    best[d].see(names, cells.reshape(-1, d), exact.reshape(-1, d).astype(np.int64), base, step)
+                    best[d].see(names, cells.reshape(len(names), d), exact.reshape(len(names), d).astype(np.int64), base, step)
         rows = [(int(q), i, -s) for x in best.values() for q, got in zip(x.ids, x.found, strict=True) for s, i in got]
         cols = list(zip(*rows, strict=True)) or [[], [], []]
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["query_id", "vec_id", "score"])
