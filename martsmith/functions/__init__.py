@@ -7,7 +7,6 @@ from martsmith.functions.scalar import (
     full_name,
     json_fields,
     nan_to_null,
-    nan_to_null_columns,
 )
 
 __all__ = [
@@ -17,5 +16,4 @@ __all__ = [
     "full_name",
     "json_fields",
     "nan_to_null",
-    "nan_to_null_columns",
 ]

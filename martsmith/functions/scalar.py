@@ -40,17 +40,6 @@ def nan_to_null(c: str | Column) -> Column:
     return F.when(~F.isnan(col), col)
 
 
-def nan_to_null_columns(df: DataFrame) -> DataFrame:
-    """Apply ``nan_to_null`` to every float/double column, keep the rest."""
-    out = []
-    for f in df.schema.fields:
-        if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            out.append(nan_to_null(F.col(f"`{f.name}`")).alias(f.name))
-        else:
-            out.append(F.col(f"`{f.name}`"))
-    return df.select(*out)
-
-
 def collated(c: str | Column, collation: str | None) -> Column:
     """A string expression under a collation (``UTF8_LCASE``, ``UNICODE_CI_AI``...);
     ``None`` keeps binary comparison."""

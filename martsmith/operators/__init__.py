@@ -4,14 +4,11 @@ from martsmith.operators.conform import conform
 from martsmith.operators.dedup import arrival_order, distinct_rows, first_wins
 from martsmith.operators.joins import (
     checked_broadcast,
-    lookup,
     skew_safe_left_join,
     typed_key,
 )
 from martsmith.operators.loadplan import (
     guarded_refresh_content,
-    plan_append,
-    plan_full_refresh,
     plan_insert_ignore,
 )
 from martsmith.operators.surrogate import assign_surrogate_ids, max_id
@@ -24,11 +21,8 @@ __all__ = [
     "distinct_rows",
     "first_wins",
     "guarded_refresh_content",
-    "lookup",
     "max_id",
     "skew_safe_left_join",
-    "plan_append",
-    "plan_full_refresh",
     "plan_insert_ignore",
     "typed_key",
 ]

@@ -11,9 +11,11 @@ Per target column, in table order and bound by name:
    the conversion, because an unparsable value in a NOT NULL column also
    becomes the default.
 
-Unparsable text gives NULL (``on_bad_cast="null"``) or 0 for numeric targets
-(``on_bad_cast="zero"``, the server's behaviour under IGNORE). Columns the query
-does not deliver are NULL. Each changed cell is counted in an optional
+Numeric text is rounded once, to the target's scale, and clamped however many
+digits it has. Other text gives NULL (``on_bad_cast="null"``) or the number it
+begins with, 0 if there is none (``on_bad_cast="zero"``, the server's behaviour
+under IGNORE: ``'12abc'`` is 12). Dates and timestamps need a full date. Columns the
+query does not deliver are NULL. Each changed cell is counted in an optional
 ``coerced`` metric column.
 """
 
@@ -58,6 +60,18 @@ def _default_value(dt: T.DataType):
     return None  # dates/timestamps: no value Spark can hold for a zero date
 
 
+NUMBER = r"[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?"
+FULL_DATE = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}(?:[ T].*)?$"
+
+
+def _text_number(text: Column, scale: int, high: Column) -> Column:
+    """Numeric text as a decimal of ``scale``, rounded once; what has too many digits
+    before the point becomes ``high`` or its negative (as doubles tell the sign); else NULL."""
+    rough = F.when(text.rlike(f"^{NUMBER}$"), text.try_cast("double"))
+    exact = F.when(rough.isNotNull(), text.try_cast(T.DecimalType(38, scale)))
+    return F.coalesce(exact, F.when(rough > 0, high).when(rough < 0, -high).when(rough == 0, F.lit(0)).cast(T.DecimalType(38, scale)))
+
+
 def convert(src: Column, src_type: T.DataType, field: T.StructField,
             on_bad_cast: str = "null", want_flag: bool = True) -> tuple[Column, Column | None]:
     """Return (converted value, changed flag) for one column; the flag is None when
@@ -84,38 +98,40 @@ def _convert(src: Column, src_type: T.DataType, field: T.StructField,
         return value, changed
 
     if isinstance(dt, (T.ByteType, T.IntegerType, T.LongType, T.DecimalType)):
-        if isinstance(src_type, _INTEGRAL) and isinstance(dt, _INTEGRAL):
-            num = src
-        elif isinstance(src_type, T.StringType):
-            num = F.trim(src).try_cast(T.DecimalType(38, 10))
+        if isinstance(dt, T.DecimalType):
+            scale, hi = dt.scale, _decimal_bound(dt)
+            lo = -hi
+        else:
+            scale, (lo, hi) = 0, _int_range(dt)
+        lo_lit, hi_lit = F.lit(lo), F.lit(hi)
+        failed = None
+        if isinstance(src_type, T.StringType):
+            text = F.trim(src)
+            if on_bad_cast == "zero":
+                failed = src.isNotNull() & ~text.rlike(f"^{NUMBER}$")
+                text = F.when(failed, F.regexp_extract(text, f"^{NUMBER}", 0)).otherwise(text)
+                text = F.when(text == "", F.lit("0")).otherwise(text)
+            num = _text_number(text, scale, F.lit(Decimal(hi) + 1))
         elif isinstance(src_type, T.BooleanType):
             num = src.cast("int")
         elif isinstance(src_type, _NUMERIC):
             num = src
         else:
             num = src.try_cast(T.DecimalType(38, 10))
-        failed = src.isNotNull() & num.isNull() if (want_flag or on_bad_cast == "zero") else None
-        if isinstance(dt, T.DecimalType):
-            hi = _decimal_bound(dt)
-            lo_lit, hi_lit = F.lit(-hi), F.lit(hi)
-        else:
-            lo, hi = _int_range(dt)
-            lo_lit, hi_lit = F.lit(lo), F.lit(hi)
-            if not isinstance(src_type, _INTEGRAL):
-                num = F.round(num, 0)
+        if failed is None and want_flag:
+            failed = src.isNotNull() & num.isNull()
+        if not isinstance(dt, T.DecimalType) and not isinstance(src_type, (T.StringType, *_INTEGRAL)):
+            num = F.round(num, 0)
         if isinstance(src_type, (T.DoubleType, T.FloatType)):
             lo_lit, hi_lit = lo_lit.cast("double"), hi_lit.cast("double")
-        clamped = F.when(num > hi_lit, hi_lit).when(num < lo_lit, lo_lit).otherwise(num)
-        value = clamped.cast(dt)
-        if on_bad_cast == "zero":
-            value = F.when(failed, F.lit(0).cast(dt)).otherwise(value)
+        value = F.when(num > hi_lit, hi_lit).when(num < lo_lit, lo_lit).otherwise(num).cast(dt)
         if want_flag:
             changed = failed | (num > hi_lit) | (num < lo_lit)
         return value, changed
 
     if isinstance(dt, T.DateType):
         if isinstance(src_type, T.StringType):
-            value = F.trim(src).try_cast(T.DateType())
+            value = F.when(F.trim(src).rlike(FULL_DATE), F.trim(src)).try_cast(T.DateType())
             if want_flag:
                 changed = src.isNotNull() & value.isNull()
         else:
@@ -124,7 +140,7 @@ def _convert(src: Column, src_type: T.DataType, field: T.StructField,
 
     if isinstance(dt, (T.TimestampNTZType, T.TimestampType)):
         if isinstance(src_type, T.StringType):
-            value = F.trim(src).try_cast(dt)
+            value = F.when(F.trim(src).rlike(FULL_DATE), F.trim(src)).try_cast(dt)
             if want_flag:
                 changed = src.isNotNull() & value.isNull()
         else:

@@ -12,8 +12,8 @@ contributes at most one row per map task to the exchange - a key that holds a
 third of the table does not end up in one reducer.
 
 Keys with a NULL component never collide (NULLs are distinct in a UNIQUE
-index). Such rows are all kept; they get a spreading salt so that they do not
-all hash to the one partition of the NULL key either.
+index). Such rows are all kept: they are split off before the window and
+united with its result, so they enter no exchange.
 """
 
 from __future__ import annotations
@@ -26,8 +26,6 @@ from pyspark.sql import types as T
 
 from martsmith.functions.scalar import collated
 
-NULL_KEY_SALT = "__null_key_salt"
-
 
 def distinct_rows(df: DataFrame, collation: str | None = None) -> DataFrame:
     """``SELECT DISTINCT``: a hash aggregate on all columns with map-side combine.
@@ -55,18 +53,11 @@ def key_columns(df: DataFrame, key: Sequence[str], collation: str | None = None)
     return out
 
 
-def with_null_key_salt(df: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Add ``__null_key_salt``: 0 for complete keys, a per-row id when a key part is NULL.
-
-    Such rows can never match or collide, so the salt only spreads them over
-    partitions; its exact value never reaches a result."""
-    any_null = None
-    for k in key:
-        cond = F.col(f"`{k}`").isNull()
-        any_null = cond if any_null is None else (any_null | cond)
-    return df.withColumn(
-        NULL_KEY_SALT, F.when(any_null, F.monotonically_increasing_id()).otherwise(F.lit(0))
-    )
+def split_null_keys(df: DataFrame, key: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """(rows whose key is complete, rows with a NULL key part). For NOT NULL keys the optimizer
+    drops the second; for nullable ones ``df`` is read twice, so it should be a scan."""
+    complete = " AND ".join(f"`{k}` IS NOT NULL" for k in key)
+    return df.where(complete), df.where(f"NOT ({complete})")
 
 
 def arrival_order(df: DataFrame, order: Sequence[str | Column], exclude: Sequence[str] = ()) -> list[Column]:
@@ -97,14 +88,11 @@ def first_wins(
     """Keep the first row per ``key`` in arrival order; rows with a NULL key part all stay.
 
     ``order`` is the source query's ORDER BY (column names are sorted ascending,
-    NULLs first); the remaining columns break ties. The output has the input's
-    columns plus ``__null_key_salt`` (drop it or pass it to ``plan_insert_ignore``,
-    which joins on it to keep the same partitioning)."""
+    NULLs first); the remaining columns break ties."""
     if not key:
         raise ValueError("first_wins needs a key")
-    salted = with_null_key_salt(df, key)
-    part = key_columns(salted, key, collation) + [F.col(NULL_KEY_SALT)]
-    w = Window.partitionBy(*part).orderBy(
-        *arrival_order(df, order, exclude=tiebreak_exclude)
+    keyed, loose = split_null_keys(df, key)
+    w = Window.partitionBy(*key_columns(keyed, key, collation)).orderBy(
+        *arrival_order(keyed, order, exclude=tiebreak_exclude)
     )
-    return salted.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") == 1).drop("__rn")
+    return keyed.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") == 1).drop("__rn").unionByName(loose)

@@ -23,7 +23,6 @@ def broadcast_limit(df: DataFrame, max_bytes: int | None = None) -> int:
     if max_bytes is not None:
         return max_bytes
     return int(df.sparkSession.conf.get(BROADCAST_CONF, str(DEFAULT_BROADCAST_BYTES)))
-SPREAD_BUCKETS = 4096
 
 
 def estimated_size_bytes(df: DataFrame) -> int:
@@ -41,68 +40,56 @@ def checked_broadcast(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
 
 
 def typed_key(key: Column, as_type: str = "bigint") -> Column:
-    """Key rendered in another type for a join (``int = string``): ``try_cast``, so a
-    non-numeric value becomes NULL and matches nothing instead of failing the job."""
-    return key.try_cast(as_type)
-
-
-def lookup(fact: DataFrame, dim: DataFrame, condition: Column, how: str = "left",
-           max_broadcast_bytes: int | None = None) -> DataFrame:
-    """Star lookup (N:1 or 1:N): ``fact`` joined to ``dim``, the fact side preserved."""
-    return fact.join(checked_broadcast(dim, max_broadcast_bytes), condition, how)
-
-
-def rescan_is_cheap(df: DataFrame) -> bool:
-    """True when ``df`` is scans, filters and projections only (no join, aggregate,
-    window or sort), so reading it again in a second branch costs a scan, not a shuffle."""
-    try:
-        plan = df._jdf.queryExecution().optimizedPlan().toString()
-    except Exception:  # pragma: no cover
-        return False
-    return not any(op in plan for op in ("Join ", "Aggregate ", "Window ", "Sort ", "Union", "Generate "))
+    """Key rendered as an integer for a join (``int = string``), as the server compares the two: by
+    numeric value, so ``'12.0'`` and ``'1e1'`` are 12 and 10. Text with a fraction or without a
+    number becomes NULL and matches nothing instead of failing the job (the server would
+    take the numeric prefix of ``'12abc'``; here that text matches nothing)."""
+    number = key.try_cast("decimal(38,10)")
+    return F.when(number == F.floor(number), number).try_cast(as_type)
 
 
 def skew_safe_left_join(preserved: DataFrame, other: DataFrame, preserved_key: str, other_key: str,
-                        max_broadcast_bytes: int | None = None,
-                        other_keys: DataFrame | None = None, rescan: bool | None = None,
-                        key_not_null: bool = False) -> DataFrame:
+                        strategy: str = "auto", max_broadcast_bytes: int | None = None,
+                        other_keys: DataFrame | None = None) -> DataFrame:
     """``preserved`` LEFT JOIN ``other`` ON preserved_key = other_key, planned so that no
     key - and not NULL either - can put a third of the rows into one task.
 
-    * ``other`` small (checked estimate): broadcast hash join, no shuffle at all.
-    * ``preserved`` cheap to read again (scans/projections): three branches,
+    ``strategy``:
+
+    * ``"broadcast"``: broadcast hash join of ``other``, no shuffle at all;
+    * ``"split"``: three branches,
       - complete keys INNER JOIN ``other``: AQE may split a hot key on *both*
         sides (a left outer join only allows splitting the preserved side, so a
         key with a huge fan-out on ``other`` would stay in one task);
       - complete keys LEFT ANTI JOIN the *distinct* keys of ``other`` (a partial
         aggregate: a hot key is one row), extended with NULLs;
       - NULL keys, which can never match, extended with NULLs without entering
-        any exchange.
-    * otherwise a plain left join; AQE splits hot partitions of the preserved side.
+        any exchange;
+    * ``"auto"``: broadcast if the checked estimate of ``other`` is within the bound, else split.
+
+    AQE gives a split up if something above relies on the join's partitioning, as a later
+    DISTINCT or window on the same key would. The inner branch therefore returns its
+    key as the greater of the two equal keys: a value, not the partitioning
+    column, so what follows deals the rows out anew and hot keys stay split.
 
     Column names of the two sides must be distinct; keys are column names.
     ``other_keys`` (one column) may give the key set of ``other`` from a cheaper
-    source when ``other`` is itself a join that preserves its key side.
-    ``rescan=True`` uses the three branches even when ``preserved`` is not a plain
-    scan: its shuffle by the key is then shared by the inner and the anti branch
-    (``ReusedExchange``), so it is computed once. ``key_not_null=True`` (the
-    caller filtered NULL keys out) drops the NULL branch; the union of the two
-    remaining branches then keeps their hash partitioning on the key, so a
-    later aggregate or window on it needs no new shuffle."""
+    source when ``other`` is itself a join that preserves its key side."""
+    if strategy not in ("auto", "broadcast", "split"):
+        raise ValueError("strategy must be 'auto', 'broadcast' or 'split'")
     pk = F.col(f"`{preserved_key}`")
     ok = F.col(f"`{other_key}`")
-    if estimated_size_bytes(other) <= broadcast_limit(other, max_broadcast_bytes):
+    if strategy == "auto":
+        fits = estimated_size_bytes(other) <= broadcast_limit(other, max_broadcast_bytes)
+        strategy = "broadcast" if fits else "split"
+    if strategy == "broadcast":
         return preserved.join(F.broadcast(other), pk == ok, "left")
-    if not (rescan if rescan is not None else rescan_is_cheap(preserved)):
-        return preserved.join(other, pk == ok, "left")
     fill = [F.lit(None).cast(f.dataType).alias(f.name) for f in other.schema.fields]
     keyed = preserved.where(pk.isNotNull())
-    matched = keyed.join(other, pk == ok, "inner")
+    key = F.greatest(pk, ok).cast(preserved.schema[preserved_key].dataType).alias(preserved_key)
+    matched = keyed.join(other, pk == ok, "inner").select(
+        *[key if n == preserved_key else F.col(f"`{n}`") for n in preserved.columns], *[F.col(f"`{n}`") for n in other.columns])
     keys_src = other.select(ok) if other_keys is None else other_keys
     keys = keys_src.toDF("__other_key").where(F.col("__other_key").isNotNull()).distinct()
     unmatched = keyed.join(keys, pk == F.col("__other_key"), "left_anti").select("*", *fill)
-    out = matched.unionByName(unmatched)
-    if key_not_null:
-        return out
-    return out.unionByName(preserved.where(pk.isNull()).select("*", *fill))
-
+    return matched.unionByName(unmatched).unionByName(preserved.where(pk.isNull()).select("*", *fill))

@@ -12,31 +12,23 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martsmith.operators.dedup import NULL_KEY_SALT, first_wins, key_columns, with_null_key_salt
+from martsmith.operators.dedup import first_wins, key_columns, split_null_keys
 
 
 def anti_existing(batch: DataFrame, existing: DataFrame, key: Sequence[str],
                   collation: str | None = None) -> DataFrame:
-    """Drop ``batch`` rows whose complete key is already in ``existing``.
-
-    ``batch`` carries ``__null_key_salt`` (from ``first_wins``). The join is on
-    (key, salt) with salt 0 for every target key, so it reuses the hash
-    partitioning of the first-wins window and NULL-key rows stay spread; they
-    never match. The target salt is a CASE, not a literal, so the optimizer
-    keeps it as a join key instead of folding it into a filter."""
+    """Drop ``batch`` rows whose complete key is already in ``existing``; rows with a NULL
+    key part never match and pass beside the join."""
+    keyed, loose = split_null_keys(batch, key)
     names = [f"__tk{i}" for i in range(len(key))]
     keys = existing.select(
         *[c.alias(n) for c, n in zip(key_columns(existing, key, collation), names)]
     ).where(" AND ".join(f"{n} IS NOT NULL" for n in names))
-    keys = keys.withColumn(
-        NULL_KEY_SALT, F.when(F.col(names[0]).isNull(), F.lit(-1)).otherwise(F.lit(0)).cast("long")
-    )
     cond = None
-    for bc, n in zip(key_columns(batch, key, collation), names):
+    for bc, n in zip(key_columns(keyed, key, collation), names):
         eq = bc == F.col(n)
         cond = eq if cond is None else cond & eq
-    cond = cond & (batch[NULL_KEY_SALT] == keys[NULL_KEY_SALT])
-    return batch.join(keys, cond, "left_anti")
+    return keyed.join(keys, cond, "left_anti").unionByName(loose)
 
 
 def plan_insert_ignore(
@@ -54,27 +46,11 @@ def plan_insert_ignore(
        never updated;
     3. rows with a NULL key part pass both steps (they never collide).
     """
-    batch = first_wins(incoming, key, order, collation, tiebreak_exclude)
+    keyed, loose = split_null_keys(incoming, key)
+    batch = first_wins(keyed, key, order, collation, tiebreak_exclude)
     if existing is not None:
         batch = anti_existing(batch, existing, key, collation)
-    return batch.drop(NULL_KEY_SALT)
-
-
-def plan_append(existing: DataFrame | None, incoming: DataFrame) -> DataFrame:
-    """Keyless load: every incoming row is added (a snapshot per run)."""
-    return incoming
-
-
-def plan_full_refresh(existing: DataFrame | None, incoming: DataFrame,
-                      key: Sequence[str] = (), order: Sequence[str | Column] = (),
-                      tiebreak_exclude: Sequence[str] = ()) -> DataFrame:
-    """Truncate-and-load: the new content is ``incoming`` (first-wins on ``key`` if any).
-
-    The empty-source guard (an empty run keeps the old rows) is a decision taken
-    before the write, see ``guarded_refresh_content`` for its pure form."""
-    if key:
-        return first_wins(incoming, key, order, tiebreak_exclude=tiebreak_exclude).drop(NULL_KEY_SALT)
-    return incoming
+    return batch.unionByName(loose)
 
 
 def guarded_refresh_content(existing: DataFrame, incoming: DataFrame) -> DataFrame:
@@ -94,30 +70,28 @@ def insert_ignore_report(existing: DataFrame | None, incoming: DataFrame, key: S
     Counted per key group (a partial aggregate, so a hot key costs one row per
     map task), then one join of the groups against the distinct target keys.
     ``order`` does not change counts; it is accepted to mirror the load call."""
-    salted = with_null_key_salt(incoming, key)
+    keyed, loose = split_null_keys(incoming, key)
     names = [f"__k{i}" for i in range(len(key))]
-    groups = salted.groupBy(
-        *[kc.alias(n) for kc, n in zip(key_columns(salted, key, collation), names)], NULL_KEY_SALT
+    groups = keyed.groupBy(
+        *[kc.alias(n) for kc, n in zip(key_columns(keyed, key, collation), names)]
     ).agg(F.count(F.lit(1)).alias("__n"))
+    present = F.lit(False)
     if existing is not None:
         tnames = [f"__tk{i}" for i in range(len(key))]
         tkeys = existing.select(
             *[kc.alias(n) for kc, n in zip(key_columns(existing, key, collation), tnames)]
-        ).where(" AND ".join(f"{n} IS NOT NULL" for n in tnames)).distinct()
-        tkeys = tkeys.withColumn("__present", F.lit(True)).withColumn(
-            "__tsalt", F.when(F.col(tnames[0]).isNull(), F.lit(-1)).otherwise(F.lit(0)).cast("long"))
+        ).where(" AND ".join(f"{n} IS NOT NULL" for n in tnames)).distinct().withColumn("__present", F.lit(True))
         cond = None
         for n, tn in zip(names, tnames):
             eq = F.col(n) == F.col(tn)
             cond = eq if cond is None else cond & eq
-        cond = cond & (F.col(NULL_KEY_SALT) == F.col("__tsalt"))
         groups = groups.join(tkeys, cond, "left")
         present = F.coalesce(F.col("__present"), F.lit(False))
-    else:
-        present = F.lit(False)
-    return groups.agg(
+    rows = groups.select("__n", present.alias("__present")).unionByName(
+        loose.select(F.lit(1).cast("long").alias("__n"), F.lit(False).alias("__present")))
+    return rows.agg(
         F.coalesce(F.sum("__n"), F.lit(0)).cast("long").alias("read"),
         F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).cast("long").alias("deduped_in_batch"),
-        F.count(F.when(present, 1)).alias("already_present"),
-        F.count(F.when(~present, 1)).alias("written"),
+        F.count_if("__present").alias("already_present"),
+        F.count_if(~F.col("__present")).alias("written"),
     )

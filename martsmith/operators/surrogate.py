@@ -1,27 +1,17 @@
-"""Dense surrogate ids (AUTO_INCREMENT) assigned in arrival order, without a single-partition step.
-
-Recipe (the DataFrame form of ``zipWithIndex``):
-
-0. the input is staged once (written under the checkpoint folder) unless it is
-   already staged or only scans and projections: a global sort evaluates its
-   input twice (range-boundary sampling, then the shuffle), and this keeps the
-   upstream joins and aggregates from running twice;
-1. range-partition and sort by the *total* arrival order (``orderBy``; the
-   range partitioner samples the whole composite key, so a hot leading value
-   is split by the tie-break columns);
-2. in the same pass stamp every row with ``monotonically_increasing_id`` =
-   (partition index << 33) + position, and write the result as a staging
-   table under the shared checkpoint folder. The stamp is now stored data: a
-   lost executor or a second read cannot re-sample the range boundaries and
-   move rows between partitions;
-3. per-partition row counts (one row per partition of the range exchange,
-   read back from the staging table: a bounded result) give each partition's
-   offset through a running sum;
-4. id = start + offset(partition) + position + 1 via a broadcast join of the
-   offsets, whose size is bounded by the partition count and checked.
-
-The result is unique, dense and above ``start``; equal to a global
-``row_number() over (order by ...)`` whenever the order is total.
+"""Dense surrogate ids (AUTO_INCREMENT) without a single-partition step.
+
+1. With a declared order the rows are range-partitioned and sorted by it (ties by a hash of
+   the whole row, so a hot value of the order columns is spread over ranges too; or by all columns, where
+   the ids have to equal a global ``row_number()``). Without one nothing is sorted.
+2. Every row is stamped with ``monotonically_increasing_id`` = (partition index << 33) + position and the
+   result is written as a staging table under the shared checkpoint folder. The stamp is stored data: a
+   lost executor or a second read cannot deal the rows out differently.
+3. Per-partition row counts (one row per partition, read back from the staging table) give
+   each partition's offset through a running sum.
+4. id = start + offset(partition) + position + 1, by a join with the offsets: broadcast while they are few.
+
+The result is unique, dense and above ``start``. The largest id is checked against the id's type
+before anything is written to a target.
 """
 
 from __future__ import annotations
@@ -29,66 +19,94 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martsmith.operators.dedup import arrival_order
-from martsmith.operators.joins import rescan_is_cheap
 from martsmith.session import scratch_path
 
 _POS_BITS = 33
 # One row per partition in the offsets table; at ~16 bytes a row this bound
 # keeps the broadcast under 16 MB. Above it the join is planned as a shuffle.
 MAX_BROADCAST_PARTITIONS = 1_000_000
+ID_MAX = {"tinyint": 2**7 - 1, "smallint": 2**15 - 1, "int": 2**31 - 1, "bigint": 2**63 - 1}
+STAMP = "__mid"
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a parquet table under the checkpoint folder and read it back
     (cuts the lineage; the write is a SQL action, so observed metrics fire)."""
-    spark = df.sparkSession
-    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+    return read_stage(df.sparkSession, write_stage(df, name))
+
+
+def write_stage(df: DataFrame, name: str) -> str:
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex[:12]}")
     df.write.mode("overwrite").parquet(path)
+    return path
+
+
+def read_stage(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def assign_surrogate_ids(
-    df: DataFrame,
-    order: Sequence[str | Column] = (),
-    id_col: str = "id",
-    start_after: int = 0,
-    id_type: str = "int",
-    tiebreak_exclude: Sequence[str] = (),
-    input_staged: bool = False,
-) -> DataFrame:
-    """Add ``id_col`` = ``start_after`` + 1, 2, ... following the arrival order.
-
-    ``order`` columns come first (ascending, NULLs first); every other column
-    breaks ties. The id column is put first. Pass ``input_staged=True`` when
-    ``df`` is already a scan of a staged table."""
-    if not input_staged and not rescan_is_cheap(df):
-        df = stage(df, "surrogate-input")
-    ordered = df.orderBy(*arrival_order(df, order, exclude=tiebreak_exclude))
-    staged = stage(ordered.withColumn("__mid", F.monotonically_increasing_id()), "surrogate")
-    numbered = staged.withColumn("__part", F.shiftright(F.col("__mid"), _POS_BITS))
-    # one count per partition of the range exchange - at most
-    # spark.sql.shuffle.partitions rows (AQE only coalesces) - so the running
-    # sum is done on the driver and the offsets are broadcast
+def drop_stage(spark: SparkSession, path: str) -> None:
+    """Remove a staged table that nothing reads any more."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def stamped(df: DataFrame) -> DataFrame:
+    """``df`` with each row's partition and position, to be staged before use."""
+    return df.withColumn(STAMP, F.monotonically_increasing_id())
+
+
+def number_stamped(staged: DataFrame, id_col: str = "id", start_after: int = 0, id_type: str = "int") -> DataFrame:
+    """``staged`` (a stored table with the stamp) with ``id_col`` = ``start_after`` + 1, 2, ... put first."""
+    numbered = staged.withColumn("__part", F.shiftright(F.col(STAMP), _POS_BITS))
+    # one count per partition of the staged write: the running sum is done on the driver
     counts = sorted(
         (int(r["__part"]), int(r["__n"]))
         for r in numbered.groupBy("__part").agg(F.count(F.lit(1)).alias("__n")).collect()
     )
-    if len(counts) > MAX_BROADCAST_PARTITIONS:  # pragma: no cover - needs > 1e6 partitions
-        raise ValueError("too many partitions for the offsets table")
     running, rows = 0, []
     for part, n in counts:
         rows.append((part, running))
         running += n
-    spark = df.sparkSession
-    offsets = F.broadcast(spark.createDataFrame(rows, "__part long, __off long"))
-    pos = F.col("__mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1))
+    if start_after + running > ID_MAX.get(id_type, 2**63 - 1):
+        raise ValueError(f"ids up to {start_after + running} do not fit {id_type}")
+    offsets = staged.sparkSession.createDataFrame(rows, "__part long, __off long")
+    if len(rows) <= MAX_BROADCAST_PARTITIONS:
+        offsets = F.broadcast(offsets)
+    pos = F.col(STAMP).bitwiseAND(F.lit((1 << _POS_BITS) - 1))
     new_id = (F.lit(int(start_after)) + F.col("__off") + pos + F.lit(1)).cast(id_type)
     out = numbered.join(offsets, "__part").withColumn(id_col, new_id)
-    return out.select(id_col, *[f"`{c}`" for c in df.columns])
+    return out.select(id_col, *[f"`{c}`" for c in staged.columns if c != STAMP])
+
+
+def in_order(df: DataFrame, order: Sequence[str | Column], total: bool = True, tiebreak_exclude: Sequence[str] = ()) -> DataFrame:
+    """``df`` sorted by ``order`` (ascending, NULLs first), ties by all other columns (``total``) or by a
+    hash of the row."""
+    if total:
+        return df.orderBy(*arrival_order(df, order, exclude=tiebreak_exclude))
+    keys = [F.col(f"`{o}`").asc_nulls_first() if isinstance(o, str) else o for o in order]
+    return df.orderBy(*keys, F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+
+
+def assign_surrogate_ids(
+    df: DataFrame,
+    order: Sequence[str | Column] = (),
+    id_col: str = "id",
+    start_after: int = 0,
+    id_type: str = "int",
+    tiebreak_exclude: Sequence[str] = (),
+    total: bool = True,
+) -> DataFrame:
+    """Add ``id_col`` = ``start_after`` + 1, 2, ... in the order given, or in any order if none is.
+
+    ``df`` should be a scan or a staged table if there is an order: a global sort evaluates its
+    input twice (once to sample range boundaries)."""
+    sorted_rows = in_order(df, order, total, tiebreak_exclude) if order else df
+    return number_stamped(stage(stamped(sorted_rows), "surrogate"), id_col, start_after, id_type)
 
 
 def max_id(existing: DataFrame | None, id_col: str = "id") -> int:

@@ -24,7 +24,7 @@ from martsmith.functions.scalar import (
     nan_to_null,
 )
 from martsmith.operators.conform import conform, convert
-from martsmith.operators.dedup import distinct_rows, first_wins, NULL_KEY_SALT
+from martsmith.operators.dedup import distinct_rows, first_wins
 from martsmith.operators.joins import checked_broadcast, skew_safe_left_join, typed_key
 from martsmith.operators.loadplan import (
     guarded_refresh_content,
@@ -32,7 +32,7 @@ from martsmith.operators.loadplan import (
     plan_insert_ignore,
 )
 from martsmith.operators.surrogate import assign_surrogate_ids, stage
-from martsmith.plans.jobs import KYC_JSON_PATHS
+from martsmith.plans.jobs import KYC_JSON_PATHS, MARTS
 from martsmith.plans.runner import mart_rows
 from martsmith.schemas import REFERRALS, spark_type
 from martsmith.sources.standins import standin_registry
@@ -94,7 +94,7 @@ def typed_key_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = src["accounts.kyc_infos"].select(
         c("id").alias("kyc_id"), c("namescan_id"), typed_key(c("namescan_id")).alias("k_user")
     )
-    return u.join(k, c("user_id") == c("k_user"), "left").select("user_id", "kyc_id", "namescan_id")
+    return skew_safe_left_join(u, k, "user_id", "k_user", "split").select("user_id", "kyc_id", "namescan_id")
 
 
 _TOP_PATHS = {k: v for k, v in KYC_JSON_PATHS.items() if "[" not in v}
@@ -207,7 +207,7 @@ _LI_KEY = ("l_orderkey", "l_linenumber")
 
 def insert_ignore_first_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SNK-2 in batch: first row per (l_orderkey, l_linenumber) by ship date, then all columns."""
-    return first_wins(_lineitem(spark, sf_dir), _LI_KEY, ["l_shipdate"]).drop(NULL_KEY_SALT)
+    return first_wins(_lineitem(spark, sf_dir), _LI_KEY, ["l_shipdate"])
 
 
 def insert_ignore_existing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -233,9 +233,9 @@ def insert_ignore_nullable_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 def append_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SNK-4 + SNK-7: the keyless users mart appended twice; ids continue after the first load."""
     rows = stage(mart_rows(_src(spark, sf_dir), "users"), "users-snapshot")
-    first = assign_surrogate_ids(rows, ["user_id"], "id", 0, input_staged=True)
+    first = assign_surrogate_ids(rows, ["user_id"], "id", 0)
     n = rows.count()
-    second = assign_surrogate_ids(rows, ["user_id"], "id", n, input_staged=True)
+    second = first.withColumn("id", (c("id") + F.lit(n)).cast(first.schema["id"].dataType))  # the same order again
     return first.withColumn("load_no", F.lit(1)).unionByName(second.withColumn("load_no", F.lit(2)))
 
 
@@ -262,7 +262,7 @@ def full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def surrogate_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SNK-7: dense ids above an existing maximum (1000), in transaction-date order."""
-    rows = mart_rows(_src(spark, sf_dir), "campaign_transactions")
+    rows = stage(mart_rows(_src(spark, sf_dir), "campaign_transactions"), "transactions")
     return assign_surrogate_ids(rows, ["transaction_date"], "row_id", 1000, "bigint")
 
 
@@ -297,6 +297,103 @@ def incremental_referrals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return target.read(spark)
 
 
+def _split_mart(name: str) -> Query:
+    """The mart with its fan-out joins in the form that runs at scale, whatever the size."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return mart_rows(_src(spark, sf_dir), name, strategy="split")
+    run.__name__ = f"{name}_split_rows"
+    return run
+
+
+def typed_key_decimal_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JN-T: integer key = text such as ``'12.0'`` and ``'120e-1'``; a fraction or other text matches nothing."""
+    o = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    number = c("o_custkey").cast("string")
+    case = c("o_orderkey") % 5
+    text = o.select("o_orderkey", F.when(case == 0, F.concat(number, F.lit(".0"))).when(case == 1, F.concat(number, F.lit("0e-1")))
+                    .when(case == 2, F.concat(number, F.lit(".5"))).when(case == 3, F.concat(number, F.lit("abc")))
+                    .otherwise(number).alias("key_text"))
+    keyed = text.withColumn("o_key", typed_key(c("key_text")))
+    cust = spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey")
+    return skew_safe_left_join(cust, keyed, "c_custkey", "o_key", "split").select("c_custkey", "o_orderkey", "key_text")
+
+
+def conform_text_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-8 on numeric text: one rounding, clamp of any width, numeric prefix, full dates only."""
+    texts = ["0.00499999999995", "123456789012345678901234567890123", "-1e39", "12abc", " 12 ", "2024", "0.005"]
+    o = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", (c("o_orderkey") % 8).alias("case_no"))
+    raw = o.withColumn("raw", F.coalesce(F.get(F.array(*map(F.lit, texts)), c("case_no").cast("int")),
+                                         F.concat(c("o_orderkey").cast("string"), F.lit(".5"))))
+    text = T.StringType()
+
+    def conv(sql: str, mode: str = "null"):
+        return convert(c("raw"), text, _probe_field("raw", sql), mode)[0]
+
+    return raw.select("o_orderkey", "case_no", conv("decimal(18,2)").alias("amount"), conv("decimal(18,2)", "zero").alias("amount_zero"),
+                      conv("int").alias("whole"), conv("date").alias("day"))
+
+
+def _loads(spark: SparkSession, sf_dir: str, name: str, frames) -> tuple[DataFrame, list]:
+    """Production loads of ``frames`` (functions of the registry) one after the other into a fresh
+    target under the checkpoint folder: what the target holds then, and the reports."""
+    from martsmith.plans.runner import load_frame
+    from martsmith.session import scratch_path
+    from martsmith.sinks import ParquetTarget
+
+    spec = MARTS[name].target
+    target = ParquetTarget(spec, scratch_path(spark, f"load-{name}-{uuid.uuid4().hex[:12]}"))
+    src = _src(spark, sf_dir)
+    reports = [load_frame(spark, frame(src), spec, target) for frame in frames]
+    held = target.read(spark)
+    return (held.drop(spec.surrogate) if spec.surrogate else held), reports
+
+
+def _referrals(where: str = "true"):
+    return lambda src: MARTS["referrals"].query(src).where(where)
+
+
+def load_insert_ignore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-2, SNK-6, SNK-10: referrals loaded in part, in full, and in full again."""
+    return _loads(spark, sf_dir, "referrals", [_referrals("status = 'F'"), _referrals(), _referrals()])[0]
+
+
+def load_nullable_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-3: withdrawals loaded twice; rows with a NULL key come in with each load."""
+    return _loads(spark, sf_dir, "wallet_withdraw_funds", [MARTS["wallet_withdraw_funds"].query] * 2)[0]
+
+
+def load_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-4: the keyless users mart loaded twice."""
+    return _loads(spark, sf_dir, "users", [MARTS["users"].query] * 2)[0]
+
+
+def load_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-5: a refresh with a part, then with all rows."""
+    query = MARTS["issuer_onboardings"].query
+    return _loads(spark, sf_dir, "issuer_onboardings", [lambda src: query(src).where("issuer_id % 2 = 0"), query])[0]
+
+
+def load_empty_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-4: a refresh with no rows leaves the target's content."""
+    query = MARTS["wallet_add_funds"].query
+    return _loads(spark, sf_dir, "wallet_add_funds", [query, lambda src: query(src).where("false")])[0]
+
+
+def load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MET-1: the reports of ``load_insert_ignore``'s three loads."""
+    reports = _loads(spark, sf_dir, "referrals", [_referrals("status = 'F'"), _referrals(), _referrals()])[1]
+    return spark.createDataFrame(
+        [(n, r.read, r.deduped_in_batch, r.already_present, r.written, r.skipped_empty) for n, r in enumerate(reports, 1)],
+        "load_no int, read long, deduped_in_batch long, already_present long, written long, skipped_empty boolean")
+
+
+def surrogate_no_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-7 without a declared order: no sort; ids are dense above the maximum, one per row."""
+    rows = assign_surrogate_ids(mart_rows(_src(spark, sf_dir), "campaign"), (), "row_id", 500, "bigint")
+    return rows.agg(F.count(F.lit(1)).alias("n"), F.min("row_id").alias("first_id"), F.max("row_id").alias("last_id"),
+                    F.countDistinct("row_id").alias("n_ids"), F.countDistinct("campaign_id").alias("n_campaigns"))
+
+
 QUERIES: dict[str, Query] = {
     "referrals_mart": _mart("referrals"),
     "transactions_mart": _mart("campaign_transactions"),
@@ -326,4 +423,19 @@ QUERIES: dict[str, Query] = {
     "surrogate_id": surrogate_id,
     "load_report": load_report,
     "incremental_referrals": incremental_referrals,
+    "bank_mart_split": _split_mart("bank"),
+    "campaign_mart_split": _split_mart("campaign"),
+    "issuer_mart_split": _split_mart("issuer_onboardings"),
+    "users_mart_split": _split_mart("users"),
+    "add_funds_mart_split": _split_mart("wallet_add_funds"),
+    "withdraw_mart_split": _split_mart("wallet_withdraw_funds"),
+    "typed_key_decimal_text": typed_key_decimal_text,
+    "conform_text_numbers": conform_text_numbers,
+    "load_insert_ignore": load_insert_ignore,
+    "load_nullable_key": load_nullable_key,
+    "load_append": load_append,
+    "load_refresh": load_refresh,
+    "load_empty_refresh": load_empty_refresh,
+    "load_counts": load_counts,
+    "surrogate_no_order": surrogate_no_order,
 }

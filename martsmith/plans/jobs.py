@@ -14,9 +14,10 @@ Join plans are written for scale:
   same result, and no join ever hashes the NULL-extended rows of a previous
   outer join into one partition;
 * right joins are written as left joins from the preserved fact side;
-* a left join straight off a scan goes through ``skew_safe_left_join``: inner
-  join (AQE may split a hot key on both sides) + anti join against the distinct
-  keys + the NULL-key rows, which never enter an exchange;
+* fan-out left joins go through ``skew_safe_left_join``: inner join (AQE may
+  split a hot key on both sides) + anti join against the distinct keys + the
+  NULL-key rows, which never enter an exchange. ``strategy`` fixes its form
+  (``"split"`` or ``"broadcast"``) whatever the size;
 * joins whose output is unused under DISTINCT are placed last, where the
   optimizer removes them (see ``tests/test_plans.py``).
 """
@@ -48,14 +49,14 @@ from martsmith.sources.registry import SourceRegistry
 c = F.col
 
 
-def bank_query(src: SourceRegistry) -> DataFrame:
+def bank_query(src: SourceRegistry, strategy: str = "auto") -> DataFrame:
     """JOB-1: users LEFT JOIN user_bank_infos, ids not NULL, DISTINCT."""
     u = src["accounts.users"].where(c("id").isNotNull()).select(c("id").alias("user_id"))
     ub = src["admin.user_bank_infos"].select(
         c("user_id").alias("ub_user_id"), "bank_name", "ac_name", "ac_no", "branch",
         "swift_code", "iban", "home_address",
     )
-    q = skew_safe_left_join(u, ub, "user_id", "ub_user_id", key_not_null=True).drop("ub_user_id")
+    q = skew_safe_left_join(u, ub, "user_id", "ub_user_id", strategy).drop("ub_user_id")
     return distinct_rows(q)
 
 
@@ -74,12 +75,12 @@ _CAMPAIGN_PASSTHROUGH_2 = [
 ]
 
 
-def campaign_query(src: SourceRegistry) -> DataFrame:
+def campaign_query(src: SourceRegistry, strategy: str = "auto") -> DataFrame:
     """JOB-2: campaign_masters LEFT JOIN user_types (fan-out) LEFT JOIN admin countries."""
     cm = src["admin.campaign_masters"].where(c("id").isNotNull())
     ut = src["accounts.user_types"].select(c("user_id").alias("ut_user_id"), c("type_id").alias("user_type_id"))
     co = src["admin.countries"].select(c("id").alias("co_id"), c("name").alias("country_name"))
-    j = skew_safe_left_join(cm, ut, "user_id", "ut_user_id")
+    j = skew_safe_left_join(cm, ut, "user_id", "ut_user_id", strategy)
     j = j.join(checked_broadcast(co), c("country_id") == c("co_id"), "left")
     return j.select(
         c("id").alias("campaign_id"),
@@ -99,13 +100,13 @@ def campaign_transactions_query(src: SourceRegistry) -> DataFrame:
     )
 
 
-def issuer_onboardings_query(src: SourceRegistry) -> DataFrame:
+def issuer_onboardings_query(src: SourceRegistry, strategy: str = "auto") -> DataFrame:
     """JOB-4: issuer_onboardings LEFT JOIN campaign_masters on the issuer's user id."""
     i = src["admin.issuer_onboardings"].where(c("issuer_id").isNotNull())
     b = src["admin.campaign_masters"].select(c("id").alias("campaign_id"), c("user_id").alias("b_user_id"))
     passthrough = [n for n, _ in ISSUER_ONBOARDINGS.columns
                    if n not in ("id", "campaign_id", "issuer_id", "on_boarding_status")]
-    return skew_safe_left_join(i, b, "issuer_id", "b_user_id", key_not_null=True).select(
+    return skew_safe_left_join(i, b, "issuer_id", "b_user_id", strategy).select(
         c("issuer_id"),
         c("campaign_id"),
         *[c(n) for n in passthrough],
@@ -157,7 +158,7 @@ _USER_COLS_2 = [
 ]
 
 
-def users_query(src: SourceRegistry, json_null: str = "sql", dead_joins: bool = True) -> DataFrame:
+def users_query(src: SourceRegistry, json_null: str = "sql", dead_joins: bool = True, strategy: str = "auto") -> DataFrame:
     """JOB-6: the users star - 10 left joins, JSON extraction, DISTINCT on 45 columns.
 
     The KYC documents are parsed once per document (before the fan-out); the
@@ -188,16 +189,16 @@ def users_query(src: SourceRegistry, json_null: str = "sql", dead_joins: bool =
         c("investor_category_id").alias("kyc_investor_category_id"),
         c("annual_salary"), c("net_worth"), c("status").alias("kyc_status"),
     )
-    kyc = k.join(ke, c("k_id") == c("kyc_info_id"), "left").drop("k_id")
+    kyc = skew_safe_left_join(k, ke, "k_id", "kyc_info_id", strategy).drop("k_id")
 
     # both per-user fan-outs go through the skew-safe form: KYC straight off the users
-    # scan, then the type bridge off that result (hash-partitioned on u_id, its
-    # exchanges are reused by both branches)
+    # scan, then the type bridge off that result (dealt out anew by u_id once, the
+    # exchange serves both branches)
     uid = u.select(c("u.id").alias("u_id"), *[c(f"u.`{n}`").alias(f"u_{n}") for n in u.columns if n != "id"])
-    by_kyc = skew_safe_left_join(uid, kyc, "u_id", "k_user_id", key_not_null=True,
+    by_kyc = skew_safe_left_join(uid, kyc, "u_id", "k_user_id", strategy,
                                  other_keys=src["accounts.kyc_infos"].select(typed_key(c("namescan_id"))))
     j = (
-        skew_safe_left_join(by_kyc, bt, "u_id", "bt_user_id", key_not_null=True, rescan=True,
+        skew_safe_left_join(by_kyc, bt, "u_id", "bt_user_id", strategy,
                             other_keys=src["accounts.user_types"].select("user_id"))
         .join(cntrs, c("u_country_id") == c("cntrs.id"), "left")
         .join(a, c("u_id") == c("a.id"), "left")
@@ -230,7 +231,7 @@ def users_query(src: SourceRegistry, json_null: str = "sql", dead_joins: bool =
     return distinct_rows(q)
 
 
-def wallet_add_funds_query(src: SourceRegistry) -> DataFrame:
+def wallet_add_funds_query(src: SourceRegistry, strategy: str = "auto") -> DataFrame:
     """JOB-7: users RIGHT JOIN fund_users LEFT JOIN add_funds, payment code decoded, DISTINCT.
 
     Written from the preserved bridge: fund_users LEFT JOIN add_funds (skew-safe
@@ -254,13 +255,13 @@ def wallet_add_funds_query(src: SourceRegistry) -> DataFrame:
     )
     # the fan-out join (a fund with many add_funds rows) goes skew-safe straight off the
     # bridge scan; the unique-key users lookup follows (AQE splits a hot preserved side)
-    j = skew_safe_left_join(fu, a, "fund_id", "a_id")
+    j = skew_safe_left_join(fu, a, "fund_id", "a_id", strategy)
     j = j.join(u, c("fu_user_id") == c("u_id"), "left")
     q = j.select(c("u_id").alias("user_id"), *[n for n in a.columns if n != "a_id"])
     return distinct_rows(q)
 
 
-def wallet_withdraw_funds_query(src: SourceRegistry) -> DataFrame:
+def wallet_withdraw_funds_query(src: SourceRegistry, strategy: str = "auto") -> DataFrame:
     """JOB-8: users RIGHT JOIN withdraw_funds LEFT JOIN user_bank_infos (on the users-side key).
 
     The bank join only references ``u.id``, so users are joined to their bank
@@ -286,9 +287,9 @@ def wallet_withdraw_funds_query(src: SourceRegistry) -> DataFrame:
     )
     # users without an id can never match a withdrawal: filtered before the join
     u = src["accounts.users"].where(c("id").isNotNull()).select(c("id").alias("u_id"))
-    ubank = skew_safe_left_join(u, ub, "u_id", "ub_user_id", key_not_null=True).drop("ub_user_id")
+    ubank = skew_safe_left_join(u, ub, "u_id", "ub_user_id", strategy).drop("ub_user_id")
     # ubank keeps every user, so its key set is the users' ids
-    j = skew_safe_left_join(w, ubank, "w_user_id", "u_id", other_keys=u)
+    j = skew_safe_left_join(w, ubank, "w_user_id", "u_id", strategy, other_keys=u)
     return j.select(
         c("u_id").alias("user_id"),
         *[n for n in w.columns if n != "w_user_id"],

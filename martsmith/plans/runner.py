@@ -12,13 +12,23 @@ from __future__ import annotations
 
 from dataclasses import asdict, dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from martsmith.operators.conform import COERCED_COL, conform
-from martsmith.operators.dedup import NULL_KEY_SALT, first_wins
+from martsmith.operators.dedup import first_wins
 from martsmith.operators.loadplan import anti_existing
-from martsmith.operators.surrogate import assign_surrogate_ids, max_id, stage
+from martsmith.operators.surrogate import (
+    STAMP,
+    drop_stage,
+    in_order,
+    max_id,
+    number_stamped,
+    read_stage,
+    stamped,
+    write_stage,
+)
 from martsmith.plans.jobs import MARTS, MartSpec
 from martsmith.schemas import TargetSpec
 from martsmith.sources.registry import SourceRegistry
@@ -41,7 +51,7 @@ def mart_rows(src: SourceRegistry, name: str, on_bad_cast: str = "null", **query
     q, arrival = with_arrival(mart.query(src, **query_options), spec)
     rows = conform(q, spec, on_bad_cast=on_bad_cast, keep=tuple(arrival))
     if spec.key:
-        rows = first_wins(rows, spec.key, arrival, spec.key_collation).drop(NULL_KEY_SALT)
+        rows = first_wins(rows, spec.key, arrival, spec.key_collation)
     return rows.drop(*arrival)
 
 
@@ -84,6 +94,14 @@ def load_mart(
                       name=mart.name)
 
 
+def _observed(observation: Observation) -> dict:
+    """The metrics; none if the optimizer proved the rows empty and dropped the counting with them."""
+    try:
+        return observation.get
+    except Py4JJavaError:
+        return {}
+
+
 def load_frame(
     spark: SparkSession,
     query: DataFrame,
@@ -106,15 +124,23 @@ def load_frame(
 
     target.create_if_missing(spark)
     existing = target.read(spark) if spec.mode != "full_refresh" else None
-    obs_batch = obs_new = None
+    obs_batch = None
+    temporary: list[str] = []
+
+    def staged(df: DataFrame, what: str) -> DataFrame:
+        temporary.append(write_stage(df, f"{name}-{what}"))
+        return read_stage(spark, temporary[-1])
+
     rows = conformed
+    if spec.key and any(f.nullable and f.name in spec.key and f.name not in spec.not_null for f in spec.load_schema.fields):
+        # rows with a NULL key part go beside the window and the anti join: two branches read these rows
+        rows = staged(rows, "read")
     if spec.key:
         rows = first_wins(rows, spec.key, arrival, spec.key_collation)
         obs_batch = Observation(f"{name}_batch")
         rows = rows.observe(obs_batch, F.count(F.lit(1)).alias("rows"))
         if spec.mode == "insert_ignore" and existing is not None:
-            rows = anti_existing(rows, existing, spec.key, spec.key_collation)
-        rows = rows.drop(NULL_KEY_SALT)
+            rows = anti_existing(staged(rows, "batch") if temporary else rows, existing, spec.key, spec.key_collation)
     obs_new = Observation(f"{name}_new")
     rows = rows.observe(obs_new, F.count(F.lit(1)).alias("rows"))
 
@@ -124,27 +150,32 @@ def load_frame(
         target.append(rows.drop(*arrival))
     else:
         # One evaluation of the whole plan: the new rows are staged in the checkpoint
-        # folder (the observations fire exactly once), and every later step -
-        # empty guard, sort for ids, target write - reads the staged table.
-        rows = stage(rows, f"{name}-rows")
+        # folder (the observations fire exactly once), stamped with their place; the
+        # empty guard, the ids and the target write read the staged table. Only a
+        # declared order costs a sort, and a second staged table.
+        rows = staged(stamped(rows), "rows")
         if spec.mode == "full_refresh" and rows.isEmpty():
             report.skipped_empty = True
         else:
             if spec.surrogate:
                 start = 0 if spec.mode == "full_refresh" else max_id(existing, spec.surrogate)
                 id_type = spec.field(spec.surrogate).dataType.simpleString()
-                rows = assign_surrogate_ids(rows, arrival, spec.surrogate, start, id_type, input_staged=True)
-            rows = rows.drop(*arrival)
+                if arrival:
+                    rows = staged(stamped(in_order(rows.drop(STAMP), arrival, total=False)), "sorted")
+                rows = number_stamped(rows, spec.surrogate, start, id_type)
+            rows = rows.drop(*arrival, STAMP)
             if spec.mode == "full_refresh":
                 target.overwrite(rows)
             else:
                 target.append(rows)
+    for path in temporary:  # the target holds the rows; after a failure the tables stay for a look
+        drop_stage(spark, path)
 
-    r = obs_read.get
+    r = _observed(obs_read)
     report.read = int(r.get("rows", 0) or 0)
     report.coerced_cells = int(r.get("coerced", 0) or 0)
-    batch_rows = int(obs_batch.get.get("rows", 0) or 0) if obs_batch else report.read
-    new_rows = int(obs_new.get.get("rows", 0) or 0)
+    batch_rows = int(_observed(obs_batch).get("rows", 0) or 0) if obs_batch else report.read
+    new_rows = int(_observed(obs_new).get("rows", 0) or 0)
     report.deduped_in_batch = report.read - batch_rows
     report.already_present = batch_rows - new_rows
     report.written = 0 if report.skipped_empty else new_rows

@@ -42,21 +42,24 @@ def build_session(
     return spark
 
 
-def scale_conf(input_bytes: int, target_partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
-    """Settings for a run over ``input_bytes`` of source data on a cluster.
+def scale_conf(shuffled_bytes: int, target_partition_bytes: int = 256 * 1024 * 1024,
+               max_partitions: int = 20_000) -> dict[str, str]:
+    """Settings for a run whose largest stage shuffles ``shuffled_bytes``.
 
-    Shuffle partitions are sized so that each holds about ``target_partition_bytes``
-    (AQE coalesces the small ones and splits skewed join partitions); scans read
-    splits of the same size; automatic broadcasts stay under the bound that
-    ``checked_broadcast`` uses. Pass the result as ``extra_conf`` to
+    Shuffle partitions are sized so that each holds about ``target_partition_bytes`` (AQE coalesces the
+    small ones and splits skewed join partitions), up to ``max_partitions``: the driver
+    keeps a map status per map task and reducer, so beyond that partitions grow instead
+    (tasks spill). Scans read splits of the target size; automatic broadcasts stay under the
+    bound that ``checked_broadcast`` uses. Pass the result as ``extra_conf`` to
     ``build_session`` or set it on the cluster."""
-    partitions = max(200, -(-int(input_bytes) // target_partition_bytes))
+    partitions = min(max_partitions, max(200, -(-int(shuffled_bytes) // target_partition_bytes)))
+    held = max(target_partition_bytes, -(-int(shuffled_bytes) // partitions))
     return {
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
         "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * held),
     }
 
 

@@ -2,18 +2,22 @@
 
 A target knows its ``TargetSpec``; it can be created empty with the declared
 schema (``CREATE TABLE IF NOT EXISTS``), read, appended to and overwritten.
-Writes are plain Spark writes (per-task output, job-level commit); JDBC writes
-use ``batchsize`` rows per round trip and ``truncate`` on overwrite so the
-declared table survives.
+Writes are plain Spark writes (per-task output, job-level commit). A parquet refresh
+writes the new content beside the old one and then switches by two renames, so a
+failed write leaves the old content; JDBC writes use ``batchsize`` rows per round trip and
+``truncate`` on overwrite so the declared table survives. Whether a JDBC table exists is asked of the
+server's catalog: any other trouble is an error, never "no table".
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
-from martsmith.schemas import TargetSpec
+from martsmith.schemas import VARCHAR_META, TargetSpec
 
 
 def _ordered(df: DataFrame, spec: TargetSpec) -> DataFrame:
@@ -27,12 +31,18 @@ class ParquetTarget:
     spec: TargetSpec
     path: str
 
+    def _fs(self, spark: SparkSession):
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        return path, path(self.path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
     def exists(self, spark: SparkSession) -> bool:
-        """A metadata call on the target's file system (no Spark job)."""
-        jvm = spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.path)
-        fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        return bool(fs.exists(path))
+        """A metadata call on the target's file system (no Spark job). A refresh that died
+        between its two renames is put right: the old content gets its name back."""
+        path, fs = self._fs(spark)
+        if fs.exists(path(self.path)):
+            return True
+        kept = [s.getPath() for s in fs.globStatus(path(f"{self.path.rstrip('/')}.old-*")) or []]
+        return bool(kept) and bool(fs.rename(kept[0], path(self.path)))
 
     def create_if_missing(self, spark: SparkSession) -> None:
         if not self.exists(spark):
@@ -47,7 +57,18 @@ class ParquetTarget:
         _ordered(df, self.spec).write.mode("append").parquet(self.path)
 
     def overwrite(self, df: DataFrame) -> None:
-        _ordered(df, self.spec).write.mode("overwrite").parquet(self.path)
+        spark, run = df.sparkSession, uuid.uuid4().hex[:12]
+        base = self.path.rstrip("/")
+        new, old = f"{base}.new-{run}", f"{base}.old-{run}"
+        _ordered(df, self.spec).write.parquet(new)
+        path, fs = self._fs(spark)
+        had = self.exists(spark)
+        if had and not fs.rename(path(base), path(old)):
+            raise OSError(f"{base} could not be set aside; the new content is in {new}")
+        if not fs.rename(path(new), path(base)):
+            raise OSError(f"{new} could not take the place of {base}; the old content is in {old}")
+        if had:
+            fs.delete(path(old), True)
 
 
 @dataclass
@@ -66,23 +87,57 @@ class JdbcTarget:
         opts.update(self.properties)
         return opts
 
+    def _connection(self, spark: SparkSession):
+        """A connection of the driver process; errors propagate."""
+        jvm = spark.sparkContext._jvm
+        settings = jvm.java.util.Properties()
+        for k, v in self.properties.items():
+            settings.setProperty(k, str(v))
+        if driver := self.properties.get("driver"):
+            jvm.org.apache.spark.sql.execution.datasources.jdbc.DriverRegistry.register(driver)
+        return jvm.java.sql.DriverManager.getConnection(self.url, settings)
+
     def exists(self, spark: SparkSession) -> bool:
+        schema, _, name = self.dbtable.replace("`", "").replace('"', "").rpartition(".")
+        connection = self._connection(spark)
         try:
-            spark.read.format("jdbc").options(**self._opts()).load().schema  # noqa: B018
-            return True
-        except Exception:
+            meta = connection.getMetaData()
+            for fold in (str, str.upper, str.lower):  # servers fold unquoted names differently
+                # some servers call a database a catalog, others a schema
+                for catalog, owner in ((None, fold(schema) or None), (schema or None, None)):
+                    found = meta.getTables(catalog, owner, fold(name), None)
+                    if found.next():
+                        return True
             return False
+        finally:
+            connection.close()
 
     def create_if_missing(self, spark: SparkSession) -> None:
-        if not self.exists(spark):
-            empty = spark.createDataFrame([], self.spec.schema)
-            empty.write.format("jdbc").options(**self._opts()).mode("ignore").save()
+        if self.exists(spark):
+            return
+        empty = spark.createDataFrame([], self.spec.schema)
+        options = {k: v for k, v in {"createTableColumnTypes": column_types(self.spec)}.items() if v}
+        empty.write.format("jdbc").options(**self._opts(), **options).mode("ignore").save()
+        if self.spec.key:
+            connection = self._connection(spark)
+            try:
+                connection.createStatement().execute(unique_key_ddl(self.spec, self.dbtable, connection.getMetaData().getIdentifierQuoteString()))
+            finally:
+                connection.close()
 
     def read(self, spark: SparkSession) -> DataFrame | None:
+        """The table, in slices of the surrogate id if it has one (bounds from one min/max query)."""
         if not self.exists(spark):
             return None
-        return (spark.read.format("jdbc").options(**self._opts())
-                .option("preferTimestampNTZ", "true").load())
+        reader = spark.read.format("jdbc").options(**self._opts()).option("preferTimestampNTZ", "true")
+        if self.spec.surrogate and self.num_partitions:
+            table = reader.load()
+            low, high = table.agg({self.spec.surrogate: "min"}).first()[0], table.agg({self.spec.surrogate: "max"}).first()[0]
+            if low is not None:
+                reader = reader.option("partitionColumn", self.spec.surrogate).option("lowerBound", str(low)).option("upperBound", str(high + 1))
+            else:
+                return table
+        return reader.load()
 
     def append(self, df: DataFrame) -> None:
         _ordered(df, self.spec).write.format("jdbc").options(**self._opts()).mode("append").save()
@@ -90,3 +145,15 @@ class JdbcTarget:
     def overwrite(self, df: DataFrame) -> None:
         (_ordered(df, self.spec).write.format("jdbc").options(**self._opts())
          .option("truncate", "true").mode("overwrite").save())
+
+
+def column_types(spec: TargetSpec) -> str:
+    """``createTableColumnTypes``: the declared VARCHAR lengths (other types follow from the schema)."""
+    return ", ".join(f"`{f.name}` VARCHAR({f.metadata[VARCHAR_META]})" for f in spec.schema.fields
+                     if isinstance(f.dataType, T.StringType) and f.metadata.get(VARCHAR_META))
+
+
+def unique_key_ddl(spec: TargetSpec, dbtable: str, quote: str = "`") -> str:
+    """The statement that gives a created table its unique key."""
+    name = f"uk_{spec.name}_{'_'.join(spec.key)}"[:60]
+    return f"ALTER TABLE {dbtable} ADD CONSTRAINT {name} UNIQUE ({', '.join(f'{quote}{k}{quote}' for k in spec.key)})"

@@ -65,36 +65,12 @@ class JdbcTable:
 
 @dataclass
 class ParquetTable:
-    """A parquet folder or file.
-
-    A table between ``spread_min_bytes`` and ``spread_max_bytes`` whose scan
-    yields fewer splits than the session's default parallelism (a few files with
-    one row group each) is spread round-robin over that many partitions, so the
-    per-row work before the first shuffle (JSON parsing, conform, partial
-    aggregation) does not run in a single task. The exchange this adds is
-    bounded by ``spread_max_bytes``; bigger tables keep their file splits, which
-    at that size already give tasks of ``spark.sql.files.maxPartitionBytes``."""
+    """A parquet folder or file; its splits are the scan's tasks, at any size."""
 
     path: str
-    spread_min_bytes: int = 1 << 20
-    spread_max_bytes: int = 1 << 30
 
     def read(self, spark: SparkSession) -> DataFrame:
-        df = spark.read.parquet(self.path)
-        want = spark.sparkContext.defaultParallelism
-        if want > 1 and df.rdd.getNumPartitions() < want:
-            size = _size(df)
-            if self.spread_min_bytes < size <= self.spread_max_bytes:
-                df = df.repartition(want)
-        return df
-
-
-def _size(df: DataFrame) -> int:
-    try:
-        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-        return int(size if isinstance(size, int) else size.toString())
-    except Exception:  # pragma: no cover
-        return 0
+        return spark.read.parquet(self.path)
 
 
 class SourceRegistry:
@@ -138,10 +114,6 @@ class SourceRegistry:
 
     __getitem__ = table
 
-    def is_empty(self, name: str) -> bool:
-        """Empty-source guard: true when the table has no row (reads at most one row)."""
-        return self.table(name).isEmpty()
-
 
 _SCANS: dict[tuple[str, int, str], DataFrame] = {}
 

@@ -44,8 +44,9 @@ def incremental_load(
     frame (projection, renames, lookups against static tables). Returns one
     load report per micro-batch. Re-running with the same
     ``checkpoint_location`` only processes files added since."""
-    if spec.mode == "full_refresh":
-        raise ValueError("a full refresh target cannot be loaded incrementally")
+    if spec.mode != "insert_ignore" or not set(spec.key) <= set(spec.not_null):
+        # a replayed micro-batch must add nothing twice: that takes complete, unique keys
+        raise ValueError("only an insert-ignore target with a NOT NULL key can be loaded incrementally")
     ckpt = checkpoint_location or scratch_path(spark, f"stream-{spec.name}-{uuid.uuid4().hex[:8]}")
     reader = spark.readStream.schema(source_schema)
     if base_path:

@@ -109,8 +109,9 @@ def test_parquet_export_registry_and_cli(spark, tmp_path):
 def test_scale_conf_sizes_partitions():
     from martsmith.session import scale_conf
 
-    conf = scale_conf(100 * 10**12)
-    assert int(conf["spark.sql.shuffle.partitions"]) * 256 * 1024 * 1024 >= 100 * 10**12
+    conf = scale_conf(2 * 10**12)
+    assert int(conf["spark.sql.shuffle.partitions"]) * 256 * 1024 * 1024 >= 2 * 10**12
+    assert scale_conf(100 * 10**12)["spark.sql.shuffle.partitions"] == "20000"  # what a driver can keep track of
     assert scale_conf(10)["spark.sql.shuffle.partitions"] == "200"
 
 
@@ -123,3 +124,66 @@ def test_load_all_runs_every_requested_mart(spark, tmp_path):
     assert [r.mart for r in reports] == names
     for r in reports:
         assert r.written == targets[r.mart].read(spark).count() > 0
+
+
+def test_failed_refresh_leaves_the_old_content(spark, tmp_path):
+    import pytest
+
+    spec = TargetSpec("r", (("id", "bigint"), ("v", "varchar(5)")), mode="full_refresh")
+    target = ParquetTarget(spec, str(tmp_path / "r"))
+    target.create_if_missing(spark)
+    target.overwrite(spark.createDataFrame([(1, "a"), (2, "b")], "id long, v string"))
+    before = rows(target.read(spark))
+    bad = spark.range(100).select("id", F.when(F.col("id") == 77, F.raise_error(F.lit("no"))).otherwise(F.lit("x")).alias("v"))
+    with pytest.raises(Exception, match="no"):
+        target.overwrite(bad)
+    assert rows(target.read(spark)) == before == [(1, "a"), (2, "b")]
+    (tmp_path / "r").rename(tmp_path / "r.old-1")  # died between the two renames
+    assert rows(target.read(spark)) == before
+
+
+def test_replay_unsafe_targets_are_refused(spark):
+    import pytest
+
+    for spec in (TARGETS["users"], TARGETS["wallet_withdraw_funds"], TARGETS["wallet_add_funds"]):
+        with pytest.raises(ValueError, match="NOT NULL key"):
+            incremental_load(spark, "nowhere", spec.schema, spec, None)
+
+
+def test_ids_that_do_not_fit_are_refused_before_the_write(spark):
+    import pytest
+    from martsmith.operators.surrogate import assign_surrogate_ids
+
+    with pytest.raises(ValueError, match="do not fit int"):
+        assign_surrogate_ids(spark.range(5), (), "row_id", 2**31 - 4)
+
+
+def test_loads_leave_no_staged_tables(spark, tmp_path):
+    import os
+    from martsmith.session import scratch_path
+
+    folder = scratch_path(spark, "").removeprefix("file:")
+    held = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    for name in ("campaign", "wallet_withdraw_funds"):
+        target = ParquetTarget(TARGETS[name], str(tmp_path / name))
+        for _ in range(2):
+            load_mart(spark, standin_registry(spark, SF0001), name, target)
+    assert set(os.listdir(folder)) <= held
+
+
+def test_null_keys_enter_no_exchange(spark):
+    from martsmith.operators.dedup import first_wins
+
+    df = spark.read.parquet(f"{SF0001}/orders.parquet").select(F.col("o_custkey").alias("k"), "o_orderkey")
+    plan = first_wins(df, ["k"])._jdf.queryExecution().executedPlan().toString()
+    shuffled, beside = plan.split("PushedFilters: [IsNotNull(o_custkey)]")
+    assert plan.count("Exchange") == 1 and "Exchange" in shuffled
+    assert "PushedFilters: [IsNull(o_custkey)]" in beside and "Exchange" not in beside
+
+
+def test_ddl_of_a_jdbc_target():
+    from martsmith.sinks.targets import column_types, unique_key_ddl
+
+    spec = TargetSpec("r", (("id", "bigint"), ("v", "varchar(5)"), ("w", "varchar(255)")), key=("id", "v"))
+    assert column_types(spec) == "`v` VARCHAR(5), `w` VARCHAR(255)"
+    assert unique_key_ddl(spec, "db.r") == "ALTER TABLE db.r ADD CONSTRAINT uk_r_id_v UNIQUE (`id`, `v`)"

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
-from martsmith.operators.dedup import NULL_KEY_SALT, arrival_order, first_wins
+from martsmith.operators.dedup import arrival_order, first_wins
 from martsmith.operators.joins import skew_safe_left_join
 from martsmith.operators.surrogate import stage
 from tests.conftest import SF001
@@ -37,7 +38,7 @@ def test_hot_arrival_value_is_split_across_sort_partitions(spark):
 
 def test_hot_key_first_wins_is_pre_reduced(spark):
     df = _skewed_lineitem(spark)
-    out = first_wins(df, ["hot", "l_linenumber"], ["l_shipdate"]).drop(NULL_KEY_SALT)
+    out = first_wins(df, ["hot", "l_linenumber"], ["l_shipdate"])
     expected = df.select("hot", "l_linenumber").distinct().count()
     assert out.count() == expected
     plan = out._jdf.queryExecution().sparkPlan().toString()
@@ -68,30 +69,38 @@ def test_null_heavy_outer_join_keeps_nulls_out_of_the_exchange(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_skew_safe_join_keeps_key_partitioning_without_null_branch(spark):
-    """With NULL keys filtered by the caller, the inner + anti union stays hash-partitioned on
-    the key: an aggregate on the key after it adds no exchange."""
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+@pytest.mark.parametrize("mart", ["bank", "users"])
+def test_hot_key_stays_split_under_distinct(spark, mart):
+    """A third of the fan-out side on one key: the final adaptive plan splits the join although a
+    DISTINCT follows, and the rows equal those of the broadcast form."""
+    from martsmith.plans.jobs import bank_query, users_query
+    from martsmith.sources.standins import standin_registry
+    from tests.conftest import SF0001
+
+    low = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+           "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+           "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    src = standin_registry(spark, SF0001)
+    hot = src["accounts.users"].agg(F.min("id")).first()[0]
+    if mart == "bank":
+        table, key, query = "admin.user_bank_infos", "user_id", bank_query
+    else:
+        table, key, query = "accounts.kyc_infos", "namescan_id", users_query
+    skewed = src[table]
+    value = F.lit(hot).cast(skewed.schema[key].dataType)
+    copies = skewed.withColumn(key, value).withColumn("copy", F.explode(F.array_repeat(F.lit(0), 60))).drop("copy")
+    src.register(table, skewed.unionAll(copies).repartition(8).persist())  # several map outputs, for AQE to split between
+    for k, v in low.items():
+        spark.conf.set(k, v)
     try:
-        orders = spark.read.parquet(f"{SF001}/orders.parquet").select(F.col("o_orderkey").alias("ok"))
-        other = _skewed_lineitem(spark).select(F.col("hot").alias("k"), "l_quantity")
-        joined = skew_safe_left_join(orders, other, "ok", "k", max_broadcast_bytes=0, key_not_null=True)
-        agg = joined.groupBy("ok").agg(F.count(F.lit(1)).alias("n"))
-
-        def exchanges(df):
-            plan = df._jdf.queryExecution().executedPlan().toString()
-            return sum(1 for line in plan.splitlines()
-                       if "Exchange hashpartitioning" in line and "ReusedExchange" not in line)
-
-        # the aggregate on ok adds no exchange to those of the join itself
-        assert exchanges(agg) == exchanges(joined)
-        plain = orders.join(other, F.col("ok") == F.col("k"), "left").groupBy("ok").agg(
-            F.count(F.lit(1)).alias("n"))
-        assert sorted(map(tuple, agg.collect())) == sorted(map(tuple, plain.collect()))
+        split = query(src, strategy="split")
+        rows = sorted(map(str, split.collect()))
+        final = split._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert "skew=true" in final
+        assert rows == sorted(map(str, query(src, strategy="broadcast").collect()))
     finally:
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        for k in low:
+            spark.conf.unset(k)
 
 
 def test_session_broadcast_bound(spark):

@@ -61,7 +61,7 @@ def main(argv: list[str]) -> None:
     logdir = tempfile.mkdtemp(prefix="skew-eventlog-")
     from pyspark.sql import functions as F
 
-    from martsmith.operators.dedup import NULL_KEY_SALT, first_wins
+    from martsmith.operators.dedup import first_wins
     from martsmith.operators.joins import skew_safe_left_join
     from martsmith.session import build_session
 
@@ -89,7 +89,7 @@ def main(argv: list[str]) -> None:
         scenarios[name] = set(spark.sparkContext.statusTracker().getJobIdsForGroup(name)) - jobs_before
 
     run("first_wins on a key holding 1/3 of rows",
-        first_wins(hot, ["hot"], ["l_shipdate"]).drop(NULL_KEY_SALT))
+        first_wins(hot, ["hot"], ["l_shipdate"]))
     # unique keys on the preserved side; a third of the other side's rows share key 0
     fact = orders
     other = hot.select(F.col("hot").alias("k"), "l_linenumber", "l_quantity")
