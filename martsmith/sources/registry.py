@@ -23,6 +23,8 @@ SOURCE_TABLES = (
     "wallet.fund_users wallet.add_funds wallet.withdraw_funds"
 ).split()
 
+TABLES_WITHOUT_ID = ("accounts.user_types", "admin.user_bank_infos", "wallet.fund_users", "wallet.withdraw_funds")
+
 # The raw tables of the test data set.
 TEST_TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -34,8 +36,9 @@ TEST_TABLES = (
 class JdbcTable:
     """A table behind a JDBC URL, read in parallel slices of a numeric column.
 
-    ``partition_column`` with bounds and ``num_partitions`` make Spark issue one
-    range query per slice; ``fetchsize`` sets rows per round trip."""
+    ``partition_column`` and ``num_partitions`` make Spark issue one range query
+    per slice, between the bounds given or those of one min/max query;
+    ``fetchsize`` sets rows per round trip."""
 
     url: str
     dbtable: str
@@ -51,15 +54,19 @@ class JdbcTable:
         reader = reader.option("fetchsize", str(self.fetchsize))
         # DATETIME columns carry no zone: read them as timestamp_ntz.
         reader = reader.option("preferTimestampNTZ", "true")
-        if self.partition_column:
+        for k, v in self.properties.items():
+            reader = reader.option(k, v)
+        low, high = self.lower_bound, self.upper_bound
+        if self.partition_column and (low is None or high is None):
+            bounds = f"(SELECT MIN({self.partition_column}) AS lo, MAX({self.partition_column}) AS hi FROM {self.dbtable}) bounds_of"
+            low, high = spark.read.format("jdbc").option("url", self.url).option("dbtable", bounds).options(**self.properties).load().first()
+        if self.partition_column and low is not None:  # an empty table has no bounds and needs no slices
             reader = (
                 reader.option("partitionColumn", self.partition_column)
-                .option("lowerBound", str(self.lower_bound))
-                .option("upperBound", str(self.upper_bound))
+                .option("lowerBound", str(low))
+                .option("upperBound", str(int(high) + 1))
                 .option("numPartitions", str(self.num_partitions or 1))
             )
-        for k, v in self.properties.items():
-            reader = reader.option(k, v)
         return reader.load()
 
 
@@ -139,18 +146,20 @@ def parquet_dir_registry(spark: SparkSession, sf_dir: str,
 
 def jdbc_registry(spark: SparkSession, url: str, databases: Mapping[str, str],
                   properties: Mapping[str, str] | None = None,
-                  partitioning: Mapping[str, tuple[str, int, int, int]] | None = None,
-                  fetchsize: int = 10_000) -> SourceRegistry:
+                  partitioning: Mapping[str, tuple[str, int | None, int | None, int]] | None = None,
+                  fetchsize: int = 10_000, num_partitions: int = 0) -> SourceRegistry:
     """Registry of all operational tables behind one JDBC server.
 
     ``databases`` maps the logical schema (``accounts``, ``admin``, ``wallet``) to the
     database name on the server; ``partitioning`` gives (column, lower, upper,
-    partitions) per logical table for parallel range reads of the big tables."""
+    partitions) per logical table for parallel range reads of the big tables; without an
+    entry, tables with an ``id`` are read in ``num_partitions`` slices of it (0: in one)."""
     partitioning = partitioning or {}
     tables = {}
     for name in SOURCE_TABLES:
         schema, table = name.split(".", 1)
-        col, lo, hi, n = partitioning.get(name, (None, None, None, None))
+        default = ("id", None, None, num_partitions) if num_partitions and name not in TABLES_WITHOUT_ID else (None, None, None, None)
+        col, lo, hi, n = partitioning.get(name, default)
         tables[name] = JdbcTable(url, f"{databases[schema]}.{table}", dict(properties or {}),
                                  col, lo, hi, n, fetchsize)
     return SourceRegistry(spark, tables)

@@ -256,7 +256,7 @@ STANDINS: dict[str, tuple[str, dict[str, tuple[str, str]]]] = {
 
 
 def _issuer_columns() -> dict[str, tuple[str, str]]:
-    """issuer_onboardings <- customer: a few mapped columns, the rest typed NULLs."""
+    """issuer_onboardings <- customer: a few mapped columns, the rest typed (and derived below)."""
     mapped = {
         "issuer_id": _e("CASE WHEN c_acctbal >= 0 THEN (c_custkey div 2) * 3 END",
                         "CASE WHEN c_acctbal >= 0 THEN (c_custkey // 2) * 3 END"),
@@ -294,6 +294,34 @@ def _issuer_columns() -> dict[str, tuple[str, str]]:
 STANDINS["admin.issuer_onboardings"] = ("customer", _issuer_columns())
 
 
+# A key of each test table, from which the columns that it has no match for are derived.
+_KEYS = {"customer": "c_custkey", "orders": "o_orderkey", "lineitem": "(l_orderkey * 10 + l_linenumber)", "supplier": "s_suppkey"}
+
+
+def _derived(key: str, column: str, k: int, kind: str) -> tuple[str, str]:
+    """Values of Spark type ``kind`` that differ between rows and between columns (``k``); every
+    eleventh is NULL."""
+    n, day = f"({key} + {k})", f"({key} * 3 + {k}) % 1500"
+    if kind == "STRING":
+        one = _e(f"'{column} ' || CAST({n} % 89 AS STRING)", f"'{column} ' || CAST({n} % 89 AS VARCHAR)")
+    elif kind == "DATE":
+        one = _e(f"date_add(DATE'2020-01-01', CAST({day} AS INT))", f"(DATE '2020-01-01' + CAST({day} AS INTEGER))")
+    elif kind == "TIMESTAMP_NTZ":
+        one = _e(f"CAST(date_add(DATE'2020-01-01', CAST({day} AS INT)) AS TIMESTAMP_NTZ)",
+                 f"CAST(DATE '2020-01-01' + CAST({day} AS INTEGER) AS TIMESTAMP)")
+    elif kind.startswith("DECIMAL"):
+        one = _e(f"CAST({n} % 9000 * 0.01 AS {kind})")
+    else:
+        one = _e(f"CAST({n} % 100 AS {kind})")
+    return tuple(f"CASE WHEN {key} % 11 <> {k % 11} THEN {x} END" for x in one)
+
+
+for _table, _columns in STANDINS.values():
+    for _k, (_name, (_spark, _)) in enumerate(list(_columns.items())):
+        if _spark.startswith("CAST(NULL AS "):
+            _columns[_name] = _derived(_KEYS[_table], _name, _k, _spark.removeprefix("CAST(NULL AS ")[:-1])
+
+
 def standin_registry(spark, sf_dir: str) -> SourceRegistry:
     """Registry of the operational tables, each derived from one test table of ``sf_dir``."""
     raw = parquet_dir_registry(spark, sf_dir)

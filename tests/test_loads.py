@@ -187,3 +187,29 @@ def test_ddl_of_a_jdbc_target():
     spec = TargetSpec("r", (("id", "bigint"), ("v", "varchar(5)"), ("w", "varchar(255)")), key=("id", "v"))
     assert column_types(spec) == "`v` VARCHAR(5), `w` VARCHAR(255)"
     assert unique_key_ddl(spec, "db.r") == "ALTER TABLE db.r ADD CONSTRAINT uk_r_id_v UNIQUE (`id`, `v`)"
+
+
+def test_command_line_of_a_database_run():
+    from martsmith.__main__ import parser, sources_of, target_of
+    from martsmith.sinks import JdbcTarget
+
+    args = parser().parse_args(["--jdbc-url", "jdbc:x://a", "--jdbc-database", "accounts=acc", "--jdbc-property", "password=p=q",
+                                "--num-partitions", "8", "--target-jdbc-url", "jdbc:x://b", "--target-database", "reports",
+                                "--target-jdbc-property", "user=u"])
+    src = sources_of(args, None)
+    users, links = src._defs["accounts.users"], src._defs["wallet.fund_users"]
+    assert (users.dbtable, users.partition_column, users.num_partitions, users.properties) == ("acc.users", "id", 8, {"password": "p=q"})
+    assert links.dbtable == "wallet.fund_users" and links.partition_column is None
+    target = target_of(args, "bank")
+    assert isinstance(target, JdbcTarget) and target.dbtable == f"reports.{MARTS['bank'].target.name}"
+    assert target._opts()["numPartitions"] == "8" and target._opts()["user"] == "u"
+
+
+def test_no_standin_column_is_constant_null(spark):
+    from martsmith.sources.standins import STANDINS
+
+    src = standin_registry(spark, SF0001)
+    for name in STANDINS:
+        t = src[name]
+        counts = t.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in t.columns]).first()
+        assert all(counts), (name, [c for c in t.columns if not counts[c]])
