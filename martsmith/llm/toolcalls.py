@@ -3,9 +3,10 @@
 1. Calls and results are reduced to one per (conversation, call id), then hash-joined on both columns: a
    conversation that holds a third of all calls is spread by call id.
 2. A call depends on the calls whose results its arguments name. Its level is the length of the longest
-   chain of dependencies below it, found by taking off, round after round, the calls that wait for
-   none; each round is a pair of joins on what is left, staged. Calls in a cycle, or above one, keep a
-   null level. Within a conversation, (level, turn, call_id) is a topological order.
+   chain of dependencies below it. Round after round, a dependency on a call whose level is known becomes a
+   number, and one on a call with a single dependency is led past that call (twice as far each round): a chain
+   of n calls takes about log2(n) rounds of joins, each staged. Calls in a cycle, or above one, keep
+   a null level. Within a conversation, (level, turn, call_id) is a topological order.
 3. Arguments are parsed (variant) and checked against the schema of the call's tool: known fields,
    required ones, and types. Schemas are sent to all tasks if they are few, joined otherwise.
 4. Canonical JSON: keys sorted at every depth, no white space, null results kept.
@@ -42,22 +43,31 @@ def _known(rows: DataFrame) -> Column:
 
 def levels(calls: DataFrame) -> DataFrame:
     """(conv_id, call_id, level) of ``calls`` (conv_id, call_id, depends_on), one row per call with a level."""
+    spark = calls.sparkSession
+    path = scratch_path(spark, f"call-levels-{uuid.uuid4().hex[:12]}")
     nodes = staged(calls.select(*KEY), "calls")
-    edges = calls.select("conv_id", "call_id", F.explode(F.array_distinct("depends_on")).alias("on"))
-    there = nodes.select("conv_id", F.col("call_id").alias("on"))
-    edges = staged(edges.join(there, ["conv_id", "on"], "left_semi"), "call-edges")
-    path = scratch_path(calls.sparkSession, f"call-levels-{uuid.uuid4().hex[:12]}")
-    left, level, count = nodes, 0, nodes.count()
+    edges = calls.select("conv_id", "call_id", F.explode(F.array_distinct("depends_on")).alias("target"))
+    there = nodes.select("conv_id", F.col("call_id").alias("target"))
+    # level(call) is the greatest of weight + level(target), over its rows; a row without a target is a number
+    waiting = staged(edges.join(there, ["conv_id", "target"], "left_semi").select(*KEY, "target", F.lit(1).cast("long").alias("weight")), "call-edges")
+    found = nodes.join(waiting, KEY, "left_anti").withColumn("level", F.lit(0).cast("long"))
     while True:
-        waiting = edges.select(*KEY).distinct()
-        found = staged(left.join(waiting, KEY, "left_anti").withColumn("level", F.lit(level)), f"call-level-{level}")
         found.write.mode("append").parquet(path)
-        left = staged(left.join(waiting, KEY, "left_semi"), f"calls-left-{level}")
-        before, count = count, left.count()
-        if count in (0, before):  # all have a level, or the rest waits for itself
-            return calls.sparkSession.read.schema(found.schema).parquet(path)
-        edges = staged(edges.join(found.select("conv_id", F.col("call_id").alias("on")), ["conv_id", "on"], "left_anti"), f"call-edges-{level}")
-        level += 1
+        known = spark.read.schema(found.schema).parquet(path)
+        if waiting.isEmpty():
+            return known
+        by_target = known.select("conv_id", F.col("call_id").alias("target"), "level")
+        single = waiting.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n"), F.min("target").alias("next"), F.min("weight").alias("step")).where(
+            "n = 1 and next is not null").select("conv_id", F.col("call_id").alias("target"), "next", "step")
+        moved = waiting.join(by_target, ["conv_id", "target"], "left").join(single, ["conv_id", "target"], "left").select(
+            *KEY, F.when(F.col("level").isNull(), F.coalesce("next", "target")).alias("target"),
+            # no chain is that long: in a cycle weights double without end
+            F.least(F.lit(1 << 60), F.col("weight") + F.coalesce("level", "step", F.lit(0))).alias("weight"))
+        merged = staged(moved.groupBy(*KEY, "target").agg(F.max("weight").alias("weight")), "call-edges")
+        found = staged(merged.groupBy(*KEY).agg(F.count("target").alias("open"), F.max("weight").alias("level")).where("open = 0").drop("open"), "call-levels")
+        if found.isEmpty():  # a call whose dependencies all have levels gets one: the rest waits for itself
+            return known
+        waiting = staged(merged.join(found, KEY, "left_anti"), "call-edges")
 
 
 def problems(calls: DataFrame, schemas: DataFrame, max_broadcast_rows: int = 100_000) -> DataFrame:

@@ -64,6 +64,22 @@ def test_levels_of_random_graphs(spark):
     assert {(x.conv_id, x.call_id): x.level for x in got.collect()} == {k: level(k) for k in deps}
 
 
+def test_long_chains_cycles_and_mixtures(spark, monkeypatch):
+    """A chain of 300 calls, a cycle of 3 with a tail, and a diamond on top of a chain."""
+    from martsmith.llm import toolcalls
+
+    rounds = []
+    monkeypatch.setattr(toolcalls, "staged", lambda df, name, f=toolcalls.staged: rounds.append(name) or f(df, name))
+    rows = [(1, f"c{i}", [f"c{i - 1}"] if i else []) for i in range(300)]
+    rows += [(2, "a", ["c"]), (2, "b", ["a"]), (2, "c", ["b"]), (2, "tail", ["a"]), (2, "both", ["tail", "free"]), (2, "free", [])]
+    rows += [(3, f"c{i}", [f"c{i - 1}"] if i else []) for i in range(20)]
+    rows += [(3, "l", ["c19"]), (3, "r", ["c7", "c19"]), (3, "top", ["l", "r", "c0"]), (3, "self", ["self"])]
+    got = {(x.conv_id, x.call_id): x.level for x in levels(spark.createDataFrame(rows, "conv_id long, call_id string, depends_on array<string>")).collect()}
+    want = {(1, f"c{i}"): i for i in range(300)} | {(2, "free"): 0} | {(3, f"c{i}"): i for i in range(20)}
+    assert got == want | {(3, "l"): 20, (3, "r"): 20, (3, "top"): 21}
+    assert rounds.count("call-levels") <= 12
+
+
 def test_empty(spark, schemas):
     assert run(spark, schemas, [], [])[1] == []
     assert [r.status for r in run(spark, schemas, [], [(1, 1, "x", "c")])[1]] == ["orphan"]
