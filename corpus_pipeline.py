@@ -18,7 +18,7 @@ from martsmith.llm.simhash import keep_one, near_duplicates
 
 
 def in_a_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Language ID: documents without letters, or in no language for the most part, go."""
+    """Language ID: documents without letters, in no language for the most part, or in none that was learnt, go."""
     return identified(docs, learn(docs))
 
 

@@ -5,6 +5,9 @@ seen with that script; its score for each is the log-likelihood of its character
 the word itself under hashed, smoothed counts. Scores relative to the best language are bounded below, so
 one odd word can't decide. A path through the words pays ``penalty`` for each change of language; the
 best path labels the spans. The predicted language holds most letters; the score is its share of them.
+All this compares the learnt languages with each other. Whether a text is in any of them at all is told apart by
+``identified``: by letters in scripts that no language was learnt with, and by how far its words' trigrams lie
+below those of the languages' own training words.
 
 The counts are learnt from a bounded sample (``per_language`` documents of each language, by a hash of
 their id, whole texts) and summed up by Spark; the driver gets at most 2 * 2**BITS counts per language.
@@ -31,6 +34,7 @@ from martsmith.llm.common import fresh, table
 BITS = 15
 SIZE = 1 << BITS
 SLICE = 1 << 20  # characters looked at together
+FAR, FAR_SHORT, LEAST_SPREAD = 2.0, 4.0, 1.0
 
 # First and last code points of scripts' letters (Unicode blocks).
 SCRIPTS = {
@@ -148,6 +152,10 @@ class Model:
         self.trigram, self.word, scripts = logs(full[:SIZE]), logs(full[SIZE:2 * SIZE]), full[2 * SIZE:]
         seen = scripts >= min_script * np.maximum(1, scripts.sum(axis=0))
         self.allowed = seen | ~seen.any(axis=1, keepdims=True)  # a script nobody was seen with excludes nobody
+        self.learnt = seen.any(axis=1)
+        share = full[:SIZE] / np.maximum(1, full[:SIZE].sum(axis=0))
+        self.mean = (share * self.trigram).sum(axis=0)  # of a training letter's trigram, and its spread in nats
+        self.spread = np.maximum(LEAST_SPREAD, np.sqrt((share * (self.trigram - self.mean) ** 2).sum(axis=0)))
 
     def scores(self, w: Words, floor: float) -> np.ndarray:
         """(words, languages): 0 for the best language, at least ``floor``; twice that for an excluded script."""
@@ -157,6 +165,12 @@ class Model:
         e -= e.max(axis=1, keepdims=True)
         return np.where(ok, np.maximum(e, floor), 2 * floor).astype(np.float32)
 
+    def deviations(self, w: Words) -> np.ndarray:
+        """(words, languages): the sum over a word's letters of the spreads by which their trigrams exceed the mean of
+        the language's own training words; NaN for words of scripts that no language was learnt with."""
+        d = (np.add.reduceat(self.trigram[w.trigram], w.first, axis=0) - w.length[:, None] * self.mean) / self.spread
+        return np.where(self.learnt[w.script][:, None], d, np.nan).astype(np.float32)
+
 
 def viterbi(e: np.ndarray, penalty: float) -> np.ndarray:
     """Best language of each word. The path without changes is the best one, and no more is computed, if
@@ -184,27 +198,42 @@ def viterbi(e: np.ndarray, penalty: float) -> np.ndarray:
     return path
 
 
-def label_words(model: Model, texts: list[str], penalty: float, floor: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(place, length, language) of each text's words; places count in the lower-cased text. What is held at a
-    time is the words of one slice, or of one long text."""
+def label_words(model: Model, texts: list[str], penalty: float, floor: float,
+                with_known: bool = False) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(place, length, language, deviation) of each text's words (the last without columns unless ``with_known``);
+    places count in the lower-cased text. What is held at a time is the words of one slice, or of one long text."""
     long_one: list[tuple] = []  # what came before of a text in several slices
     base = 0
     for held, joined in _slices(texts):
         w = Words(joined)
         e = model.scores(w, floor) if len(w.first) and model.langs else np.zeros((len(w.first), len(model.langs)), np.float32)
+        far = model.deviations(w) if with_known and e.size else np.zeros((len(w.first), 0), np.float32)
         if len(held) == 1:
-            long_one.append((w.place + base, w.length, e))
+            long_one.append((w.place + base, w.length, e, far))
             base += len(joined)
             if base == len(texts[held[0]]):
-                place, length, e = (np.concatenate(x) for x in zip(*long_one, strict=True))
+                # a slice without words has no columns of deviations
+                place, length, e = (np.concatenate(x) for x in list(zip(*long_one, strict=True))[:3])
+                far = [x[3] for x in long_one if x[3].size]
                 long_one, base = [], 0
-                yield place, length, viterbi(e, penalty)
+                yield place, length, viterbi(e, penalty), np.concatenate(far) if far else np.zeros((len(place), 0), np.float32)
             continue
         starts = np.cumsum([0, *(len(texts[i]) + 1 for i in held)])
         cuts = np.searchsorted(w.place, starts)
         for k in range(len(held)):
             lo, hi = cuts[k], cuts[k + 1]
-            yield w.place[lo:hi] - starts[k], w.length[lo:hi], viterbi(e[lo:hi], penalty)
+            yield w.place[lo:hi] - starts[k], w.length[lo:hi], viterbi(e[lo:hi], penalty), far[lo:hi]
+
+
+def share_known(length: np.ndarray, path: np.ndarray, far: np.ndarray, best: int) -> float:
+    """The share of a text's letters that language ``best`` holds in scripts that were learnt; 0 if the text's words
+    lie far below the training words of their languages: by over ``FAR`` spreads a letter, more in short texts."""
+    own = far[np.arange(len(path)), path]
+    there = ~np.isnan(own)
+    n = int(length[there].sum())
+    if not n or own[there].sum(dtype=np.float64) / n < -(FAR + FAR_SHORT / np.sqrt(n)):
+        return 0.0
+    return float(length[there & (path == best)].sum() / length.sum())
 
 
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = 4000) -> Model:
@@ -222,28 +251,37 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 
 
 def label(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str] | None = None, penalty: float = 12.0,
-          floor: float = -6.0, with_spans: bool = False) -> DataFrame:
+          floor: float = -6.0, with_spans: bool = False, with_known: bool = False) -> DataFrame:
     """The columns ``keep`` (all) of ``docs``, lang_pred and score, and with ``with_spans`` the spans: array of
-    (first, last, lang), in characters of the lower-cased text, each from its first word to the end of its last.
+    (first, last, lang), in characters of the lower-cased text, each from its first word to the end of its last,
+    and with ``with_known`` the double known (see ``share_known``).
     One row per input row; names that ``docs`` has already get underscores before them."""
     keep = docs.columns if keep is None else keep
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    names = [fresh(keep, x) for x in ("lang_pred", "score", "spans")[: 2 + with_spans]]
+    wanted = {"lang_pred": "string", "score": "double"}
+    if with_spans:
+        wanted["spans"] = "array<struct<first:long,last:long,lang:string>>"
+    if with_known:
+        wanted["known"] = "double"
+    names = [fresh(keep, x) for x in wanted]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for b in batches:
-            langs, scores, spans = [], [], []
-            for place, length, path in label_words(m, [(t.as_py() or "").lower() for t in b.column(0)], penalty, floor):
+            langs, scores, spans, known = [], [], [], []
+            for place, length, path, far in label_words(m, [(t.as_py() or "").lower() for t in b.column(0)], penalty, floor, with_known):
                 if not len(path) or not m.langs:
                     langs.append("und")
                     scores.append(0.0)
                     spans.append([])
+                    known.append(0.0)
                     continue
                 held = np.bincount(path, weights=length, minlength=len(m.langs))
                 best = int(held.argmax())
                 langs.append(m.langs[best])
                 scores.append(float(held[best] / held.sum()))
+                if with_known:
+                    known.append(share_known(length, path, far, best))
                 if with_spans:
                     first = np.flatnonzero(np.diff(path, prepend=-1))
                     last = np.append(first[1:], len(path)) - 1
@@ -251,10 +289,11 @@ def label(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str]
             cols = [*b.columns[1:], pa.array(langs, pa.string()), pa.array(scores, pa.float64())]
             if with_spans:
                 cols.append(pa.array(spans, pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64()), ("lang", pa.string())]))))
+            if with_known:
+                cols.append(pa.array(known, pa.float64()))
             yield pa.RecordBatch.from_arrays(cols, [*keep, *names])
 
-    kinds = ["string", "double", "array<struct<first:long,last:long,lang:string>>"]
-    schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField(n, T._parse_datatype_string(k)) for n, k in zip(names, kinds, strict=False)])
+    schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField(n, T._parse_datatype_string(k)) for n, k in zip(names, wanted.values(), strict=True)])
     return docs.select(F.col(text_col).alias(fresh(keep, "text_in")), *keep).mapInArrow(run, schema)
 
 
@@ -265,9 +304,11 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 
 
 def identified(docs: DataFrame, model: Model, text_col: str = "text", min_score: float = 0.3) -> DataFrame:
-    """The rows of ``docs`` in a known language: not ``und``, and the language holds ``min_score`` of the letters."""
-    lang, score = fresh(docs.columns, "lang_pred"), fresh(docs.columns, "score")
-    return label(docs, model, text_col).where((F.col(lang) != "und") & (F.col(score) >= min_score)).drop(lang, score)
+    """The rows of ``docs`` in a learnt language: not ``und``, the language holds ``min_score`` of the letters, in scripts
+    that were learnt, and the words don't lie far below the training words."""
+    lang, score, known = (fresh(docs.columns, x) for x in ("lang_pred", "score", "known"))
+    got = label(docs, model, text_col, with_known=True)
+    return got.where((F.col(lang) != "und") & (F.col(score) >= min_score) & (F.col(known) >= min_score)).drop(lang, score, known)
 
 
 def held_out(id_col: str = "doc_id", parts: int = 4, part: int = 2):

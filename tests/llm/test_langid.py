@@ -82,3 +82,20 @@ def test_edge_cases(spark, edge_docs):
     none = learn(edge_docs.limit(0))
     assert {r.lang_pred for r in predict(edge_docs, none).collect()} == {"und"}
     assert predict(edge_docs.limit(0), model).count() == 0
+
+
+def test_texts_in_no_learnt_language_are_not_identified(spark):
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang", "text")
+    model = learn(docs)
+    r = random.Random(3)
+    strange = [
+        "ทุกคนเกิดมามีอิสระและเสมอภาคกันในศักดิ์ศรีและสิทธิ", "αυτό είναι ένα ελληνικό κείμενο για τον καιρό και τη φύση",
+        "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto",
+        "Nel mezzo del cammin di nostra vita mi ritrovai per una selva oscura che la diritta via era smarrita. Ahi quanto a dir qual "
+        "era cosa dura esta selva selvaggia e aspra e forte che nel pensier rinnova la paura",
+        " ".join("".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(r.randint(2, 9))) for _ in range(60))]
+    strange.append(strange[4][:50] + "\n" + strange[2] * 20_000)  # in several slices
+    rows = spark.createDataFrame([(-1 - i, None, t) for i, t in enumerate(strange)], docs.schema)
+    kept = {x.doc_id for x in identified(docs.unionByName(rows), model).select("doc_id").collect()}
+    assert kept == {x.doc_id for x in docs.collect() if any(c.isalpha() for c in x.text or "")}
