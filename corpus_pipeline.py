@@ -23,9 +23,9 @@ def in_a_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def without_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Line dedup: a source's boilerplate lines go (``n_chars`` follows); a document that is
-    boilerplate throughout is a copy among many, and left to the next stage."""
-    cut = dedup_lines(docs, keep_whole=True)
+    """Line dedup: a source's boilerplate lines go (``n_chars`` follows), from pages that hold nothing else too. Copies of
+    one text count as one page, so that they stay whole for the next stage to choose one."""
+    cut = dedup_lines(docs, copies_once=True)
     n_chars = F.when(F.col("n_dropped") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
     return cut.withColumn("n_chars", n_chars).select(*docs.columns)
 

@@ -39,22 +39,29 @@ def _keys(text: Column) -> Column:
     return F.array_distinct(F.transform(F.filter(_lines(text), lambda x: F.trim(x) != ""), _key))
 
 
-def boilerplate(pages: DataFrame, ratio: float = 0.1, min_pages: int = 10) -> DataFrame:
-    """(host, line, n_pages, host_pages): the boilerplate lines (as hashes) of ``pages`` (host, text)."""
-    totals = pages.groupBy("host").agg(F.count(F.lit(1)).alias("host_pages"))
-    counts = pages.select("host", F.explode(_keys(F.col("text"))).alias("line")).groupBy("host", "line").agg(
-        F.count(F.lit(1)).alias("n_pages")).where(F.col("n_pages") >= min_pages)
+def boilerplate(pages: DataFrame, ratio: float = 0.1, min_pages: int = 10, copies_once: bool = False) -> DataFrame:
+    """(host, line, n_pages, host_pages): the boilerplate lines (as hashes) of ``pages`` (host, text); with ``copies_once``
+    a host's pages of one text count as one page."""
+    named = ["host", F.array(*fingerprint128(F.col("text"))).alias("page")] if copies_once else ["host"]
+    heads, lines = pages.select(*named), pages.select(*named, F.explode(_keys(F.col("text"))).alias("line"))
+    if copies_once:
+        heads, lines = heads.distinct(), lines.distinct()
+    totals = heads.groupBy("host").agg(F.count(F.lit(1)).alias("host_pages"))
+    counts = lines.groupBy("host", "line").agg(F.count(F.lit(1)).alias("n_pages")).where(F.col("n_pages") >= min_pages)
     return counts.join(totals, "host").where(F.col("n_pages") > ratio * F.col("host_pages"))
 
 
 def dedup_lines(docs: DataFrame, host: Column | str = "source", id_col: str = "doc_id", text_col: str = "text",
-                ratio: float = 0.1, min_pages: int = 10, keep_whole: bool = False, max_broadcast_rows: int = 500_000) -> DataFrame:
+                ratio: float = 0.1, min_pages: int = 10, keep_whole: bool = False, max_broadcast_rows: int = 500_000,
+                copies_once: bool = False) -> DataFrame:
     """``docs`` with ``text_col`` cut, and the longs ``n_lines`` and ``n_dropped`` (with underscores put before
     them if ``docs`` has such columns). ``keep_whole`` leaves a page that is boilerplate throughout as it
-    is: the copies of one text are a matter for document dedup, and cutting would lose them all."""
+    is. ``copies_once`` counts the copies of one text on a host as one page when lines are judged: the copies alone
+    make no line boilerplate (they are a matter for document dedup, and cutting would lose them all), and a page that
+    holds nothing but other pages' boilerplate is cut like any other."""
     host = F.coalesce((F.col(host) if isinstance(host, str) else host).cast("string"), F.lit(""))
     own = docs.select(host.alias("host"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    bad = staged(boilerplate(own, ratio, min_pages).select("host", "line"), "boilerplate")
+    bad = staged(boilerplate(own, ratio, min_pages, copies_once).select("host", "line"), "boilerplate")
     if bad.count() <= max_broadcast_rows:
         bad = F.broadcast(bad)
     page = F.array(*fingerprint128(F.col("text")))

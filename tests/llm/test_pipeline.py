@@ -55,3 +55,13 @@ def test_edge_cases(spark, edge_docs, monkeypatch):
     empty = edge_docs.limit(0)
     monkeypatch.setattr(corpus_pipeline, "table", lambda s, d, n: empty if n == "documents" else s.read.parquet(f"{d}/{n}.parquet"))
     assert corpus_pipeline.run(spark, SF).count() == 0
+
+
+def test_stub_pages_are_cut_and_copies_stay(spark):
+    menu = "Home\nAbout\nCookies"
+    rows = [(i, f"{menu}\nown line {i}") for i in range(30)] + [(100, menu), (101, "About\n\nHome")]
+    rows += [(200 + i, "one article\nof two lines") for i in range(20)]
+    docs = spark.createDataFrame([(i, t, "s", len(t)) for i, t in rows], "doc_id long, text string, source string, n_chars int")
+    got = {r.doc_id: (r.text, r.n_chars) for r in corpus_pipeline.without_boilerplate(spark, docs, SF).collect()}
+    assert got == {**{i: (f"own line {i}", len(f"own line {i}")) for i in range(30)}, 100: ("", 0), 101: ("", 0),
+                   **{i: (t, len(t)) for i, t in rows if i >= 200}}
