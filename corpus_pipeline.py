@@ -14,7 +14,7 @@ from martsmith.llm.decontam import drop_contaminated
 from martsmith.llm.langid import identified, learn
 from martsmith.llm.linededup import dedup_lines
 from martsmith.llm.packing import pack
-from martsmith.llm.simhash import keep_one, near_duplicates
+from martsmith.llm.simhash import one_per_group
 
 
 def in_a_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,7 +32,7 @@ def without_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """SimHash near-dedup: the document with the smallest id of each group stays."""
-    return keep_one(docs, near_duplicates(docs))
+    return one_per_group(docs)
 
 
 def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

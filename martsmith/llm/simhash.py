@@ -16,6 +16,7 @@
 
 Null text is as empty text: fingerprint 0, linked like any other. Repeated rows are copies;
 rows with a null id take part, and a group's id is the smallest id that is not null.
+``keep_one`` goes by ids alone and is for ids that name one text; ``one_per_group`` tells rows apart by id and text.
 Only the id and text columns are read, so extra columns do no harm.
 """
 
@@ -30,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martsmith.llm.common import staged, table
+from martsmith.llm.common import fingerprint128, fresh, staged, table
 
 MASK64 = (1 << 64) - 1
 CHUNK = 1 << 16  # shingles whose bits are counted at once
@@ -53,14 +54,19 @@ def simhash(text: str | None, shingle: int = 3) -> int:
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
     """(doc_id, fp): one row per input row, the fingerprint as a signed long."""
+    return _with_fingerprint(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), shingle)
+
+
+def _with_fingerprint(own: DataFrame, shingle: int) -> DataFrame:
+    """``own`` (longs, and text) with fp in place of text."""
+    keep = [c for c in own.columns if c != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fp = np.array([simhash(t.as_py(), shingle) for t in b.column(1)], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp)], ["doc_id", "fp"])
+            fp = np.array([simhash(t.as_py(), shingle) for t in b.column(0)], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(fp)], [*keep, "fp"])
 
-    own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return own.mapInArrow(run, "doc_id long, fp long")
+    return own.select("text", *keep).mapInArrow(run, ", ".join(f"{c} long" for c in [*keep, "fp"]))
 
 
 def _signed(x: int) -> int:
@@ -173,6 +179,28 @@ def keep_one(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id") -> Data
     return first.dropDuplicates([id_col]).unionByName(docs.where(F.col(id_col).isNull()))
 
 
+def _row_key(id_col: str, text_col: str) -> list[Column]:
+    """128 bits of id and text, null told apart from any value."""
+    return fingerprint128(F.col(id_col).isNull(), F.col(id_col), F.col(text_col).isNull(), F.col(text_col))
+
+
+def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
+                  max_bits: int = 2, segments: int = 7, bucket_bound: int = 128) -> DataFrame:
+    """``docs`` with one row of each near-duplicate group: the smallest id that is not null, or of a group without ids
+    a null one; of several texts with that id in the group, the least by hash. Rows are told apart by id and text, so an
+    id that stands in several groups is judged in each."""
+    key = _row_key(id_col, text_col)
+    own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), key[0].alias("key_1"), key[1].alias("key_2"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "key_1", "key_2")).alias("first")
+    reps = staged(_with_fingerprint(own, shingle).groupBy("fp").agg(first), "simhash-firsts")
+    roots = components(linked(reps.select("fp"), max_bits, segments, bucket_bound))
+    of = reps.join(roots, F.col("fp") == F.col("node"), "left").select(F.coalesce("root", "fp").alias("root"), "first.*")
+    key_1, key_2 = fresh(docs.columns, "key_1"), fresh(docs.columns, "key_2")
+    chosen = of.groupBy("root").agg(first).select(F.col("first.key_1").alias(key_1), F.col("first.key_2").alias(key_2))
+    keyed = docs.select("*", key[0].alias(key_1), key[1].alias(key_2))
+    return keyed.join(staged(chosen, "simhash-chosen"), [key_1, key_2], "left_semi").dropDuplicates([key_1, key_2]).select(*docs.columns)
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id of every document."""
     got = near_duplicates(table(spark, sf_dir, "documents"))

@@ -6,9 +6,9 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from martsmith.llm.simhash import components, keep_one, linked, near_duplicates, op3_simhash, ring_masks, simhash
+from martsmith.llm.simhash import components, keep_one, linked, near_duplicates, one_per_group, op3_simhash, ring_masks, simhash
 
-from .conftest import SF, edge_texts
+from .conftest import SF, edge_texts, rng_words
 
 
 def brute_fingerprint(text):
@@ -117,3 +117,24 @@ def test_edge_cases(spark, edge_docs):
     assert near_duplicates(empty).count() == 0
     assert keep_one(empty, near_duplicates(empty)).count() == 0
     assert got.select(F.max("doc_id")).first()[0] == 9
+
+
+def test_one_row_of_each_group_whatever_its_id(spark, edge_docs):
+    a, b, c, d = (rng_words(i, 80) for i in range(11, 15))
+    rows = [(3, a), (7, a), (7, b), (None, c), (None, c), (None, d), (9, d), (9, d), (3, rng_words(15, 80)), (None, None), (None, "")]
+    docs = spark.createDataFrame([(i, t, 0, 0) for i, t in rows], "doc_id long, text string, key_1 int, fp int")
+    kept = one_per_group(docs)
+    assert kept.columns == docs.columns
+    got = [(r.doc_id, r.text) for r in kept.collect()]
+    empty = [x for x in got if not x[1]]
+    assert len(empty) == 1 and empty[0][0] is None
+    assert sorted((x for x in got if x[1]), key=str) == sorted([(3, a), (7, b), (None, c), (9, d), rows[8]], key=str)
+    ids = [r.doc_id for r in one_per_group(edge_docs).collect()]  # id 5 has two unrelated texts
+    assert ids.count(5) == 2 and ids.count(1) == 1 and None not in ids and 2 not in ids and 7 not in ids
+    assert one_per_group(edge_docs.limit(0)).count() == 0
+
+
+def test_one_row_of_each_group_is_the_row_of_the_smallest_id(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    want = keep_one(docs, near_duplicates(docs)).collect()  # its ids are unique
+    assert sorted(r.doc_id for r in one_per_group(docs).collect()) == sorted(r.doc_id for r in want)
