@@ -48,8 +48,11 @@ ENDS = {
 }
 PARAGRAPH_STOPS = CELLS | {"table", "caption", "button", "object"}
 
-TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>?|<[!?][^>]*>?""", re.S)
-ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
+# A quote opens a value only right after "="; any other, or one that is never closed, is a character like any.
+VALUE = r"""[ \t\n\r\f]*+=[ \t\n\r\f]*+("[^"]*+"|'[^']*+'|[^ \t\n\r\f>]*+)"""
+NAME = r"[^ \t\n\r\f/>][^ \t\n\r\f/>=]*+"
+TAG = re.compile(rf"""<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[ \t\n\r\f/]++|{NAME}(?:{VALUE.replace("(", "(?:")})?+)*+)>?|<[!?][^>]*>?""", re.S)
+ATTRIBUTE = re.compile(rf"({NAME})(?:{VALUE})?+")
 NOT_SHOWN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))", re.I)
 SPACE = re.compile(r"[ \t\n\r\f]+")
 
@@ -67,7 +70,7 @@ def _attributes(text: str) -> dict[str, str] | None:
         return None
     found: dict[str, str] = {}
     for name, value in ATTRIBUTE.findall(text):
-        found.setdefault(name.lower(), unescape(value[1:-1] if value[:1] in "\"'" else value) if value else "")
+        found.setdefault(name.lower(), unescape(value[1:-1] if len(value) > 1 and value[0] in "\"'" and value[-1] == value[0] else value))
     return found
 
 

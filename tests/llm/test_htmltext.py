@@ -73,3 +73,22 @@ def test_edge_cases(spark):
     got = sorted(((str(r.page_id), r.text) for r in extract(pages, keep=["page_id", "html_in"]).collect()), key=str)
     assert got == sorted([("1", None), ("2", ""), ("1", None), ("None", "a"), ("3", ("w " * 200_000).strip())], key=str)
     assert extract(pages.limit(0), keep=["page_id"]).count() == 0
+
+
+@pytest.mark.parametrize("html,text", [
+    ('<a href="x"">link</a><p class="a">Hello</p><p class="b">World</p>', "link\n\nHello\n\nWorld"),
+    ("<p class=it's>Hello world. It's great</p>", "Hello world. It's great"),
+    ("<p it's>Hello <b \">there</b> \"you\"", 'Hello there "you"'),
+    ('<a x=y="z>l</a> "r"', 'l "r"'),
+    ("<a title = 'x>y' b= \"q'>\"c>l</a>", "l"),
+    ('<p title="open>text', "text"),
+    ("<div class=a/b hidden>no</div><input value=it's><input value=\"a'b\"><input value=''>", "it'sa'b"),
+])
+def test_quotes_delimit_values_only_after_equals(html, text):
+    assert visible_text(html) == text
+
+
+def test_stray_quotes_take_linear_time():
+    for part in ('<a x="', "<a x='", '<a x=" \'', "<a ='", '<p "a=\'>', "<a b =\n", "<a x" + " " * 50):
+        visible_text(part * 20_000)
+    visible_text("<a x" + " " * 200_000 + "y" + "/" * 200_000)
