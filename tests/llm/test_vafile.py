@@ -46,3 +46,39 @@ def test_empty(spark):
     assert top_k(data, F.col("vec_id") % 10 == 0).count() == 0
     one = spark.createDataFrame([(0, [1.0], 0, 0)], SCHEMA)
     assert top_k(one, F.col("vec_id") % 10 == 0).count() == 0
+
+
+@pytest.mark.parametrize("block", [4096, 7])
+def test_large_components_take_part(spark, monkeypatch, block):
+    monkeypatch.setattr(vafile, "BLOCK", block)
+    r = random.Random(8)
+    rows = [(i, [r.gauss(0, 1) for _ in range(6)]) for i in range(60)]
+    rows += [(100 + i, [r.gauss(0, 10.0 ** r.randint(3, 6)) for _ in range(6)]) for i in range(60)]
+    rows += [(200, [1e5] * 6), (201, [65536.0] + [0.0] * 5), (202, [1e5] * 6), (203, [-65536.0] * 6)]
+    rows += [(300, [0.0, 0.0, 0.0, 0.0, 0.0, 1.0]), (301, [0.0, 0.0, 0.0, 0.0, 0.0, -3e38])]
+    data = spark.createDataFrame([(i, v, 0, 0) for i, v in rows], SCHEMA)
+    every = brute(rows, 5, lambda i: True)
+    over = {q for q, *_, s in every if abs(s) >= 1 << 63}
+    held = {i for i, _ in rows} - over
+    large = {i for i, v in rows if max(map(abs, v)) > 500_000}  # such scores need not fit a long
+    assert len(held & large) > 5 and len(over) > 5 and {200, 201} <= held
+    got = top_k(data, F.col("vec_id").isin(*held), k=5).collect()
+    assert sorted(map(tuple, got)) == [x for x in every if x[0] in held]
+    with pytest.raises(Exception, match="fits no long"):
+        top_k(data, F.col("vec_id").isin(*over), k=5).collect()
+
+
+def test_exact_scores_of_large_vectors():
+    import numpy as np
+
+    r = np.random.default_rng(9)
+    q, x = r.normal(0, 1e20, (9, 5)), r.normal(0, 1e3, (40, 5))
+    x[::3] = np.round(x[::3]) * 1e300
+    x[1] = x[2] = x[0]
+    own = np.zeros((9, 40), bool)
+    own[4, 3] = True
+    for j, (left, scores) in enumerate(vafile.wide_scores(q, x, own, 6)):
+        every = {i: sum(vafile.integer(a) * vafile.integer(b) for a, b in zip(q[j].tolist(), x[i].tolist(), strict=True)) for i in range(40) if not own[j, i]}
+        assert dict(zip(left.tolist(), scores, strict=True)).items() <= every.items()
+        bar = sorted(every.values())[-6]
+        assert {i for i, s in every.items() if s >= bar} <= set(left.tolist())
