@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from martsmith.llm.bitfiles import op13_token_files
 from martsmith.llm.decontam import OP1_SQL, op1_decontamination
 from martsmith.llm.htmltext import op7_html_text
 from martsmith.llm.langid import op8_language_id
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_line_dedup": op9_line_dedup,
     "op10_tool_calls": op10_tool_calls,
+    "op13_token_files": op13_token_files,
 }
 
 ORACLES: dict[str, str] = {
