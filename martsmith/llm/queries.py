@@ -10,6 +10,8 @@ from martsmith.llm.lattice import op6_lm_score
 from martsmith.llm.linededup import OP9_SQL, op9_line_dedup
 from martsmith.llm.packing import op2_packing
 from martsmith.llm.secretscan import op5_secret_scan
+from martsmith.llm.pairmaps import op11_pair_alignment
+from martsmith.llm.periodic import op12_periodic_runs
 from martsmith.llm.simhash import op3_simhash
 from martsmith.llm.toolcalls import OP10_SQL, op10_tool_calls
 from martsmith.llm.vafile import OP4_SQL, op4_topk
@@ -25,6 +27,8 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_line_dedup": op9_line_dedup,
     "op10_tool_calls": op10_tool_calls,
+    "op11_pair_alignment": op11_pair_alignment,
+    "op12_periodic_runs": op12_periodic_runs,
     "op13_token_files": op13_token_files,
 }
 

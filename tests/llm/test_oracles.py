@@ -18,5 +18,5 @@ def test_query_matches_sql(spark, name):
 
 
 def test_registered():
-    assert [n.split("_")[0] for n in QUERIES] == [f"op{k}" for k in range(1, 11)]
+    assert [n.split("_")[0] for n in QUERIES] == [f"op{k}" for k in range(1, 14)]
     assert {*QUERIES, "pipeline"} <= set(se.queries())
