@@ -12,8 +12,9 @@ contributes at most one row per map task to the exchange - a key that holds a
 third of the table does not end up in one reducer.
 
 Keys with a NULL component never collide (NULLs are distinct in a UNIQUE
-index). Such rows are all kept: they are split off before the window and
-united with its result, so they enter no exchange.
+index). Such rows are all kept: each gets a salt of its own that counts as part of
+the key (``with_salt``), so that the rows are read once, go through one window and
+one anti join, and are spread over all tasks.
 """
 
 from __future__ import annotations
@@ -53,11 +54,18 @@ def key_columns(df: DataFrame, key: Sequence[str], collation: str | None = None)
     return out
 
 
-def split_null_keys(df: DataFrame, key: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """(rows whose key is complete, rows with a NULL key part). For NOT NULL keys the optimizer
-    drops the second; for nullable ones ``df`` is read twice, so it should be a scan."""
-    complete = " AND ".join(f"`{k}` IS NOT NULL" for k in key)
-    return df.where(complete), df.where(f"NOT ({complete})")
+SALT = "__salt"
+
+
+def with_salt(df: DataFrame, key: Sequence[str]) -> DataFrame:
+    """``df`` with a salt that makes a key with a NULL part unlike any other: 0 where the key is
+    complete, the row's place elsewhere. Without a nullable key column, or with a salt already, ``df`` itself."""
+    if SALT in df.columns or not any(df.schema[k].nullable for k in key):
+        return df
+    complete = F.lit(True)
+    for k in key:
+        complete = complete & F.col(f"`{k}`").isNotNull()
+    return df.withColumn(SALT, F.when(complete, F.lit(0).cast("long")).otherwise(F.monotonically_increasing_id() + 1))
 
 
 def arrival_order(df: DataFrame, order: Sequence[str | Column], exclude: Sequence[str] = ()) -> list[Column]:
@@ -91,8 +99,10 @@ def first_wins(
     NULLs first); the remaining columns break ties."""
     if not key:
         raise ValueError("first_wins needs a key")
-    keyed, loose = split_null_keys(df, key)
-    w = Window.partitionBy(*key_columns(keyed, key, collation)).orderBy(
-        *arrival_order(keyed, order, exclude=tiebreak_exclude)
+    salted = with_salt(df, key)
+    salt = [F.col(SALT)] if SALT in salted.columns else []
+    w = Window.partitionBy(*key_columns(df, key, collation), *salt).orderBy(
+        *arrival_order(df, order, exclude=(*tiebreak_exclude, SALT))
     )
-    return keyed.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") == 1).drop("__rn").unionByName(loose)
+    first = salted.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") == 1)
+    return first.select(*[f"`{c}`" for c in df.columns])

@@ -12,23 +12,27 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martsmith.operators.dedup import first_wins, key_columns, split_null_keys
+from martsmith.operators.dedup import SALT, first_wins, key_columns, with_salt
 
 
 def anti_existing(batch: DataFrame, existing: DataFrame, key: Sequence[str],
                   collation: str | None = None) -> DataFrame:
     """Drop ``batch`` rows whose complete key is already in ``existing``; rows with a NULL
-    key part never match and pass beside the join."""
-    keyed, loose = split_null_keys(batch, key)
+    key part never match, and their salts spread them over the join's tasks."""
+    salted = with_salt(batch, key)
     names = [f"__tk{i}" for i in range(len(key))]
     keys = existing.select(
         *[c.alias(n) for c, n in zip(key_columns(existing, key, collation), names)]
     ).where(" AND ".join(f"{n} IS NOT NULL" for n in names))
+    pairs = list(zip(key_columns(salted, key, collation), names))
+    if SALT in salted.columns:
+        keys = keys.withColumn("__tsalt", F.lit(0).cast("long"))
+        pairs.append((F.col(SALT), "__tsalt"))
     cond = None
-    for bc, n in zip(key_columns(keyed, key, collation), names):
+    for bc, n in pairs:
         eq = bc == F.col(n)
         cond = eq if cond is None else cond & eq
-    return keyed.join(keys, cond, "left_anti").unionByName(loose)
+    return salted.join(keys, cond, "left_anti").select(*[f"`{c}`" for c in batch.columns])
 
 
 def plan_insert_ignore(
@@ -46,11 +50,11 @@ def plan_insert_ignore(
        never updated;
     3. rows with a NULL key part pass both steps (they never collide).
     """
-    keyed, loose = split_null_keys(incoming, key)
-    batch = first_wins(keyed, key, order, collation, tiebreak_exclude)
+    salted = with_salt(incoming, key)
+    batch = first_wins(salted, key, order, collation, tiebreak_exclude)
     if existing is not None:
         batch = anti_existing(batch, existing, key, collation)
-    return batch.unionByName(loose)
+    return batch.select(*[f"`{c}`" for c in incoming.columns])
 
 
 def guarded_refresh_content(existing: DataFrame, incoming: DataFrame) -> DataFrame:
@@ -70,10 +74,11 @@ def insert_ignore_report(existing: DataFrame | None, incoming: DataFrame, key: S
     Counted per key group (a partial aggregate, so a hot key costs one row per
     map task), then one join of the groups against the distinct target keys.
     ``order`` does not change counts; it is accepted to mirror the load call."""
-    keyed, loose = split_null_keys(incoming, key)
+    salted = with_salt(incoming, key)
+    salt = [F.col(SALT)] if SALT in salted.columns else []  # a row with a NULL key part is a group of its own
     names = [f"__k{i}" for i in range(len(key))]
-    groups = keyed.groupBy(
-        *[kc.alias(n) for kc, n in zip(key_columns(keyed, key, collation), names)]
+    groups = salted.groupBy(
+        *[kc.alias(n) for kc, n in zip(key_columns(incoming, key, collation), names)], *salt
     ).agg(F.count(F.lit(1)).alias("__n"))
     present = F.lit(False)
     if existing is not None:
@@ -85,11 +90,11 @@ def insert_ignore_report(existing: DataFrame | None, incoming: DataFrame, key: S
         for n, tn in zip(names, tnames):
             eq = F.col(n) == F.col(tn)
             cond = eq if cond is None else cond & eq
+        if salt:
+            cond = cond & (F.col(SALT) == F.lit(0))
         groups = groups.join(tkeys, cond, "left")
         present = F.coalesce(F.col("__present"), F.lit(False))
-    rows = groups.select("__n", present.alias("__present")).unionByName(
-        loose.select(F.lit(1).cast("long").alias("__n"), F.lit(False).alias("__present")))
-    return rows.agg(
+    return groups.select("__n", present.alias("__present")).agg(
         F.coalesce(F.sum("__n"), F.lit(0)).cast("long").alias("read"),
         F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).cast("long").alias("deduped_in_batch"),
         F.count_if("__present").alias("already_present"),

@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,7 +35,7 @@ from martsmith.operators.loadplan import (
 )
 from martsmith.operators.surrogate import assign_surrogate_ids, stage
 from martsmith.plans.jobs import KYC_JSON_PATHS, MARTS
-from martsmith.plans.runner import mart_rows
+from martsmith.plans.runner import load_mart, mart_rows
 from martsmith.schemas import REFERRALS, spark_type
 from martsmith.sources.standins import standin_registry
 
@@ -387,6 +389,82 @@ def load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         "load_no int, read long, deduped_in_batch long, already_present long, written long, skipped_empty boolean")
 
 
+def _versioned(spark: SparkSession, spec, name: str, buckets: int = 0):
+    from martsmith.session import scratch_path
+    from martsmith.sinks import VersionedTarget
+
+    return VersionedTarget(spec, scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}"), buckets)
+
+
+def insert_ignore_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-2 with a key index: referrals loaded in part, in full, and in full again; the anti joins read the bucketed keys."""
+    from martsmith.plans.runner import load_frame
+
+    spec = MARTS["referrals"].target
+    target, src = _versioned(spark, spec, "indexed", buckets=8), _src(spark, sf_dir)
+    for frame in (_referrals("status = 'F'"), _referrals(), _referrals()):
+        load_frame(spark, frame(src), spec, target)
+    return target.read(spark)
+
+
+def _keyless_referrals():
+    return replace(MARTS["referrals"].target, name="referral_log", key=(), mode="append")
+
+
+def append_exactly_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-4, SNK-10: a keyless log appended by run ``a``, ``a`` replayed, and run ``b``: two copies of each row."""
+    from martsmith.plans.runner import load_frame
+
+    spec = _keyless_referrals()
+    target, src = _versioned(spark, spec, "append-once"), _src(spark, sf_dir)
+    for run_id in ("a", "a", "b"):
+        load_frame(spark, _referrals()(src), spec, target, run_id=run_id)
+    return target.read(spark)
+
+
+def nullable_key_exactly_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-3, SNK-10: withdrawals loaded by run ``a``, replayed, and by run ``b``: NULL keys come in twice, not three times."""
+    target, src = _versioned(spark, MARTS["wallet_withdraw_funds"].target, "withdraw-once"), _src(spark, sf_dir)
+    for run_id in ("a", "a", "b"):
+        load_mart(spark, src, "wallet_withdraw_funds", target, run_id=run_id)
+    return target.read(spark).drop("id")
+
+
+def refresh_versioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-5: what a reader holds that came before a refresh, one between the refresh's write and its publication, and one after."""
+    from martsmith.operators.conform import conform as conformed
+
+    spec = replace(MARTS["referrals"].target, mode="full_refresh")
+    target, src = _versioned(spark, spec, "refresh"), _src(spark, sf_dir)
+    rows = conformed(_referrals()(src), spec)
+    target.publish(spark, target.overwrite(rows), "whole", {})
+    before = target.read(spark)
+    written = target.overwrite(rows.where("status = 'F'"))
+    between = target.read(spark)
+    target.publish(spark, written, "part", {})
+    frames = [(before, "before"), (between, "between"), (target.read(spark), "after")]
+    return reduce(DataFrame.unionByName, [f.withColumn("reader", F.lit(n)) for f, n in frames])
+
+
+def incremental_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Structured Streaming into a keyless log: each micro-batch is a run of the ledger, so that a replay adds nothing."""
+    from martsmith.plans.jobs import referrals_query
+    from martsmith.sources.registry import SourceRegistry
+    from martsmith.sources.standins import standin_frame
+    from martsmith.streaming import incremental_load
+
+    spec = _keyless_referrals()
+    target = _versioned(spark, spec, "incremental-log")
+
+    def to_query(batch: DataFrame) -> DataFrame:
+        rt = standin_frame(batch, "admin.referral_transactions")
+        return referrals_query(SourceRegistry(spark, {"admin.referral_transactions": rt}))
+
+    incremental_load(spark, f"{sf_dir.rstrip('/')}/orders.parque[t]", spark.read.parquet(f"{sf_dir}/orders.parquet").schema, spec, target, to_query,
+                     base_path=sf_dir)
+    return target.read(spark)
+
+
 def surrogate_no_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SNK-7 without a declared order: no sort; ids are dense above the maximum, one per row."""
     rows = assign_surrogate_ids(mart_rows(_src(spark, sf_dir), "campaign"), (), "row_id", 500, "bigint")
@@ -438,4 +516,9 @@ QUERIES: dict[str, Query] = {
     "load_empty_refresh": load_empty_refresh,
     "load_counts": load_counts,
     "surrogate_no_order": surrogate_no_order,
+    "insert_ignore_indexed": insert_ignore_indexed,
+    "append_exactly_once": append_exactly_once,
+    "nullable_key_exactly_once": nullable_key_exactly_once,
+    "refresh_versioned": refresh_versioned,
+    "incremental_log": incremental_log,
 }

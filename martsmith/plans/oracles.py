@@ -13,6 +13,8 @@ extraction is guarded by ``json_valid``), ``sum`` of BIGINT is HUGEINT (cast).
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from martsmith.plans.jobs import KYC_JSON_PATHS
 from martsmith.schemas import (
     BANK,
@@ -398,6 +400,12 @@ CONFORM_TEXT_NUMBERS_SQL = (
     "CAST(NULL AS DATE) AS day FROM (SELECT o_orderkey, o_orderkey % 8 AS case_no FROM orders)"
 )
 
+REFERRAL_LOG_SQL = mart_sql(
+    replace(REFERRALS, key=()),
+    {"rt": standin_sql("admin.referral_transactions")},
+    "SELECT id, investor_id AS referred_user_id, campaign_id, commission_amount, commission_percentage, "
+    "ref_id AS referral_user_id, status, created_at, updated_at FROM rt WHERE id IS NOT NULL",
+)
 _REFERRAL_ROWS = f"SELECT * FROM ({REFERRALS_SQL})"
 LOAD_NULLABLE_KEY_SQL = (
     # NULL keys come in with each of the two loads, others once
@@ -459,4 +467,11 @@ ORACLES: dict[str, str] = {
     "load_counts": LOAD_COUNTS_SQL,
     "surrogate_no_order": f"WITH m AS ({CAMPAIGN_SQL}) SELECT count(*) AS n, 501 AS first_id, 500 + count(*) AS last_id, "
                           "count(*) AS n_ids, count(DISTINCT campaign_id) AS n_campaigns FROM m",
+    "insert_ignore_indexed": _REFERRAL_ROWS,
+    # the log has no key: repeated rows of the source stay
+    "append_exactly_once": f"WITH m AS ({REFERRAL_LOG_SQL}) SELECT * FROM m UNION ALL SELECT * FROM m",
+    "nullable_key_exactly_once": LOAD_NULLABLE_KEY_SQL,
+    "refresh_versioned": f"WITH m AS ({REFERRAL_LOG_SQL}) SELECT *, 'before' AS reader FROM m UNION ALL SELECT *, 'between' FROM m "
+                         "UNION ALL SELECT *, 'after' FROM m WHERE status = 'F'",
+    "incremental_log": REFERRAL_LOG_SQL,
 }

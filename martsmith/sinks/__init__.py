@@ -1,5 +1,6 @@
-"""Load targets (parquet folder, JDBC table) and the write half of the load modes."""
+"""Load targets (parquet folder, versioned parquet table, JDBC table) and the write half of the load modes."""
 
 from martsmith.sinks.targets import JdbcTarget, ParquetTarget
+from martsmith.sinks.versioned import ConcurrentLoad, VersionedTarget
 
-__all__ = ["JdbcTarget", "ParquetTarget"]
+__all__ = ["ConcurrentLoad", "JdbcTarget", "ParquetTarget", "VersionedTarget"]

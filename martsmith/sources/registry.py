@@ -58,7 +58,10 @@ class JdbcTable:
             reader = reader.option(k, v)
         low, high = self.lower_bound, self.upper_bound
         if self.partition_column and (low is None or high is None):
-            bounds = f"(SELECT MIN({self.partition_column}) AS lo, MAX({self.partition_column}) AS hi FROM {self.dbtable}) bounds_of"
+            # the name as the server spells it, quoted as Spark quotes it in the slices' predicates
+            name = next((c for c in reader.load().columns if c.lower() == self.partition_column.lower()), self.partition_column)
+            column = spark.sparkContext._jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(self.url).quoteIdentifier(name)
+            bounds = f"(SELECT MIN({column}) AS lo, MAX({column}) AS hi FROM {self.dbtable}) bounds_of"
             low, high = spark.read.format("jdbc").option("url", self.url).option("dbtable", bounds).options(**self.properties).load().first()
         if self.partition_column and low is not None:  # an empty table has no bounds and needs no slices
             reader = (

@@ -9,8 +9,10 @@ against the target, surrogate ids, append), and ``trigger(availableNow=True)``
 processes what is there and stops, so a scheduler can run it like a batch job.
 
 No watermark or state store is needed: the target table itself holds the
-state (its keys), and insert-ignore with complete keys is idempotent, so a
-micro-batch replayed after a failure adds nothing twice.
+state. Insert-ignore with complete keys is idempotent, so a micro-batch replayed after a
+failure adds nothing twice. Other loads (keyless appends, keys with NULL parts) take a target with
+a ledger: a micro-batch's run id is the stream's id and the batch's number, both kept in
+the stream's checkpoint, and a run that the target holds is skipped.
 """
 
 from __future__ import annotations
@@ -44,9 +46,10 @@ def incremental_load(
     frame (projection, renames, lookups against static tables). Returns one
     load report per micro-batch. Re-running with the same
     ``checkpoint_location`` only processes files added since."""
-    if spec.mode != "insert_ignore" or not set(spec.key) <= set(spec.not_null):
-        # a replayed micro-batch must add nothing twice: that takes complete, unique keys
-        raise ValueError("only an insert-ignore target with a NOT NULL key can be loaded incrementally")
+    ledger = hasattr(target, "find_run")
+    if spec.mode == "full_refresh" or not ledger and (spec.mode != "insert_ignore" or not set(spec.key) <= set(spec.not_null)):
+        # a replayed micro-batch must add nothing twice: that takes complete, unique keys, or a ledger
+        raise ValueError("an incremental load needs an insert-ignore target with a NOT NULL key, or a target with a ledger of runs")
     ckpt = checkpoint_location or scratch_path(spark, f"stream-{spec.name}-{uuid.uuid4().hex[:8]}")
     reader = spark.readStream.schema(source_schema)
     if base_path:
@@ -58,7 +61,9 @@ def incremental_load(
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
         frame = to_query(batch) if to_query else batch
-        reports.append(load_frame(spark, frame, spec, target, name=f"{spec.name}-b{batch_id}"))
+        stream_id = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        reports.append(load_frame(spark, frame, spec, target, name=f"{spec.name}-b{batch_id}",
+                                  run_id=f"{stream_id}/{batch_id}" if ledger else None))
 
     query = (
         stream.writeStream.foreachBatch(each_batch)
