@@ -1,7 +1,7 @@
 """Token ids of whole documents in binary files of fixed-width bits.
 
 Every id takes the least number of bits that the vocabulary's ids need. A file holds consecutive documents in
-ascending order of their id (null first; rows of one id by their ids' number and checksum), and is readable by itself:
+ascending order of their id (null first; rows of one id by a hash of their text), and is readable by itself:
 
     header   64 bytes: magic, format version, bits, ids per block, number of the task, of the task's file, documents,
              ids, blocks
@@ -13,12 +13,13 @@ All numbers are little-endian. As the width is fixed, an id's place follows from
 bit address inside, so that any range of ids is read from the blocks that it touches, by numpy, from
 memory-mapped files too (``TokenFile``).
 
-``write_token_files`` encodes in Arrow batches, stages the ids, deals the documents out by ranges of (id, number of ids,
-checksum, row stamp) and writes each range in order: the row stamp spreads an id, or a text, that a third of all rows
-have. A task closes a file at the first document's end beyond ``file_ids``, so a task holds one file's ids and one batch.
-Spark's text writer writes the bytes (a line break closes each file), so any file system of Spark's will do and the
-commit protocol covers lost executors. There are at most ``MAX_FILES`` files and one per task: larger inputs
-get larger files, and the index (a row per file) stays small enough to send to all tasks.
+``write_token_files`` deals the documents out by ranges of (id, text hash, row stamp), encodes each range in order and
+writes it: nothing but the documents is shuffled, once. The row stamp spreads an id, or a text, that a third of all rows
+have; it is a row's place in the partitions of ``docs``, which should therefore be read from a table (stage it otherwise). A task
+closes a file at the first document's end beyond ``file_ids``, so it holds one file's ids and one batch. Spark's text
+writer writes the bytes (a line break closes each file), so any file system of Spark's will do and the commit protocol
+covers lost executors. There are at most ``MAX_FILES`` files and one per task: larger inputs get larger files, and the
+index (a row per file) stays small enough to send to all tasks.
 
 Null text is empty: it has the end id alone. Repeated rows are documents of their own; a null id is kept. Only the two
 named columns are read. An empty table gives no documents.
@@ -38,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martsmith.llm.common import staged, table
+from martsmith.llm.common import table
 from martsmith.llm.subwords import TextEncoder
 from martsmith.session import scratch_path
 
@@ -48,6 +49,7 @@ HEADER = "<8sIIQQQQQQ"
 HEADER_BYTES = struct.calcsize(HEADER)  # 64
 BLOCK_IDS = 1 << 16  # a multiple of 8: full blocks end at whole bytes
 FILE_IDS = 1 << 23
+TASK_BYTES = 1 << 24  # of text
 MAX_FILES, MAX_TASKS = 200_000, 20_000
 BATCH_DOCS = 256
 
@@ -133,35 +135,8 @@ def _encoder(path: str) -> TextEncoder:
     return _ENCODERS[path]
 
 
-def encoded(docs: DataFrame, id_col: str, text_col: str, path: str, end_id: int) -> DataFrame:
-    """(doc_id, n_tokens, ids_crc32, ids): the ids as little-endian numbers of 32 bits."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(path)
-        for batch in batches:
-            for i in range(0, batch.num_rows, BATCH_DOCS):
-                part = batch.slice(i, BATCH_DOCS)
-                raw = [np.append(ids, np.uint32(end_id)).tobytes() for ids in encoder.encode(part.column(1).to_pylist())]
-                yield pa.RecordBatch.from_arrays([
-                    part.column(0), pa.array([len(r) // 4 for r in raw], pa.int64()), pa.array(map(zlib.crc32, raw), pa.int64()),
-                    pa.array([_narrow(r) for r in raw], pa.binary())], ["doc_id", "n_tokens", "ids_crc32", "ids"])
-
-    own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return own.mapInArrow(run, "doc_id long, n_tokens long, ids_crc32 long, ids binary")
-
-
-def _narrow(raw: bytes) -> bytes:
-    """Ids of 32 bits with as many bytes each as the greatest needs, after one byte that tells how many."""
-    ids = np.frombuffer(raw, "<u4")
-    width = 1 if (top := ids.max()) < 1 << 8 else 2 if top < 1 << 16 else 4
-    return bytes([width]) + ids.astype(f"<u{width}").tobytes()
-
-
-def _wide(raw: bytes) -> np.ndarray:
-    return np.frombuffer(raw, f"<u{raw[0]}", offset=1).astype("<u4")
-
-
-def write_token_files(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 2,
-                      vocabulary: str | None = None, file_ids: int = FILE_IDS, block_ids: int = BLOCK_IDS) -> None:
+def write_token_files(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 2, vocabulary: str | None = None,
+                      file_ids: int = FILE_IDS, block_ids: int = BLOCK_IDS, task_bytes: int = TASK_BYTES) -> None:
     """Write the token ids of ``docs``, each closed by ``end_id``, below ``path`` (a new folder)."""
     if block_ids % 8:
         raise ValueError("block_ids must be a multiple of 8")
@@ -169,29 +144,35 @@ def write_token_files(docs: DataFrame, path: str, id_col: str = "doc_id", text_c
     from tokenizers import Tokenizer
 
     bits = bits_for(max(Tokenizer.from_file(vocabulary).get_vocab_size(), end_id + 1))
-    rows = staged(encoded(docs, id_col, text_col, vocabulary, end_id).withColumn("stamp", F.monotonically_increasing_id()), "token-ids")
-    total = rows.agg(F.sum("n_tokens")).first()[0] or 0
-    file_ids = max(file_ids, -(-total // MAX_FILES))
-    order = ["doc_id", "n_tokens", "ids_crc32", "stamp"]
-    dealt = rows.repartitionByRange(max(1, min(MAX_TASKS, -(-total // file_ids))), *order).sortWithinPartitions(*order)
+    own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    n_bytes, n_docs = own.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.count(F.lit(1))).first()
+    tasks = max(1, min(MAX_TASKS, -(-n_bytes // task_bytes)))
+    file_ids = max(file_ids, -(-(n_bytes + n_docs) // MAX_FILES))  # an id has one byte or more
+    order = ["doc_id", "key", "stamp"]
+    dealt = own.select("*", F.xxhash64("text").alias("key"), F.monotonically_increasing_id().alias("stamp")).repartitionByRange(
+        tasks, *order).sortWithinPartitions(*order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, file, held, n = TaskContext.get().partitionId(), 0, [], 0
+        encoder, task, file, held, n = _encoder(vocabulary), TaskContext.get().partitionId(), 0, [], 0
+        end = np.uint32(end_id)
 
         def closed() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array([file_bytes(task, file, held, bits, block_ids)], pa.binary())], ["content"])
 
         for batch in batches:
-            for doc_id, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                held.append((doc_id, _wide(raw.as_py())))
-                n += len(held[-1][1])
-                if n >= file_ids:
-                    yield closed()
-                    file, held, n = file + 1, [], 0
+            for i in range(0, batch.num_rows, BATCH_DOCS):
+                part = batch.slice(i, BATCH_DOCS)
+                for doc_id, ids in zip(part.column(0).to_pylist(), encoder.encode(part.column(1).to_pylist()), strict=True):
+                    held.append((doc_id, np.append(ids, end).astype(narrow)))
+                    n += len(ids) + 1
+                    if n >= file_ids:
+                        yield closed()
+                        file, held, n = file + 1, [], 0
         if held:
             yield closed()
 
-    files = dealt.select("doc_id", "ids").mapInArrow(run, "content binary")
+    narrow = "<u2" if bits <= 16 else "<u4"
+    files = dealt.select("doc_id", "text").mapInArrow(run, "content binary")
     files.select(F.col("content").cast("string").alias("value")).write.option("compression", "none").option(
         "maxRecordsPerFile", 1).option("lineSep", "\n").text(path)
 

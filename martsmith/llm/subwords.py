@@ -167,20 +167,28 @@ class Ragged:
         return self.flat[np.repeat(self.ends[rows] - before, n) + np.arange(int(n.sum()))]
 
 
+MARKS = b".,!?;:"
+
+
 class TextEncoder:
-    """Ids (unsigned 32 bits) of texts by a byte-level vocabulary."""
+    """Ids (unsigned 32 bits) of texts by a byte-level vocabulary.
+
+    Final marks after an ASCII letter or digit are cut from it by the vocabulary's rules, so a unit with such marks is made of
+    the unit without and the marks. Of the units known before the memory was started anew, those that occur again are taken over."""
 
     def __init__(self, path: str, max_units: int = MAX_UNITS) -> None:
         self.encoder, self.max_units = ByteLevel(path), max_units
-        self._forget()
+        self._start()
+        self._start()
 
-    def _forget(self) -> None:
-        self.known, self.table = Interned(), Ragged(np.uint32)
+    def _start(self) -> None:
+        self.older = (self.known, self.rows, self.table) if hasattr(self, "known") else ({}, [], Ragged(np.uint32))
+        self.known, self.rows, self.table, self.marks = Interned(), [], Ragged(np.uint32), {}
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """The ids of each text; null as empty."""
-        if len(self.known) > self.max_units:
-            self._forget()
+        if len(self.known) > self.max_units // 2:
+            self._start()
         numbers = []
         for text in texts:
             if not text:
@@ -191,15 +199,42 @@ class TextEncoder:
                 first, *rest = units_of(" " + text)
                 numbers.append(self.known.numbers([first.decode("utf-8"), *rest]))
         self._learn()
-        return [self.table.gather(n) for n in numbers]
+        rows = np.array(self.rows, np.int64)
+        return [self.table.gather(rows[n]) for n in numbers]
+
+    def _add(self, lengths: np.ndarray, ids: np.ndarray) -> range:
+        first = self.table.rows
+        self.table.extend(lengths, ids)
+        return range(first, self.table.rows)
 
     def _learn(self) -> None:
-        new, self.known.new = self.known.new, []
-        spaced = np.fromiter((type(u) is bytes for u in new), bool, len(new))
-        lengths, first = np.zeros(len(new), np.int64), [u for u in new if type(u) is str]
-        lengths[spaced], ids = unit_ids(self.encoder, [u for u in new if type(u) is bytes])
-        others = self.encoder.ids(first)
-        lengths[~spaced] = [len(x) for x in others]
-        flat, of_spaced = np.zeros(int(lengths.sum()), np.int64), np.repeat(spaced, lengths)
-        flat[of_spaced], flat[~of_spaced] = ids, [i for x in others for i in x]
-        self.table.extend(lengths, flat)
+        known, (older, older_rows, older_table) = self.known, self.older
+        new, base = known.new, len(self.rows)
+        taken, made, spaced, first = [], [], [], []
+        for k, u in enumerate(new):  # grows by the units without their marks
+            if u in older:
+                taken.append(k)
+            elif type(u) is str:
+                first.append(k)
+            elif (stem := u.rstrip(MARKS)) != u and stem[-1:].isalnum():
+                made.append((k, known[stem], u[len(stem):]))
+            else:
+                spaced.append(k)
+        known.new = []
+        self.rows += [0] * len(new)
+        for k, row in zip(spaced, self._add(*unit_ids(self.encoder, [new[k] for k in spaced])), strict=True):
+            self.rows[base + k] = row
+        marks = list({m for _, _, m in made} - self.marks.keys())
+        raw = self.encoder.ids([new[k] for k in first] + [m.decode() for m in marks])
+        rows = self._add(np.array(list(map(len, raw)), np.int64), np.array([i for x in raw for i in x], np.uint32))
+        for k, row in zip(first, rows, strict=False):
+            self.rows[base + k] = row
+        self.marks.update(zip(marks, rows[len(first):], strict=True))
+        if taken:
+            rows = np.array([older_rows[older[new[k]]] for k in taken], np.int64)
+            for k, row in zip(taken, self._add(older_table.lengths(rows), older_table.gather(rows)), strict=True):
+                self.rows[base + k] = row
+        if made:
+            rows = np.array([x for _, stem, m in made for x in (self.rows[stem], self.marks[m])], np.int64)
+            for (k, _, _), row in zip(made, self._add(self.table.lengths(rows).reshape(-1, 2).sum(1), self.table.gather(rows)), strict=True):
+                self.rows[base + k] = row

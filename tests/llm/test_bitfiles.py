@@ -7,6 +7,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
@@ -92,11 +93,16 @@ def test_least_bits():
     assert [bits_for(n) for n in (1, 2, 3, 256, 257, 32_000, 49_408, 50_257, 65_537)] == [1, 1, 2, 8, 9, 15, 16, 16, 17]
 
 
+def signed(x):
+    return x - 2**64 if x >= 2**63 else x
+
+
 def expected(tokenizer, rows):
-    """(doc_id, start, n_tokens, crc) in order; rows of one id by number and checksum."""
-    docs = sorted(((i is not None, i or 0, len(x), zlib.crc32(x.tobytes())) for (i, _), x in zip(rows, whole(tokenizer, [t for _, t in rows]), strict=True)))
+    """(doc_id, start, n_tokens, crc) in order; rows of one id by the hash of their text."""
+    key = {t: 42 if t is None else signed(xxhash.xxh64_intdigest(t.encode(), 42)) for _, t in rows}
+    docs = sorted(((i is not None, i or 0, key[t], len(x), zlib.crc32(x.tobytes())) for (i, t), x in zip(rows, whole(tokenizer, [t for _, t in rows]), strict=True)))
     out, at = [], 0
-    for known, i, n, crc in docs:
+    for known, i, _, n, crc in docs:
         out.append((i if known else None, at, n, crc))
         at += n
     return out
@@ -111,7 +117,7 @@ def test_query(spark, documents, tokenizer):
 @pytest.mark.parametrize("file_ids", [64, 5_000, 1 << 23])
 def test_edge_cases(edge_docs, spark, tokenizer, tmp_path, file_ids):
     path = str(tmp_path / "ids")
-    write_token_files(edge_docs, path, file_ids=file_ids, block_ids=64)
+    write_token_files(edge_docs, path, file_ids=file_ids, block_ids=64, task_bytes=100_000)
     rows = expected(tokenizer, edge_texts())
     assert counted(read_documents(spark, path).collect()) == counted(rows)
     files = [open(p, "rb") for p in glob.glob(path + "/*.txt")]  # noqa: SIM115
