@@ -14,7 +14,7 @@ scores (and those of such queries) are bounded in floating point and, where the
 integers of any size. Only a score among the k best that no long holds is an error.
 
 Vectors that are null or hold null or non-finite components take no part; nor do rows with a null id. Vectors of other lengths than a
-query's aren't compared with it. A query's own row is any with its id; of query rows with one
+query's aren't compared with it. A query's own row is any with its id; of usable query rows with one
 id the least vector counts. Repeated candidate rows are ranked each. Ties go to the smaller id.
 """
 
@@ -213,7 +213,9 @@ def top_k(data: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_id"
     """(query_id, rank, vec_id, score) for the rows of ``data`` for which ``is_query`` holds, against all others."""
     spark = data.sparkSession
     blocks = staged(approximation(data, id_col, vector_col, bits), "vectors")
-    asked = staged(data.where(is_query & F.col(id_col).isNotNull()).groupBy(F.col(id_col).cast("long").alias("id")).agg(
+    numbers = F.col(vector_col).cast("array<double>")
+    usable = ~F.exists(numbers, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))  # null for a null vector
+    asked = staged(data.where(is_query & F.col(id_col).isNotNull() & usable).groupBy(F.col(id_col).cast("long").alias("id")).agg(
         F.min(F.col(vector_col).cast("array<double>")).alias("vector")), "queries")
     size = asked.agg(F.coalesce(F.sum(F.size("vector").cast("long") + 1), F.lit(0))).first()[0]
     parts = max(1, -(-8 * size // query_bytes))

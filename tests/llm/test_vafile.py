@@ -82,3 +82,13 @@ def test_exact_scores_of_large_vectors():
         assert dict(zip(left.tolist(), scores, strict=True)).items() <= every.items()
         bar = sorted(every.values())[-6]
         assert {i for i, s in every.items() if s >= bar} <= set(left.tolist())
+
+
+def test_an_unusable_row_of_a_query_id_takes_no_part(spark):
+    """Null components sort first: such a row must not stand for its id."""
+    nan, inf = float("nan"), float("inf")
+    for bad in ([None, 1.0], [nan, 1.0], [-inf, 0.0], None):
+        rows = [(100, bad), (100, [1.0, 2.0]), (1, [1.0, 0.0]), (2, [0.0, 1.0]), (200, bad)]
+        data = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+        got = top_k(data, F.col("vec_id") % 100 == 0).where("query_id = 100").collect()
+        assert sorted(tuple(r) for r in got) == [(100, 1, 2, 2 * 1024 * 1024), (100, 2, 1, 1024 * 1024)]
