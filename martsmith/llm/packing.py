@@ -42,6 +42,12 @@ MAX_WORD_BYTES = 64
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
+def _ends_plain(stem: str) -> bool:
+    """Whether the last letter is Latin and stays one letter in lower case: U+0130 becomes two characters, and the second joins
+    the mark that follows."""
+    return stem[-1].isalpha() and stem[-1] < LATIN_END and len(stem[-1].lower()) == 1
+
+
 class WordEncoder:
     """Token ids (little-endian unsigned 32 bits) of texts, word by word.
 
@@ -79,12 +85,11 @@ class WordEncoder:
                 return
             queued.add(word)
             text = word.decode("utf-8")
-            (plain if text.isalpha() and max(text) < LATIN_END and len(word) <= MAX_WORD_BYTES else other).append(word)
+            (plain if text.isalpha() and max(text) < LATIN_END and "\u0130" not in text and len(word) <= MAX_WORD_BYTES else other).append(word)
 
         for word in words:
             stem = word.rstrip(MARKS)
-            if stem != word and stem and (stem.isascii() and stem[-1:].isalnum() or stem.decode("utf-8")[-1].isalpha()
-                                          and stem.decode("utf-8")[-1] < LATIN_END):
+            if stem != word and stem and (stem.isascii() and stem[-1:].isalnum() or _ends_plain(stem.decode("utf-8"))):
                 marked.append((word, stem))
                 need(stem)
                 need(word[len(stem):])
@@ -113,7 +118,14 @@ class WordEncoder:
             yield b"".join(map(self.known.__getitem__, words))
 
 
-_ENCODERS: dict[str, WordEncoder] = {}  # one per worker process
+_ENCODERS: dict[str, WordEncoder] = {}
+
+
+def _encoder(path: str) -> WordEncoder:
+    """One per worker process, whatever tasks it runs."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = WordEncoder(path)
+    return _ENCODERS[path]
 
 
 def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 2048, end_id: int = 1,
@@ -122,7 +134,7 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size
     path = vocabulary or public_tokenizers.path(VOCABULARY)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _ENCODERS.setdefault(path, WordEncoder(path))
+        encoder = _encoder(path)
         end = np.asarray([end_id], "<u4").tobytes()
         for b in batches:
             out: list[tuple] = []

@@ -40,7 +40,7 @@ def test_word_by_word_equals_whole_texts(texts):
 
 
 def test_special_token_names_are_text(encoder, whole):
-    texts = ["a <|endoftext|> b", "it's  x.y, (don't) été, naïve.", None]
+    texts = ["a <|endoftext|> b", "it's  x.y, (don't) été, naïve.", "GELDİ. İ, geldi̇! İİ.", "ŉ. ǰ, ß! ẞ. ﬁ.", None]
     assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(texts)] == whole(texts)
 
 
