@@ -7,6 +7,7 @@ from collections import Counter
 
 import public_tokenizers
 import pytest
+import sentencepiece
 from pyspark.sql import functions as F
 
 from martsmith.llm.lattice import SPACE, VOCABULARY, Lattice, op6_lm_score, score_texts, words_of
@@ -36,6 +37,64 @@ def test_forward_recursion_sums_over_all_segmentations():
     assert math.isfinite(lattice.word("ab" * 20_000))
 
 
+def expected(lattice, word):
+    """Expected pieces by trying all ways to cut the word."""
+    text, ways = SPACE + word, []
+    for cuts in itertools.product([0, 1], repeat=len(text) - 1):
+        parts, at = [], 0
+        for k, c in enumerate([*cuts, 1], 1):
+            if c:
+                parts.append(text[at:k])
+                at = k
+        if all(p in lattice.piece or len(p) == 1 for p in parts):
+            ids = [i for p in parts for i in ([lattice.id_of[p]] if p in lattice.piece else [lattice.byte_id[b] for b in p.encode()])]
+            score = sum(lattice.piece[p] if p in lattice.piece else sum(lattice.byte[b] for b in p.encode()) for p in parts)
+            ways.append((math.exp(score), ids))
+    total, out = sum(w for w, _ in ways), Counter()
+    for w, ids in ways:
+        for i in ids:
+            out[i] += w / total
+    return out
+
+
+def test_expected_pieces_are_those_of_all_segmentations():
+    lattice = Lattice({300: 50, 400: 9, 29871: 1000}, 3, public_tokenizers.path(VOCABULARY))
+    for word in ("the", "hello", "été", "x☃y", "there,and", "a"):
+        got = [0.0] * lattice.size
+        lattice.expect(word, 3, got)
+        want = expected(lattice, word)
+        assert {i: x for i, x in enumerate(got) if x} == pytest.approx({i: 3 * x for i, x in want.items()}, abs=1e-9)
+    long = [0.0] * lattice.size
+    lattice.expect("ab" * 20_000, 1, long)
+    assert math.isfinite(sum(long))
+
+
+def test_rounds_raise_the_likelihood_of_the_training_texts(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    totals = [sum(r.score for r in score_texts(docs, F.lit(True), rounds=n).collect()) for n in (0, 1, 2)]
+    assert totals[0] < totals[1] < totals[2]
+
+
+def test_score_is_the_lattice_marginal(spark):
+    """The brute force over all cuts, with the scores of one round estimated by the brute force too."""
+    path = public_tokenizers.path(VOCABULARY)
+    texts = [(1, "the cat the"), (2, "a théâtre"), (3, "Thé cat☃"), (4, None)]
+    encoder = sentencepiece.SentencePieceProcessor(model_file=path)
+    words = Counter(w.decode() for _, t in texts for w in words_of(t))
+    first = Counter()
+    for w, c in words.items():
+        for i in encoder.encode(w):
+            first[i] += c
+    lattice, again = Lattice(first, 4, path), Counter()
+    for w, c in words.items():
+        for i, x in expected(lattice, w).items():
+            again[i] += c * x
+    lattice = Lattice(again, 4, path)
+    for r in score_texts(spark.createDataFrame(texts, "doc_id long, text string"), F.lit(True)).collect():
+        want = lattice.end + sum(spelled(lattice, w.decode()) for w in words_of(dict(texts)[r.doc_id]))
+        assert r.score == pytest.approx(want / math.log(10), rel=1e-9)
+
+
 @pytest.mark.parametrize("common", [2e-6, 0.01, 0.5])
 def test_base_scores_and_counts(spark, documents, common):
     def held(i):
