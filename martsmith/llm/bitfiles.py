@@ -39,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martsmith.llm.common import table
+from martsmith.llm.common import staged, table
 from martsmith.llm.subwords import TextEncoder
 from martsmith.session import scratch_path
 
@@ -212,9 +212,14 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
                     pa.array(f.doc_ids, pa.int64(), mask=f.is_null), pa.array(f.starts[:-1]), pa.array(n), pa.array(crc, pa.int64()),
                 ], [c.split()[0] for c in DOCUMENTS.split(", ")])
 
-    index = F.broadcast(file_index(spark, path).select("task", "file", "base"))
-    return _files(spark, path).mapInArrow(run, DOCUMENTS).join(index, ["task", "file"]).select(
-        "doc_id", (F.col("base") + F.col("first")).alias("start"), "n_tokens", "ids_crc32")
+    found = staged(_files(spark, path).mapInArrow(run, DOCUMENTS), "token-documents")  # the files are read once
+    sizes = found.groupBy("task", "file").agg(F.sum("n_tokens").alias("n_ids")).collect()  # at most MAX_FILES + MAX_TASKS rows
+    bases, before = [], 0
+    for r in sorted(sizes):
+        bases.append((r.task, r.file, before))
+        before += r.n_ids
+    index = F.broadcast(spark.createDataFrame(bases, "task long, file long, base long"))
+    return found.join(index, ["task", "file"]).select("doc_id", (F.col("base") + F.col("first")).alias("start"), "n_tokens", "ids_crc32")
 
 
 def read_range(spark: SparkSession, path: str, start: int, count: int) -> np.ndarray:

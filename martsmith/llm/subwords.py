@@ -178,63 +178,69 @@ class TextEncoder:
 
     def __init__(self, path: str, max_units: int = MAX_UNITS) -> None:
         self.encoder, self.max_units = ByteLevel(path), max_units
-        self._start()
+        self.known, self.rows, self.table = Interned(), np.zeros(0, np.int64), Ragged(np.uint32)
         self._start()
 
     def _start(self) -> None:
-        self.older = (self.known, self.rows, self.table) if hasattr(self, "known") else ({}, [], Ragged(np.uint32))
-        self.known, self.rows, self.table, self.marks = Interned(), [], Ragged(np.uint32), {}
+        self.older = self.known, self.rows, self.table
+        self.known, self.rows, self.table = Interned(), np.zeros(0, np.int64), Ragged(np.uint32)
+        self.plain: dict[str, int] = {}  # rows of first words, which have no space, and of marks
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """The ids of each text; null as empty."""
+        if not texts:
+            return []
         if len(self.known) > self.max_units // 2:
             self._start()
-        numbers = []
+        firsts, numbers = [], []
         for text in texts:
-            if not text:
-                numbers.append(np.zeros(0, np.int64))
-            elif text[0] == " ":
-                numbers.append(self.known.numbers(units_of(text)))
-            else:  # the first unit has no space: its own text is its name
+            first, rest = None, []
+            if text and text[0] == " ":
+                rest = units_of(text)
+            elif text:
                 first, *rest = units_of(" " + text)
-                numbers.append(self.known.numbers([first.decode("utf-8"), *rest]))
+                first = first.decode("utf-8")
+            firsts.append(first)
+            numbers.append(self.known.numbers(rest))
         self._learn()
-        rows = np.array(self.rows, np.int64)
-        return [self.table.gather(rows[n]) for n in numbers]
-
-    def _add(self, lengths: np.ndarray, ids: np.ndarray) -> range:
+        self._learn_plain({x for x in firsts if x})
+        rows = [r for x, own in zip(firsts, numbers, strict=True) for r in ([np.array([self.plain[x]])] if x else []) + [self.rows[own]]]
+        flat = np.concatenate(rows)
+        ends = np.cumsum(self.table.lengths(flat))
+        cuts = np.cumsum([(1 if x else 0) + len(own) for x, own in zip(firsts, numbers, strict=True)])
+        return np.split(self.table.gather(flat), np.concatenate([[0], ends])[cuts[:-1]])
+
+    def _add(self, lengths: np.ndarray, ids: np.ndarray) -> np.ndarray:
         first = self.table.rows
         self.table.extend(lengths, ids)
-        return range(first, self.table.rows)
+        return np.arange(first, self.table.rows)
+
+    def _learn_plain(self, texts: set[str]) -> None:
+        new = [t for t in texts if t not in self.plain]
+        ids = self.encoder.ids(new)
+        lengths = np.array(list(map(len, ids)), np.int64)
+        self.plain.update(zip(new, self._add(lengths, np.array([i for x in ids for i in x], np.uint32)).tolist(), strict=True))
 
     def _learn(self) -> None:
         known, (older, older_rows, older_table) = self.known, self.older
-        new, base = known.new, len(self.rows)
-        taken, made, spaced, first = [], [], [], []
-        for k, u in enumerate(new):  # grows by the units without their marks
-            if u in older:
-                taken.append(k)
-            elif type(u) is str:
-                first.append(k)
-            elif (stem := u.rstrip(MARKS)) != u and stem[-1:].isalnum():
-                made.append((k, known[stem], u[len(stem):]))
-            else:
-                spaced.append(k)
-        known.new = []
-        self.rows += [0] * len(new)
-        for k, row in zip(spaced, self._add(*unit_ids(self.encoder, [new[k] for k in spaced])), strict=True):
-            self.rows[base + k] = row
-        marks = list({m for _, _, m in made} - self.marks.keys())
-        raw = self.encoder.ids([new[k] for k in first] + [m.decode() for m in marks])
-        rows = self._add(np.array(list(map(len, raw)), np.int64), np.array([i for x in raw for i in x], np.uint32))
-        for k, row in zip(first, rows, strict=False):
-            self.rows[base + k] = row
-        self.marks.update(zip(marks, rows[len(first):], strict=True))
+        base = len(self.rows)
+        # the units without their marks are looked up, and so become new themselves
+        made = [(u, s) for u, s in [(u, u.rstrip(MARKS)) for u in known.new if u not in older] if len(s) < len(u) and s[-1:].isalnum()]
+        stems = known.numbers([s for _, s in made])
+        new, known.new = known.new, []
+        own = np.zeros(len(new), np.int64)
+        taken = [k for k, u in enumerate(new) if u in older]
+        of_made = np.array([known[u] for u, _ in made], np.int64) - base
+        fresh = np.ones(len(new), bool)
+        fresh[taken] = fresh[of_made] = False
+        fresh = np.flatnonzero(fresh)
+        own[fresh] = self._add(*unit_ids(self.encoder, [new[k] for k in fresh]))
         if taken:
-            rows = np.array([older_rows[older[new[k]]] for k in taken], np.int64)
-            for k, row in zip(taken, self._add(older_table.lengths(rows), older_table.gather(rows)), strict=True):
-                self.rows[base + k] = row
+            rows = older_rows[[older[new[k]] for k in taken]]
+            own[taken] = self._add(older_table.lengths(rows), older_table.gather(rows))
+        self.rows = np.concatenate([self.rows, own])
         if made:
-            rows = np.array([x for _, stem, m in made for x in (self.rows[stem], self.marks[m])], np.int64)
-            for (k, _, _), row in zip(made, self._add(self.table.lengths(rows).reshape(-1, 2).sum(1), self.table.gather(rows)), strict=True):
-                self.rows[base + k] = row
+            marks = [u[len(s):].decode() for u, s in made]
+            self._learn_plain(set(marks))
+            rows = np.stack([self.rows[stems], [self.plain[m] for m in marks]], 1).ravel()
+            self.rows[base + of_made] = self._add(self.table.lengths(rows).reshape(-1, 2).sum(1), self.table.gather(rows))
