@@ -47,8 +47,27 @@ def collated(c: str | Column, collation: str | None) -> Column:
     return col if not collation else F.collate(col, collation)
 
 
-_TOP_LEVEL = re.compile(r"\$\.([A-Za-z_][A-Za-z0-9_]*)")
-_ARRAY_ELEM = re.compile(r"\$\.([A-Za-z_][A-Za-z0-9_]*)\[(\d+)\]\.([A-Za-z_][A-Za-z0-9_]*)")
+_PATH = re.compile(r"\$((?:\.[A-Za-z_][A-Za-z0-9_]*|\[\d+\])+)")
+_STEP = re.compile(r"\.([A-Za-z_][A-Za-z0-9_]*)|\[(\d+)\]")
+
+
+def path_steps(path: str) -> list[str | int]:
+    """The keys and indices of a JSON path such as ``$.a.b[0].c``."""
+    whole = _PATH.fullmatch(path)
+    if not whole:
+        raise ValueError(f"unsupported JSON path {path!r}")
+    return [key or int(index) for key, index in _STEP.findall(whole.group(1))]
+
+
+def path_tree(paths: Mapping[str, str]) -> dict:
+    """Paths by their common beginnings: step -> subtree, and under ``None`` the outputs that end there."""
+    tree: dict = {}
+    for out, path in paths.items():
+        node = tree
+        for step in path_steps(path):
+            node = node.setdefault(step, {})
+        node.setdefault(None, []).append(out)
+    return tree
 
 
 def json_fields(
@@ -60,47 +79,54 @@ def json_fields(
 ) -> DataFrame:
     """Add one string column per JSON path of ``doc`` (``JSON_UNQUOTE(JSON_EXTRACT(...))``).
 
-    ``paths`` maps output column -> path; supported paths are ``$.Key`` and
-    ``$.List[i].Key``. The document is tokenised once per row by a single
-    ``json_tuple`` over all top-level keys (array paths read the raw list text
-    it returns), instead of one full parse per path.
+    ``paths`` maps output column -> path, any mix of keys and indices. The document is tokenised once per row by a single
+    ``json_tuple`` over all top-level keys; paths that go on read the raw text it returns for their key, one step at a time
+    along the tree of paths, so that a common beginning is cut out once. Paths that begin with an index take the document itself.
 
     Missing keys, JSON ``null``, empty lists and malformed documents give NULL.
     With ``json_null="literal"`` a JSON ``null`` value gives the string
-    ``'null'`` instead (the behaviour of a server that unquotes the literal).
+    ``'null'`` instead (the behaviour of a server that unquotes the literal): that takes one parse of the
+    document more, which all paths share.
     """
     if json_null not in ("sql", "literal"):
         raise ValueError("json_null must be 'sql' or 'literal'")
-    top_keys: list[str] = []
-    plan: dict[str, tuple] = {}
-    for out, path in paths.items():
-        m = _TOP_LEVEL.fullmatch(path)
-        if m:
-            plan[out] = ("top", m.group(1))
-            key = m.group(1)
-        else:
-            m = _ARRAY_ELEM.fullmatch(path)
-            if not m:
-                raise ValueError(f"unsupported JSON path {path!r}")
-            key = m.group(1)
-            plan[out] = ("elem", key, int(m.group(2)), m.group(3))
-        if key not in top_keys:
-            top_keys.append(key)
-
-    tmp = {k: f"__json_{i}" for i, k in enumerate(top_keys)}
-    parsed = df.select("*", F.json_tuple(F.col(doc), *top_keys).alias(*tmp.values()))
-    cols = {}
-    for out, spec in plan.items():
-        if spec[0] == "top":
-            value = F.col(tmp[spec[1]])
+    tree = path_tree(paths)
+    keys = [k for k in tree if isinstance(k, str)]
+    made: dict[str, str] = {}
+
+    def fresh(what: str) -> str:
+        made[what] = f"__json_{len(made)}"
+        return made[what]
+
+    parsed = df
+    if keys:
+        parsed = parsed.select("*", F.json_tuple(F.col(doc), *keys).alias(*[fresh(f"$.{k}") for k in keys]))
+    if json_null == "literal":
+        parsed = parsed.withColumn("__json_doc", F.try_parse_json(F.col(doc)))
+    found: dict[str, Column] = {}
+
+    def walk(node: dict, text: Column, rest: str, path: str) -> None:
+        """Outputs below ``node``: at ``rest`` of the text; a place where paths part gets a column of its own."""
+        nonlocal parsed
+        for out in node.get(None, []):
+            found[out] = F.get_json_object(text, f"${rest}") if rest else text
+        below = [s for s in node if s is not None]
+        if rest and len(below) + len(node.get(None, [])) > 1 and path:
+            parsed = parsed.withColumn(fresh(path), F.get_json_object(text, f"${rest}"))
+            text, rest = F.col(made[path]), ""
+        for step in below:
+            here = f".{step}" if isinstance(step, str) else f"[{step}]"
+            walk(node[step], text, rest + here, path + here)
+
+    for step, node in tree.items():
+        if isinstance(step, str):
+            walk(node, F.col(made[f"$.{step}"]), "", f"$.{step}")
         else:
-            _, key, idx, leaf = spec
-            value = F.get_json_object(F.col(tmp[key]), f"$[{idx}].{leaf}")
-        if json_null == "literal":
-            is_null = F.expr(f"is_variant_null(variant_get(try_parse_json(`{doc}`), '{paths[out]}'))")
-            value = F.when(is_null, F.lit("null")).otherwise(value)
-        cols[out] = value
-    result = parsed.withColumns(cols).drop(*tmp.values())
+            walk(node, F.col(doc), f"[{step}]", f"$[{step}]")
+    if json_null == "literal":
+        found = {out: F.when(F.expr(f"is_variant_null(variant_get(__json_doc, '{paths[out]}'))"), F.lit("null")).otherwise(value) for out, value in found.items()}
+        made["doc"] = "__json_doc"
+    result = parsed.withColumns({out: found[out] for out in paths}).drop(*made.values())
     return result if keep_doc else result.drop(doc)
 
 

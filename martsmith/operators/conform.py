@@ -21,6 +21,7 @@ query does not deliver are NULL. Each changed cell is counted in an optional
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
@@ -29,7 +30,7 @@ from pyspark.sql import types as T
 
 from martsmith.schemas import VARCHAR_META, TargetSpec
 
-COERCED_COL = "__coerced_cells"
+COERCED_COL, REJECTED_COL = "__coerced_cells", "__rejected"
 
 _INT_RANGES = {
     "tinyint": (-(2**7), 2**7 - 1),
@@ -156,30 +157,38 @@ def conform(
     on_bad_cast: str = "null",
     keep: tuple[str, ...] = (),
     count_coerced: bool = False,
+    tell: bool = False,
 ) -> DataFrame:
     """Project ``df`` onto the load columns of ``target`` with target types.
 
     ``keep`` names extra columns (e.g. captured arrival order) passed through
     unchanged after the target columns. With ``count_coerced`` a column
-    ``__coerced_cells`` holds the number of changed or defaulted cells per row.
+    ``__coerced_cells`` holds the number of changed or defaulted cells per row. With ``tell`` a column
+    ``__rejected`` lists those cells (``rejected_cells`` makes a table of it): the column, the rule that changed it
+    (``converted``: not a value of the type, or out of its range or length; ``defaulted``: NULL where the table takes none) and the
+    source's value as text.
     """
     if on_bad_cast not in ("null", "zero"):
         raise ValueError("on_bad_cast must be 'null' or 'zero'")
     types = {f.name: f.dataType for f in df.schema.fields}
-    out, flags = [], []
+    out, flags, told = [], [], []
     for field in target.load_schema.fields:
         if field.name in types:
             value, changed = convert(F.col(f"`{field.name}`"), types[field.name], field, on_bad_cast,
-                                     want_flag=count_coerced)
+                                     want_flag=count_coerced or tell)
         else:
             value, changed = F.lit(None).cast(field.dataType), None
+        rule = F.when(changed, F.lit("converted")) if changed is not None else F.lit(None).cast("string")
         if field.name in target.not_null:
             default = _default_value(field.dataType)
             if default is not None:
+                rule = F.when(value.isNull(), F.lit("defaulted")).otherwise(rule)
                 if count_coerced:
                     changed = value.isNull() if changed is None else (changed | value.isNull())
                 value = F.coalesce(value, default)
         out.append(value.alias(field.name))
+        source = F.col(f"`{field.name}`").cast("string") if field.name in types else F.lit(None).cast("string")
+        told.append(F.when(rule.isNotNull(), F.struct(F.lit(field.name).alias("column"), rule.alias("rule"), source.alias("value"))))
         if count_coerced and changed is not None:
             flags.append(F.when(changed, 1).otherwise(0))
     extra = [F.col(f"`{k}`") for k in keep]
@@ -188,4 +197,13 @@ def conform(
         for f in flags:
             total = total + f
         extra.append(total.alias(COERCED_COL))
+    if tell:
+        extra.append(F.filter(F.array(*told), lambda x: x.isNotNull()).alias(REJECTED_COL))
     return df.select(*out, *extra)
+
+
+def rejected_cells(stored: DataFrame, key: Sequence[str]) -> DataFrame:
+    """(key columns, column, rule, value): a row per cell that ``conform(..., tell=True)`` changed; ``stored`` is its result, written
+    once, from which the load reads the rows and this table the cells."""
+    return stored.where(F.size(REJECTED_COL) > 0).select(*[f"`{k}`" for k in key], F.explode(REJECTED_COL).alias("__cell")).select(
+        *[f"`{k}`" for k in key], "__cell.column", "__cell.rule", "__cell.value")

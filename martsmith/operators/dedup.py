@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martsmith.functions.scalar import collated
+from martsmith.operators.joins import broadcast_limit
 
 
 def distinct_rows(df: DataFrame, collation: str | None = None) -> DataFrame:
@@ -43,6 +44,32 @@ def distinct_rows(df: DataFrame, collation: str | None = None) -> DataFrame:
     return df.select(*cols).distinct()
 
 
+FINGERPRINT = ("__fp1", "__fp2")
+
+
+def distinct_stored_rows(stored: DataFrame, max_repeated_bytes: int | None = None) -> DataFrame:
+    """``SELECT DISTINCT`` of wide rows in two levels; ``stored`` must be a scan or a staged table (it is read twice).
+
+    1. Only two 64-bit hashes per row are shuffled, counted before and after: fingerprints that occur once belong to rows
+       without an equal.
+    2. Rows of the repeated fingerprints are compared in full, by a DISTINCT of their own: rows that merely share a
+       fingerprint both stay. All others pass beside it and are never shuffled.
+
+    The repeated fingerprints are sent to all tasks, so they must be few: beyond ``max_repeated_bytes`` (the session's
+    broadcast bound) most rows would meet an equal in their own task anyway, and the one-level DISTINCT with its map-side
+    combine is taken."""
+    spark = stored.sparkSession
+    marked = stored.select("*", *[F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in stored.columns]).alias(n) for seed, n in enumerate(FINGERPRINT, 1)])
+    repeated = marked.groupBy(*FINGERPRINT).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").select(*FINGERPRINT)
+    bound = broadcast_limit(stored, max_repeated_bytes) // 16
+    held = repeated.limit(bound + 1).toArrow()  # 16 bytes a row, within the bound of a broadcast
+    if held.num_rows > bound:
+        return stored.distinct()
+    few = F.broadcast(spark.createDataFrame(held))
+    again = marked.join(few, list(FINGERPRINT), "left_semi").select(*[F.col(f"`{c}`") for c in stored.columns]).distinct()
+    return marked.join(few, list(FINGERPRINT), "left_anti").select(*[F.col(f"`{c}`") for c in stored.columns]).unionByName(again)
+
+
 def key_columns(df: DataFrame, key: Sequence[str], collation: str | None = None) -> list[Column]:
     types = {f.name: f.dataType for f in df.schema.fields}
     out = []

@@ -44,8 +44,10 @@ def typed_key(key: Column, as_type: str = "bigint") -> Column:
     numeric value, so ``'12.0'`` and ``'1e1'`` are 12 and 10. Text with a fraction or without a
     number becomes NULL and matches nothing instead of failing the job (the server would
     take the numeric prefix of ``'12abc'``; here that text matches nothing)."""
-    number = key.try_cast("decimal(38,10)")
-    return F.when(number == F.floor(number), number).try_cast(as_type)
+    number, text = key.try_cast("decimal(38,10)"), key.cast("string")
+    # the decimal rounds what lies beyond ten places: digits after the point, or a small power of ten, tell of it
+    beyond = text.rlike(r"^[^eE]*\.[0-9]*[1-9][0-9]*\s*$") | (key.try_cast("double") != F.floor(key.try_cast("double")))
+    return F.when((number == F.floor(number)) & ~beyond, number).try_cast(as_type)
 
 
 def skew_safe_left_join(preserved: DataFrame, other: DataFrame, preserved_key: str, other_key: str,
@@ -67,6 +69,9 @@ def skew_safe_left_join(preserved: DataFrame, other: DataFrame, preserved_key: s
         any exchange;
     * ``"auto"``: broadcast if the checked estimate of ``other`` is within the bound, else split.
 
+    With an explicit ``"split"`` the joins are sort-merge joins whatever the sizes (the plan of large tables, on any table);
+    under ``"auto"`` AQE may still broadcast a side that turns out small.
+
     AQE gives a split up if something above relies on the join's partitioning, as a later
     DISTINCT or window on the same key would. The inner branch therefore returns its
     key as the greater of the two equal keys: a value, not the partitioning
@@ -79,6 +84,7 @@ def skew_safe_left_join(preserved: DataFrame, other: DataFrame, preserved_key: s
         raise ValueError("strategy must be 'auto', 'broadcast' or 'split'")
     pk = F.col(f"`{preserved_key}`")
     ok = F.col(f"`{other_key}`")
+    kept = (lambda df: df.hint("merge")) if strategy == "split" else (lambda df: df)
     if strategy == "auto":
         fits = estimated_size_bytes(other) <= broadcast_limit(other, max_broadcast_bytes)
         strategy = "broadcast" if fits else "split"
@@ -87,9 +93,9 @@ def skew_safe_left_join(preserved: DataFrame, other: DataFrame, preserved_key: s
     fill = [F.lit(None).cast(f.dataType).alias(f.name) for f in other.schema.fields]
     keyed = preserved.where(pk.isNotNull())
     key = F.greatest(pk, ok).cast(preserved.schema[preserved_key].dataType).alias(preserved_key)
-    matched = keyed.join(other, pk == ok, "inner").select(
+    matched = keyed.join(kept(other), pk == ok, "inner").select(
         *[key if n == preserved_key else F.col(f"`{n}`") for n in preserved.columns], *[F.col(f"`{n}`") for n in other.columns])
     keys_src = other.select(ok) if other_keys is None else other_keys
     keys = keys_src.toDF("__other_key").where(F.col("__other_key").isNotNull()).distinct()
-    unmatched = keyed.join(keys, pk == F.col("__other_key"), "left_anti").select("*", *fill)
+    unmatched = keyed.join(kept(keys), pk == F.col("__other_key"), "left_anti").select("*", *fill)
     return matched.unionByName(unmatched).unionByName(preserved.where(pk.isNull()).select("*", *fill))

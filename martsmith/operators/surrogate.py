@@ -1,14 +1,22 @@
 """Dense surrogate ids (AUTO_INCREMENT) without a single-partition step.
 
-1. With a declared order the rows are range-partitioned and sorted by it (ties by a hash of
-   the whole row, so a hot value of the order columns is spread over ranges too; or by all columns, where
-   the ids have to equal a global ``row_number()``). Without one nothing is sorted.
-2. Every row is stamped with ``monotonically_increasing_id`` = (partition index << 33) + position and the
+Without a declared order (``number_stamped``):
+
+1. Every row is stamped with ``monotonically_increasing_id`` = (partition index << 33) + position and the
    result is written as a staging table under the shared checkpoint folder. The stamp is stored data: a
    lost executor or a second read cannot deal the rows out differently.
-3. Per-partition row counts (one row per partition, read back from the staging table) give
+2. Per-partition row counts (one row per partition, read back from the staging table) give
    each partition's offset through a running sum.
-4. id = start + offset(partition) + position + 1, by a join with the offsets: broadcast while they are few.
+3. id = start + offset(partition) + position + 1, by a join with the offsets: broadcast while they are few.
+
+With an order (``ordered_ids``) over stored rows:
+
+1. The order key is the declared columns, ties by a hash of the whole row (so a hot value of the order columns is spread)
+   or by all columns, where the ids have to equal a global ``row_number()``.
+2. A sample of keys gives the boundaries of equally full buckets. A row's bucket is a function of its key and the
+   boundaries alone, so no second read or retry can deal it out differently, and any sample gives the same ids.
+3. Rows per bucket are counted (a number per bucket reaches the driver) and summed up.
+4. id = start + rows of the buckets before + position inside the bucket: one shuffle by bucket, nothing staged.
 
 The result is unique, dense and above ``start``. The largest id is checked against the id's type
 before anything is written to a target.
@@ -19,10 +27,9 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from martsmith.operators.dedup import arrival_order
 from martsmith.session import scratch_path
 
 _POS_BITS = 33
@@ -83,13 +90,64 @@ def number_stamped(staged: DataFrame, id_col: str = "id", start_after: int = 0,
     return out.select(id_col, *[f"`{c}`" for c in staged.columns if c != STAMP])
 
 
-def in_order(df: DataFrame, order: Sequence[str | Column], total: bool = True, tiebreak_exclude: Sequence[str] = ()) -> DataFrame:
-    """``df`` sorted by ``order`` (ascending, NULLs first), ties by all other columns (``total``) or by a
-    hash of the row."""
+MAX_BUCKETS = 10_000
+SAMPLES = 20  # keys per bucket
+
+
+def order_key(df: DataFrame, order: Sequence[str | Column], total: bool = True, tiebreak_exclude: Sequence[str] = ()) -> Column:
+    """``order`` (ascending, NULLs first), ties by all other columns (``total``) or by a hash of the row, as one value."""
     if total:
-        return df.orderBy(*arrival_order(df, order, exclude=tiebreak_exclude))
-    keys = [F.col(f"`{o}`").asc_nulls_first() if isinstance(o, str) else o for o in order]
-    return df.orderBy(*keys, F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+        named = [o for o in order if isinstance(o, str)]
+        rest = [c for c in df.columns if c not in named and c not in tiebreak_exclude]
+        return F.struct(*[F.col(f"`{o}`") if isinstance(o, str) else o for o in order], *[F.col(f"`{c}`") for c in rest])
+    keys = [F.col(f"`{o}`") if isinstance(o, str) else o for o in order]
+    return F.struct(*keys, F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+
+
+def bucket_of(key: Column, bounds: Column, n_bounds: int) -> Column:
+    """How many of the sorted ``bounds`` aren't above the key, by halving."""
+    start = F.struct(F.lit(0).alias("lo"), F.lit(n_bounds).alias("hi"))
+
+    def halve(s: Column, _: Column) -> Column:
+        middle = F.floor((s["lo"] + s["hi"]) / 2).cast("int")
+        right = (s["lo"] < s["hi"]) & (F.get(bounds, middle) <= key)
+        return F.struct(F.when(right, middle + 1).otherwise(s["lo"]).alias("lo"), F.when(right, s["hi"]).otherwise(middle).alias("hi"))
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(max(1, n_bounds.bit_length()))), start, halve, lambda s: s["lo"])
+
+
+def ordered_ids(stored: DataFrame, order: Sequence[str | Column], id_col: str = "id", start_after: int = 0, id_type: str = "int",
+                total: bool = True, tiebreak_exclude: Sequence[str] = (), buckets: int | None = None) -> DataFrame:
+    """``stored`` (a scan or a staged table: it is read three times) with ``id_col`` = ``start_after`` + 1, 2, ... in order, put first."""
+    spark = stored.sparkSession
+    rows = stored.count()
+    if start_after + rows > ID_MAX.get(id_type, 2**63 - 1):
+        raise ValueError(f"ids up to {start_after + rows} do not fit {id_type}")
+    buckets = buckets or min(MAX_BUCKETS, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    buckets = max(1, min(buckets, rows // SAMPLES))
+    keyed = stored.withColumn("__key", order_key(stored, order, total, tiebreak_exclude))
+    if buckets > 1:
+        fraction = min(1.0, buckets * SAMPLES / rows)
+        # sorted and thinned by Spark: at most one key per bucket is kept as a boundary
+        sample = keyed.sample(fraction, seed=7).select("__key").agg(F.array_sort(F.collect_list("__key")).alias("keys"))
+        step = F.lit(SAMPLES)
+        bounds = sample.select(F.lit(1).alias("__one"), F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.floor(F.size("keys") / step).cast("int"))), lambda k: F.get(
+            "keys", F.least(k * step, F.size("keys")) - 1)).alias("__bounds"))
+        bounds = stage(bounds, "id-bounds")  # one row, the same for every use
+        n_bounds = bounds.select(F.size("__bounds")).first()[0]
+        keyed = keyed.withColumn("__one", F.lit(1)).join(F.broadcast(bounds), "__one").withColumn(
+            "__bucket", bucket_of(F.col("__key"), F.col("__bounds"), n_bounds)).drop("__bounds", "__one")
+    else:
+        keyed = keyed.withColumn("__bucket", F.lit(0))
+    before, offsets = 0, []
+    for bucket, n in sorted(keyed.groupBy("__bucket").agg(F.count(F.lit(1)).alias("n")).collect()):  # at most MAX_BUCKETS rows
+        offsets.append((bucket, before))
+        before += n
+    offsets = F.broadcast(spark.createDataFrame(offsets, "__bucket int, __before long"))
+    inside = F.row_number().over(Window.partitionBy("__bucket").orderBy("__key"))
+    numbered = keyed.withColumn("__inside", inside).join(offsets, "__bucket")
+    new_id = (F.lit(int(start_after)) + F.col("__before") + F.col("__inside")).cast(id_type)
+    return numbered.select(new_id.alias(id_col), *[f"`{c}`" for c in stored.columns])
 
 
 def assign_surrogate_ids(
@@ -103,10 +161,10 @@ def assign_surrogate_ids(
 ) -> DataFrame:
     """Add ``id_col`` = ``start_after`` + 1, 2, ... in the order given, or in any order if none is.
 
-    ``df`` should be a scan or a staged table if there is an order: a global sort evaluates its
-    input twice (once to sample range boundaries)."""
-    sorted_rows = in_order(df, order, total, tiebreak_exclude) if order else df
-    return number_stamped(stage(stamped(sorted_rows), "surrogate"), id_col, start_after, id_type)
+    With an order ``df`` must be a scan or a staged table (see ``ordered_ids``)."""
+    if order:
+        return ordered_ids(df, order, id_col, start_after, id_type, total, tiebreak_exclude)
+    return number_stamped(stage(stamped(df), "surrogate"), id_col, start_after, id_type)
 
 
 def max_id(existing: DataFrame | None, id_col: str = "id") -> int:

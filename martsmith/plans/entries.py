@@ -26,7 +26,7 @@ from martsmith.functions.scalar import (
     nan_to_null,
 )
 from martsmith.operators.conform import conform, convert
-from martsmith.operators.dedup import distinct_rows, first_wins
+from martsmith.operators.dedup import distinct_rows, distinct_stored_rows, first_wins
 from martsmith.operators.joins import checked_broadcast, skew_safe_left_join, typed_key
 from martsmith.operators.loadplan import (
     guarded_refresh_content,
@@ -36,7 +36,7 @@ from martsmith.operators.loadplan import (
 from martsmith.operators.surrogate import assign_surrogate_ids, stage
 from martsmith.plans.jobs import KYC_JSON_PATHS, MARTS
 from martsmith.plans.runner import load_mart, mart_rows
-from martsmith.schemas import REFERRALS, spark_type
+from martsmith.schemas import REFERRALS, TargetSpec, spark_type
 from martsmith.sources.standins import standin_registry
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -236,9 +236,8 @@ def append_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SNK-4 + SNK-7: the keyless users mart appended twice; ids continue after the first load."""
     rows = stage(mart_rows(_src(spark, sf_dir), "users"), "users-snapshot")
     first = assign_surrogate_ids(rows, ["user_id"], "id", 0)
-    n = rows.count()
-    second = first.withColumn("id", (c("id") + F.lit(n)).cast(first.schema["id"].dataType))  # the same order again
-    return first.withColumn("load_no", F.lit(1)).unionByName(second.withColumn("load_no", F.lit(2)))
+    twice = first.withColumn("load_no", F.explode(F.array(F.lit(1), F.lit(2))))  # the second load has the same order again
+    return twice.withColumn("id", (c("id") + (c("load_no") - 1) * F.lit(rows.count())).cast(first.schema["id"].dataType))
 
 
 def _referral_rows(src, where=None) -> DataFrame:
@@ -311,10 +310,11 @@ def typed_key_decimal_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JN-T: integer key = text such as ``'12.0'`` and ``'120e-1'``; a fraction or other text matches nothing."""
     o = spark.read.parquet(f"{sf_dir}/orders.parquet")
     number = c("o_custkey").cast("string")
-    case = c("o_orderkey") % 5
+    case = c("o_orderkey") % 8
     text = o.select("o_orderkey", F.when(case == 0, F.concat(number, F.lit(".0"))).when(case == 1, F.concat(number, F.lit("0e-1")))
                     .when(case == 2, F.concat(number, F.lit(".5"))).when(case == 3, F.concat(number, F.lit("abc")))
-                    .otherwise(number).alias("key_text"))
+                    .when(case == 4, F.concat(number, F.lit(".00000000001"))).when(case == 5, F.concat(number, F.lit(".000000000000")))
+                    .when(case == 6, F.concat(F.lit("0.0000000000"), number)).otherwise(number).alias("key_text"))
     keyed = text.withColumn("o_key", typed_key(c("key_text")))
     cust = spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey")
     return skew_safe_left_join(cust, keyed, "c_custkey", "o_key", "split").select("c_custkey", "o_orderkey", "key_text")
@@ -472,6 +472,45 @@ def surrogate_no_order(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.countDistinct("row_id").alias("n_ids"), F.countDistinct("campaign_id").alias("n_campaigns"))
 
 
+def json_deep_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FN-2..4: paths of four steps and more through keys and indices, in both modes; every fifth document is broken off, and a
+    JSON null stands for every third priority."""
+    o = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    entry = F.struct(F.struct(c("o_orderkey").alias("d"), F.when(c("o_orderkey") % 3 != 0, c("o_orderpriority")).alias("e")).alias("c"))
+    doc = F.to_json(F.struct(F.struct(F.array(entry, F.struct(F.struct(c("o_custkey").alias("d"), c("o_orderstatus").alias("e")).alias("c"))).alias("b")).alias("a"),
+                             c("o_orderstatus").alias("s")), {"ignoreNullFields": "false"})
+    docs = o.select("o_orderkey", F.when(c("o_orderkey") % 5 == 0, F.left(doc, F.length(doc) - 1)).otherwise(doc).alias("doc"))
+    paths = {"first_d": "$.a.b[0].c.d", "first_e": "$.a.b[0].c.e", "second_d": "$.a.b[1].c.d", "second_e": "$.a.b[1].c.e", "third": "$.a.b[2].c.d",
+             "status": "$.s", "nowhere": "$.a.x.c"}
+    both = json_fields(docs, "doc", paths, keep_doc=True)
+    return json_fields(both, "doc", {"first_e_literal": paths["first_e"], "nowhere_literal": paths["nowhere"], "second_e_literal": paths["second_e"]}, json_null="literal")
+
+
+def distinct_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DST-2 in two levels: line items of which some come twice and some three times."""
+    li = _lineitem(spark, sf_dir)
+    return distinct_stored_rows(li.unionAll(li.where("l_orderkey % 50 = 0")).unionAll(li.where("l_orderkey % 100 = 0")))
+
+
+_PROBE = TargetSpec("probe", (("o_orderkey", "bigint"), ("title", "varchar(5)"), ("amount", "decimal(5,2)"), ("day", "date"), ("qty", "int")),
+                    not_null=("qty",), key=("o_orderkey",))
+
+
+def load_rejected_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MET-1: the cells that a load changed, by column and rule."""
+    from martsmith.plans.runner import load_frame
+    from martsmith.session import scratch_path
+    from martsmith.sinks import ParquetTarget
+
+    run = scratch_path(spark, f"rejected-{uuid.uuid4().hex[:12]}")
+    raw = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
+        "o_orderkey", c("o_orderpriority").alias("title"), c("o_totalprice").cast("decimal(12,2)").alias("amount"),
+        F.when(c("o_orderstatus") == "F", "2024-13-01").otherwise("2024-12-01").alias("day"),
+        F.when(c("o_orderkey") % 3 != 0, (c("o_orderkey") % 10).cast("int")).alias("qty"))
+    load_frame(spark, raw, _PROBE, ParquetTarget(_PROBE, f"{run}/target"), rejects=f"{run}/rejects")
+    return spark.read.parquet(f"{run}/rejects")
+
+
 QUERIES: dict[str, Query] = {
     "referrals_mart": _mart("referrals"),
     "transactions_mart": _mart("campaign_transactions"),
@@ -521,4 +560,7 @@ QUERIES: dict[str, Query] = {
     "nullable_key_exactly_once": nullable_key_exactly_once,
     "refresh_versioned": refresh_versioned,
     "incremental_log": incremental_log,
+    "json_deep_paths": json_deep_paths,
+    "distinct_fingerprint": distinct_fingerprint,
+    "load_rejected_cells": load_rejected_cells,
 }

@@ -381,11 +381,12 @@ LOAD_REPORT_SQL = (
 )
 
 TYPED_KEY_DECIMAL_SQL = (
-    "WITH t AS (SELECT o_orderkey, o_custkey, CASE o_orderkey % 5 WHEN 0 THEN o_custkey || '.0' "
+    "WITH t AS (SELECT o_orderkey, o_custkey, CASE o_orderkey % 8 WHEN 0 THEN o_custkey || '.0' "
     "WHEN 1 THEN o_custkey || '0e-1' WHEN 2 THEN o_custkey || '.5' WHEN 3 THEN o_custkey || 'abc' "
+    "WHEN 4 THEN o_custkey || '.00000000001' WHEN 5 THEN o_custkey || '.000000000000' WHEN 6 THEN '0.0000000000' || o_custkey "
     "ELSE CAST(o_custkey AS VARCHAR) END AS key_text FROM orders) "
     "SELECT c_custkey, o_orderkey, key_text FROM customer LEFT JOIN t "
-    "ON c_custkey = o_custkey AND o_orderkey % 5 IN (0, 1, 4)"
+    "ON c_custkey = o_custkey AND (o_orderkey % 8 IN (0, 1, 5, 7) OR o_orderkey % 8 = 6 AND o_custkey = 0)"
 )
 
 # the text of each case, and what it must become
@@ -474,4 +475,17 @@ ORACLES: dict[str, str] = {
     "refresh_versioned": f"WITH m AS ({REFERRAL_LOG_SQL}) SELECT *, 'before' AS reader FROM m UNION ALL SELECT *, 'between' FROM m "
                          "UNION ALL SELECT *, 'after' FROM m WHERE status = 'F'",
     "incremental_log": REFERRAL_LOG_SQL,
+    # what went into the documents, without a document
+    "json_deep_paths": "SELECT o_orderkey, CASE WHEN ok THEN CAST(o_orderkey AS VARCHAR) END AS first_d, CASE WHEN ok AND said THEN o_orderpriority END AS first_e, "
+                       "CASE WHEN ok THEN CAST(o_custkey AS VARCHAR) END AS second_d, CASE WHEN ok THEN o_orderstatus END AS second_e, NULL AS third, "
+                       "CASE WHEN ok THEN o_orderstatus END AS status, NULL AS nowhere, "
+                       "CASE WHEN ok AND said THEN o_orderpriority WHEN ok THEN 'null' END AS first_e_literal, NULL AS nowhere_literal, "
+                       "CASE WHEN ok THEN o_orderstatus END AS second_e_literal "
+                       "FROM (SELECT *, o_orderkey % 5 <> 0 AS ok, o_orderkey % 3 <> 0 AS said FROM orders)",
+    "distinct_fingerprint": "SELECT DISTINCT * FROM lineitem",
+    "load_rejected_cells": "SELECT o_orderkey, 'title' AS \"column\", 'converted' AS rule, o_orderpriority AS value FROM orders WHERE length(o_orderpriority) > 5 "
+                           "UNION ALL SELECT o_orderkey, 'amount', 'converted', CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS VARCHAR) FROM orders "
+                           "WHERE CAST(o_totalprice AS DECIMAL(12,2)) > 999.99 "
+                           "UNION ALL SELECT o_orderkey, 'day', 'converted', '2024-13-01' FROM orders WHERE o_orderstatus = 'F' "
+                           "UNION ALL SELECT o_orderkey, 'qty', 'defaulted', NULL FROM orders WHERE o_orderkey % 3 = 0",
 }

@@ -16,15 +16,15 @@ from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from martsmith.operators.conform import COERCED_COL, conform
+from martsmith.operators.conform import COERCED_COL, REJECTED_COL, conform, rejected_cells
 from martsmith.operators.dedup import first_wins
 from martsmith.operators.loadplan import anti_existing
 from martsmith.operators.surrogate import (
     STAMP,
     drop_stage,
-    in_order,
     max_id,
     number_stamped,
+    ordered_ids,
     read_stage,
     stamped,
     write_stage,
@@ -81,6 +81,7 @@ def load_mart(
     target,
     on_bad_cast: str = "null",
     run_id: str | None = None,
+    rejects: str | None = None,
     **query_options,
 ) -> LoadReport:
     """Load one mart into ``target`` (``ParquetTarget``/``VersionedTarget``/``JdbcTarget``) by its spec's mode.
@@ -92,11 +93,13 @@ def load_mart(
       key); an empty batch leaves the old content in place.
 
     With a ``run_id`` (of a target that keeps a ledger) the load counts once: a run that the
-    target already holds returns its report, marked as replayed, and touches nothing.
+    target already holds returns its report, marked as replayed, and touches nothing. With ``rejects``, a
+    folder, the cells that the conversion to the target's types changed are added there (key, column, rule, value), from the
+    same evaluation of the query.
     """
     mart = MARTS[mart] if isinstance(mart, str) else mart
     return load_frame(spark, mart.query(src, **query_options), mart.target, target, on_bad_cast,
-                      name=mart.name, run_id=run_id)
+                      name=mart.name, run_id=run_id, rejects=rejects)
 
 
 def _observed(observation: Observation) -> dict:
@@ -115,6 +118,7 @@ def load_frame(
     on_bad_cast: str = "null",
     name: str | None = None,
     run_id: str | None = None,
+    rejects: str | None = None,
 ) -> LoadReport:
     """Load the query-level frame ``query`` into ``target`` following ``spec`` (also the
     body of each streaming micro-batch)."""
@@ -128,7 +132,7 @@ def load_frame(
 
     q, arrival = with_arrival(query, spec)
     obs_read = Observation(f"{name}_read")
-    conformed = conform(q, spec, on_bad_cast=on_bad_cast, keep=tuple(arrival), count_coerced=True)
+    conformed = conform(q, spec, on_bad_cast=on_bad_cast, keep=tuple(arrival), count_coerced=True, tell=rejects is not None)
     conformed = conformed.observe(
         obs_read, F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(COERCED_COL), F.lit(0)).alias("coerced")
     ).drop(COERCED_COL)
@@ -144,6 +148,11 @@ def load_frame(
         return read_stage(spark, temporary[-1])
 
     rows = conformed
+    if rejects is not None:  # stored once: the load reads the rows of it, the side table the cells
+        rows = staged(rows, "conformed")
+        named = spec.key or [n for n, _ in spec.columns if n != spec.surrogate][:1]
+        rejected_cells(rows, named).write.mode("append").parquet(rejects)
+        rows = rows.drop(REJECTED_COL)
     if spec.key:
         rows = first_wins(rows, spec.key, arrival, spec.key_collation)
         obs_batch = Observation(f"{name}_batch")
@@ -165,7 +174,7 @@ def load_frame(
         # One evaluation of the whole plan: the new rows are staged in the checkpoint
         # folder (the observations fire exactly once), stamped with their place; the
         # empty guard, the ids and the target write read the staged table. Only a
-        # declared order costs a sort, and a second staged table.
+        # declared order costs a shuffle and a sort.
         rows = staged(stamped(rows), "rows")
         if spec.mode == "full_refresh" and rows.isEmpty():
             report.skipped_empty = True
@@ -175,8 +184,9 @@ def load_frame(
                 start = 0 if spec.mode == "full_refresh" else known(spark) if known else max_id(existing, spec.surrogate)
                 id_type = spec.field(spec.surrogate).dataType.simpleString()
                 if arrival:
-                    rows = staged(stamped(in_order(rows.drop(STAMP), arrival, total=False)), "sorted")
-                rows = number_stamped(rows, spec.surrogate, start, id_type)
+                    rows = ordered_ids(rows.drop(STAMP), arrival, spec.surrogate, start, id_type, total=False)
+                else:
+                    rows = number_stamped(rows, spec.surrogate, start, id_type)
             rows = rows.drop(*arrival, STAMP)
             if spec.mode == "full_refresh":
                 ticket = target.overwrite(rows)

@@ -298,3 +298,53 @@ def test_collation_trailing_blanks(spark, collation, expected):
     """Server collations ignore trailing blanks in comparisons: the ``_RTRIM`` collations."""
     df = spark.createDataFrame([("Bank",), ("bank ",), ("BANK",)], "v string")
     assert distinct_rows(df, collation).count() == expected
+
+
+def test_json_paths_of_any_depth(spark):
+    from martsmith.functions.scalar import json_fields, path_steps, path_tree
+
+    assert path_steps("$.a.b[0].c") == ["a", "b", 0, "c"] and path_steps("$[2].x") == [2, "x"]
+    for bad in ("a.b", "$", "$.a-b", "$.a[x]", "$.a[*]"):
+        with pytest.raises(ValueError):
+            path_steps(bad)
+    assert path_tree({"p": "$.a.b", "q": "$.a.c", "r": "$.a"}) == {"a": {"b": {None: ["p"]}, "c": {None: ["q"]}, None: ["r"]}}
+    docs = spark.createDataFrame([('{"a":{"b":[{"c":"x"},{"c":null}],"n":1.50},"t":"q"}',), ('[[1,{"k":"deep"}]]',), ("{broken",), (None,), ("{}",)], "doc string")
+    paths = {"x": "$.a.b[0].c", "null": "$.a.b[1].c", "list": "$.a.b", "n": "$.a.n", "t": "$.t", "deep": "$[0][1].k"}
+    got = [tuple(r) for r in json_fields(docs, "doc", paths).collect()]
+    assert got[0] == ("x", None, '[{"c":"x"},{"c":null}]', "1.5", "q", None) or got[0] == ("x", None, '[{"c":"x"},{"c":null}]', "1.50", "q", None)
+    assert got[1] == (None, None, None, None, None, "deep") and got[2:] == [(None,) * 6] * 3
+    literal = json_fields(docs, "doc", paths, json_null="literal")
+    assert [tuple(r) for r in literal.collect()] == [(*got[0][:1], "null", *got[0][2:]), *got[1:]]
+    assert literal._jdf.queryExecution().optimizedPlan().toString().count("parse_json") <= 1
+
+
+def test_distinct_by_fingerprint(spark):
+    from martsmith.operators.dedup import distinct_stored_rows
+
+    rows = [(k % 40 if k % 3 else None, f"v{k % 5}" if k % 4 else None, float(k % 2)) for k in range(500)] + [(1000 + k, "single", 0.0) for k in range(300)]
+    df = spark.createDataFrame(rows, "k int, v string, d double")
+    for bound in (None, 0, 16):  # in two levels, and beyond the bound in one
+        got = sorted(map(str, distinct_stored_rows(df, bound).collect()))
+        assert got == sorted(map(str, df.distinct().collect()))
+    assert distinct_stored_rows(df.limit(0)).count() == 0
+
+
+def test_rows_that_share_a_fingerprint_both_stay(spark, monkeypatch):
+    from martsmith.operators import dedup
+
+    monkeypatch.setattr(dedup.F, "xxhash64", lambda *cols: F.lit(7).cast("long"))  # every row collides
+    df = spark.createDataFrame([(1, "a"), (1, "a"), (2, "a"), (None, None), (None, None)], "k int, v string")
+    assert dedup.distinct_stored_rows(df).count() == 3
+
+
+def test_rejected_cells(spark, tmp_path):
+    from martsmith.plans.runner import load_frame
+    from martsmith.schemas import TargetSpec
+    from martsmith.sinks import ParquetTarget
+
+    spec = TargetSpec("r", (("k", "int"), ("v", "varchar(3)"), ("n", "tinyint")), not_null=("n",), key=("k",))
+    raw = spark.createDataFrame([(1, "abcd", "12"), (2, "ok", "999"), (3, None, "x"), (4, "ok", None)], "k int, v string, n string")
+    report = load_frame(spark, raw, spec, ParquetTarget(spec, str(tmp_path / "t")), rejects=str(tmp_path / "cells"))
+    got = sorted(tuple(r) for r in spark.read.parquet(str(tmp_path / "cells")).collect())
+    assert got == [(1, "v", "converted", "abcd"), (2, "n", "converted", "999"), (3, "n", "defaulted", "x"), (4, "n", "defaulted", None)]
+    assert report.coerced_cells == len(got) and report.written == 4

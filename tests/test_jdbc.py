@@ -67,3 +67,46 @@ def test_bank_mart_over_jdbc_schemas(spark):
                         partitioning={"accounts.users": ("id", 0, 200, 3)})
     assert reg["accounts.users"].rdd.getNumPartitions() == 3
     assert rows(mart_rows(reg, "bank")) == rows(mart_rows(src, "bank"))
+
+
+def test_equal_depth_slices_of_gapped_ids(spark):
+    """Ids in three clusters far apart: even slices would leave most tasks empty and fill one."""
+    url = _url()
+    ids = [*range(1000), *range(10**9, 10**9 + 3000), *range(10**12, 10**12 + 50)]
+    spark.createDataFrame([(i, i % 7) for i in ids], "ID long, V int").write.format("jdbc").options(url=url, dbtable="SRC", **DRIVER).save()
+    even = JdbcTable(url, "SRC", DRIVER, "ID", num_partitions=8).read(spark)
+    deep = JdbcTable(url, "SRC", DRIVER, "id", num_partitions=8, slices="depth").read(spark)
+
+    def sizes(df):
+        return df.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
+
+    assert sorted(r.ID for r in deep.collect()) == sorted(ids)
+    assert deep.rdd.getNumPartitions() == 8 and max(sizes(deep)) < 2 * len(ids) / 8 < max(sizes(even))
+
+
+def test_equal_depth_boundaries():
+    import random
+
+    from martsmith.sources.registry import equal_depth, hash_predicates, range_predicates
+
+    def counter(values):
+        def count(low, width, cells):
+            out = {}
+            for v in values:
+                if low <= v < low + width * cells:
+                    out[(v - low) // width] = out.get((v - low) // width, 0) + 1
+            return out
+        return count
+
+    r = random.Random(1)
+    for values in ([int(r.lognormvariate(10, 3)) for _ in range(4000)], list(range(50)), [7], [7] * 30 + [8], [-5, 0, 5]):
+        bounds = equal_depth(min(values), max(values), 6, counter(values))
+        edges = [min(values), *bounds, max(values) + 1]
+        depth = [sum(a <= v < b for v in values) for a, b in zip(edges, edges[1:])]
+        hot = max(values.count(v) for v in set(values))
+        assert sum(depth) == len(values) and bounds == sorted(set(bounds)) and len(bounds) <= 5
+        assert max(depth) <= max(2 * len(values) / 6, hot + len(values) / 6, 1)
+    assert range_predicates("c", []) == ["1 = 1"]
+    assert range_predicates("c", [3, 9]) == ["c < 3 OR c IS NULL", "c >= 3 AND c < 9", "c >= 9"]
+    assert hash_predicates(["`a`"], 2, "mysql") == [f"MOD(CRC32(CONCAT_WS('|', COALESCE(CAST(`a` AS CHAR), ''))), 2) = {k}" for k in (0, 1)]
+    assert "hashtext" in hash_predicates(["a", "b"], 2, "postgresql")[0]
