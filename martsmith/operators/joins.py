@@ -52,34 +52,32 @@ def typed_key(key: Column, as_type: str = "bigint") -> Column:
 
 def skew_safe_left_join(preserved: DataFrame, other: DataFrame, preserved_key: str, other_key: str,
                         strategy: str = "auto", max_broadcast_bytes: int | None = None,
-                        other_keys: DataFrame | None = None) -> DataFrame:
+                        other_keys: DataFrame | None = None, preserved_keys: DataFrame | None = None) -> DataFrame:
     """``preserved`` LEFT JOIN ``other`` ON preserved_key = other_key, planned so that no
     key - and not NULL either - can put a third of the rows into one task.
 
     ``strategy``:
 
     * ``"broadcast"``: broadcast hash join of ``other``, no shuffle at all;
-    * ``"split"``: three branches,
-      - complete keys INNER JOIN ``other``: AQE may split a hot key on *both*
-        sides (a left outer join only allows splitting the preserved side, so a
-        key with a huge fan-out on ``other`` would stay in one task);
-      - complete keys LEFT ANTI JOIN the *distinct* keys of ``other`` (a partial
-        aggregate: a hot key is one row), extended with NULLs;
-      - NULL keys, which can never match, extended with NULLs without entering
-        any exchange;
+    * ``"split"``: one INNER JOIN that loses no row, as AQE may split a hot key of an inner join on *both*
+      sides (a left outer join only allows splitting the preserved side, so a
+      key with a huge fan-out on ``other`` would stay in one task):
+      - the *distinct* keys of ``preserved`` that ``other`` lacks (partial aggregates: a hot key is one row, and
+        only key columns are read) are added to ``other``, as rows of NULLs;
+      - rows with a NULL key, which can never match, are extended with NULLs beside the join and enter no exchange;
     * ``"auto"``: broadcast if the checked estimate of ``other`` is within the bound, else split.
 
     With an explicit ``"split"`` the joins are sort-merge joins whatever the sizes (the plan of large tables, on any table);
     under ``"auto"`` AQE may still broadcast a side that turns out small.
 
     AQE gives a split up if something above relies on the join's partitioning, as a later
-    DISTINCT or window on the same key would. The inner branch therefore returns its
+    DISTINCT or window on the same key would. The join therefore returns its
     key as the greater of the two equal keys: a value, not the partitioning
     column, so what follows deals the rows out anew and hot keys stay split.
 
     Column names of the two sides must be distinct; keys are column names.
-    ``other_keys`` (one column) may give the key set of ``other`` from a cheaper
-    source when ``other`` is itself a join that preserves its key side."""
+    ``other_keys`` and ``preserved_keys`` (one column each) may give a side's key set from a cheaper
+    source when that side is itself a join that preserves its key side."""
     if strategy not in ("auto", "broadcast", "split"):
         raise ValueError("strategy must be 'auto', 'broadcast' or 'split'")
     pk = F.col(f"`{preserved_key}`")
@@ -90,12 +88,16 @@ def skew_safe_left_join(preserved: DataFrame, other: DataFrame, preserved_key: s
         strategy = "broadcast" if fits else "split"
     if strategy == "broadcast":
         return preserved.join(F.broadcast(other), pk == ok, "left")
+    def distinct_keys(given: DataFrame | None, side: DataFrame, key: Column, name: str) -> DataFrame:
+        keys = side.select(key) if given is None else given
+        return keys.toDF(name).where(F.col(name).isNotNull()).distinct()
+
     fill = [F.lit(None).cast(f.dataType).alias(f.name) for f in other.schema.fields]
-    keyed = preserved.where(pk.isNotNull())
-    key = F.greatest(pk, ok).cast(preserved.schema[preserved_key].dataType).alias(preserved_key)
-    matched = keyed.join(kept(other), pk == ok, "inner").select(
+    lacking = distinct_keys(preserved_keys, preserved, pk, "__joined").join(
+        kept(distinct_keys(other_keys, other, ok, "__other_key")), F.col("__joined") == F.col("__other_key"), "left_anti")
+    whole = other.where(ok.isNotNull()).select(*[F.col(f"`{n}`") for n in other.columns], ok.alias("__joined")).unionByName(
+        lacking.select(*fill, "__joined"))
+    key = F.greatest(pk, F.col("__joined")).cast(preserved.schema[preserved_key].dataType).alias(preserved_key)
+    joined = preserved.where(pk.isNotNull()).join(kept(whole), pk == F.col("__joined"), "inner").select(
         *[key if n == preserved_key else F.col(f"`{n}`") for n in preserved.columns], *[F.col(f"`{n}`") for n in other.columns])
-    keys_src = other.select(ok) if other_keys is None else other_keys
-    keys = keys_src.toDF("__other_key").where(F.col("__other_key").isNotNull()).distinct()
-    unmatched = keyed.join(kept(keys), pk == F.col("__other_key"), "left_anti").select("*", *fill)
-    return matched.unionByName(unmatched).unionByName(preserved.where(pk.isNull()).select("*", *fill))
+    return joined.unionByName(preserved.where(pk.isNull()).select("*", *fill))

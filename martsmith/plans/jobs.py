@@ -189,7 +189,7 @@ def users_query(src: SourceRegistry, json_null: str = "sql", dead_joins: bool =
         c("investor_category_id").alias("kyc_investor_category_id"),
         c("annual_salary"), c("net_worth"), c("status").alias("kyc_status"),
     )
-    kyc = skew_safe_left_join(k, ke, "k_id", "kyc_info_id", strategy).drop("k_id")
+    kyc = skew_safe_left_join(k, ke, "k_id", "kyc_info_id", strategy, preserved_keys=src["accounts.kyc_infos"].select("id")).drop("k_id")
 
     # both per-user fan-outs go through the skew-safe form: KYC straight off the users
     # scan, then the type bridge off that result (dealt out anew by u_id once, the
@@ -199,7 +199,7 @@ def users_query(src: SourceRegistry, json_null: str = "sql", dead_joins: bool =
                                  other_keys=src["accounts.kyc_infos"].select(typed_key(c("namescan_id"))))
     j = (
         skew_safe_left_join(by_kyc, bt, "u_id", "bt_user_id", strategy,
-                            other_keys=src["accounts.user_types"].select("user_id"))
+                            other_keys=src["accounts.user_types"].select("user_id"), preserved_keys=u.select("id"))
         .join(cntrs, c("u_country_id") == c("cntrs.id"), "left")
         .join(a, c("u_id") == c("a.id"), "left")
         .join(ic, c("u_investor_category_id") == c("ic.id"), "left")
