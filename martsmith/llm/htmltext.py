@@ -2,10 +2,12 @@
 
 A tolerant tokenizer feeds a tree builder that supplies implied tags (a block closes an open paragraph, an
 item, a row or a cell its predecessor, a cell outside a row opens one). The tree is walked with the
-rules of what a browser shows: no scripts, styles, templates, head, hidden or undisplayed
-elements, closed details. Text of a block is one paragraph; blocks are set apart by a blank line or a line
-break according to their kind, list items get markers and indents, the cells of a table are padded to
-columns, and preformatted text keeps its white space.
+rules of what a browser shows: no scripts, styles, templates, head, undisplayed elements, closed details, and no text whose
+computed visibility is hidden (an element inside may be visible again). Style attributes and the page's style elements
+count: rules of one compound selector (element, classes, id; for all media or the screen), by specificity, importance and
+order, for display, visibility and white-space. Text of a block is one paragraph; blocks are set apart by a blank line or a line
+break according to their kind, list items get their numbers (start, value, reversed) or markers and indents, the cells of a
+table are padded to the columns that they have after the spans of rows and columns, and preformatted text keeps its white space.
 
 Runs over Arrow batches, one page at a time, without recursion, in time linear in the page (lists nested d deep
 indent their lines d times). Null html gives null text, empty html empty text. One row per input row;
@@ -53,15 +55,72 @@ VALUE = r"""[ \t\n\r\f]*+=[ \t\n\r\f]*+("[^"]*+"|'[^']*+'|[^ \t\n\r\f>]*+)"""
 NAME = r"[^ \t\n\r\f/>][^ \t\n\r\f/>=]*+"
 TAG = re.compile(rf"""<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[ \t\n\r\f/]++|{NAME}(?:{VALUE.replace("(", "(?:")})?+)*+)>?|<[!?][^>]*>?""", re.S)
 ATTRIBUTE = re.compile(rf"({NAME})(?:{VALUE})?+")
-NOT_SHOWN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))", re.I)
 SPACE = re.compile(r"[ \t\n\r\f]+")
 
 
 class Node:
-    __slots__ = ("tag", "kids", "more")
+    __slots__ = ("tag", "kids", "more", "sheets")
 
     def __init__(self, tag: str, more: dict[str, str] | None = None) -> None:
         self.tag, self.kids, self.more = tag, [], more
+        self.sheets: list[str] = []  # of the root: the texts of the page's style elements
+
+
+PROPERTIES = frozenset(["display", "visibility", "white-space"])
+COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)", re.S)
+RULE = re.compile(r"([^{}]*)\{([^{}]*)\}")
+MEDIA = re.compile(r"@media\s+(?:only\s+)?(?:all|screen)\s*\{((?:[^{}]*\{[^{}]*\})*)\s*\}", re.I)
+AT_RULE = re.compile(r"@[^{};]*(?:;|\{(?:[^{}]*\{[^{}]*\})*[^{}]*\}?)")
+COMPOUND = re.compile(r"([A-Za-z][A-Za-z0-9]*|\*)?((?:[.#][\w-]+)*)")
+Declared = dict[str, tuple[bool, str]]  # property -> (important, value)
+
+
+def declarations(text: str) -> Declared:
+    out: Declared = {}
+    for part in text.split(";"):
+        name, colon, value = part.partition(":")
+        name, value = name.strip().lower(), value.strip().lower()
+        if colon and name in PROPERTIES:
+            important = value.endswith("!important")
+            value = value.removesuffix("!important").strip()
+            if important >= out.get(name, (False, ""))[0]:
+                out[name] = (important, value)
+    return out
+
+
+class Styles:
+    """The rules of a page's style elements, found by id, class or element."""
+
+    def __init__(self, sheets: list[str]) -> None:
+        self.rules: dict[str, list[tuple[tuple[int, int, int], int, str, frozenset[str], Declared]]] = {}
+        order = 0
+        for sheet in sheets:
+            sheet = AT_RULE.sub("", MEDIA.sub(r"\1", COMMENT.sub("", sheet)))
+            for selectors, body in RULE.findall(sheet):
+                if not (declared := declarations(body)):
+                    continue
+                for selector in selectors.split(","):
+                    m = COMPOUND.fullmatch(selector.strip())
+                    if not m or not m[0]:
+                        continue
+                    tag, marks = (m[1] or "*").lower(), re.findall(r"[.#][\w-]+", m[2])
+                    order += 1
+                    ids = sum(x[0] == "#" for x in marks)
+                    rule = ((ids, len(marks) - ids, int(tag != "*")), order, tag, frozenset(marks), declared)
+                    self.rules.setdefault(max(marks, key=lambda x: x[0] == "#") if marks else tag, []).append(rule)
+
+    def of(self, node: Node) -> dict[str, str]:
+        """The element's own values; what it inherits is not here."""
+        more = node.more or {}
+        own = declarations(more["style"]) if "style" in more else {}
+        if self.rules:
+            marks = {"." + c for c in more.get("class", "").split()} | ({"#" + more["id"].strip()} if "id" in more else set())
+            hits = [r for k in (node.tag, "*", *marks) for r in self.rules.get(k, ()) if r[2] in ("*", node.tag) and r[3] <= marks]
+            found: Declared = {}
+            for *_, declared in sorted(hits, key=lambda r: r[:2]):
+                found.update({n: v for n, v in declared.items() if v[0] >= found.get(n, (False, ""))[0]})
+            own = {**found, **{n: v for n, v in own.items() if v[0] >= found.get(n, (False, ""))[0]}}
+        return {n: v for n, (_, v) in own.items()}
 
 
 def _attributes(text: str) -> dict[str, str] | None:
@@ -141,6 +200,8 @@ def build(html: str) -> Node:
             end = re.compile(f"</{tag}(?![^\\s/>])", re.I).search(html, pos)
             raw = html[pos:end.start()] if end else html[pos:]
             node.kids.append(unescape(raw) if tag in ("textarea", "title") else raw)
+            if tag == "style" and (node.more or {}).get("media", "all").strip().lower() in ("", "all", "screen"):
+                root.sheets.append(raw)
             pos = end.start() if end else size
             push(node)
         elif tag not in VOID:  # a slash at its end does not close an HTML element
@@ -151,13 +212,13 @@ def build(html: str) -> Node:
 class Flow:
     """Text in the making: finished lines, and the line that grows."""
 
-    __slots__ = ("lines", "parts", "gap", "pre", "number")
+    __slots__ = ("lines", "parts", "gap", "pre", "number", "step")
 
-    def __init__(self) -> None:
+    def __init__(self, pre: int = 0) -> None:
         self.lines: list[str] = []
         self.parts: list[str] = []
-        self.gap = self.pre = 0
-        self.number = 0
+        self.gap, self.pre = 0, pre
+        self.number, self.step = 0, 1
 
     def text(self, text: str) -> None:
         if self.pre:
@@ -193,94 +254,116 @@ def _width(lines: list[str]) -> int:
     return max(map(len, lines), default=0)
 
 
-def table_lines(rows: list[list[tuple[int, list[str]]]]) -> list[str]:
-    """Rows of (columns spanned, lines): cells padded to their column, two spaces between columns."""
-    widths: list[int] = []
+def placed(rows: list[list[tuple[int, int, list[str]]]]) -> list[list[tuple[int, int, list[str]]]]:
+    """Rows of (columns spanned, rows spanned, lines) with the cells' first columns instead of their rows: a cell takes the first
+    columns that no cell of a row above reaches into."""
+    out, busy = [], {}  # column -> rows that it is taken for, this one included
     for row in rows:
-        at = 0
-        for span, lines in row:
-            widths.extend([0] * (at + span - len(widths)))
-            if span == 1:
+        at, own = 0, []
+        for columns, down, lines in row:
+            while busy.get(at, 0):
+                at += 1
+            own.append((at, columns, lines))
+            for c in range(at, at + columns):
+                busy[c] = max(busy.get(c, 0), down)
+            at += columns
+        out.append(own)
+        busy = {c: n - 1 for c, n in busy.items() if n > 1}
+    return out
+
+
+def table_lines(rows: list[list[tuple[int, int, list[str]]]]) -> list[str]:
+    """Cells padded to their column, two spaces between columns; a cell over several rows stands in the first."""
+    cells = placed(rows)
+    widths = [0] * max((at + n for row in cells for at, n, _ in row), default=0)
+    for row in cells:
+        for at, n, lines in row:
+            if n == 1:
                 widths[at] = max(widths[at], _width(lines))
-            at += span
-    for row in rows:  # a cell over several columns widens the last of them if need be
-        at = 0
-        for span, lines in row:
-            if span > 1:
-                room = sum(widths[at:at + span]) + 2 * (span - 1)
-                widths[at + span - 1] += max(0, _width(lines) - room)
-            at += span
+    for row in cells:  # a cell over several columns widens the last of them if need be
+        for at, n, lines in row:
+            if n > 1:
+                widths[at + n - 1] += max(0, _width(lines) - sum(widths[at:at + n]) - 2 * (n - 1))
+    starts = [0]
+    for w in widths:
+        starts.append(starts[-1] + w + 2)
     out = []
-    for row in rows:
-        for i in range(max((len(lines) for _, lines in row), default=0)):
-            at, parts = 0, []
-            for span, lines in row:
-                room = sum(widths[at:at + span]) + 2 * (span - 1)
-                parts.append((lines[i] if i < len(lines) else "").ljust(room))
-                at += span
-            out.append("  ".join(parts).rstrip())
+    for row in cells:
+        for i in range(max((len(lines) for *_, lines in row), default=0)):
+            line = ""
+            for at, _, lines in row:
+                if i < len(lines):
+                    line = line.ljust(starts[at]) + lines[i]
+            out.append(line.rstrip())
     return out
 
 
-def _shown(node: Node) -> bool:
-    if node.tag in UNSEEN or node.more and ("hidden" in node.more or NOT_SHOWN.search(node.more.get("style", ""))):
-        return False
-    return not (node.tag == "dialog" and "open" not in (node.more or {}))
+def _number(node: Node, name: str) -> int | None:
+    value = (node.more or {}).get(name, "").strip()
+    return int(value) if value.lstrip("-").isascii() and value.lstrip("-").isdigit() and len(value) < 10 else None
 
 
-def _span(node: Node) -> int:
-    value = (node.more or {}).get("colspan", "1").strip()
-    return min(1000, max(1, int(value))) if value.isascii() and value.isdigit() else 1  # 1000: HTML's own limit
+def _spans(node: Node) -> tuple[int, int]:
+    """Columns and rows of a cell, within HTML's own limits; 0 rows are all that follow."""
+    columns, rows = _number(node, "colspan"), _number(node, "rowspan")
+    return min(1000, columns) if columns and columns > 0 else 1, 65534 if rows == 0 else min(65534, rows) if rows and rows > 0 else 1
 
 
 def render(root: Node) -> str:
+    styles = Styles(root.sheets)
     flows, tables = [Flow()], []
-    todo: list[tuple[Node | str, bool]] = [(root, False)]
+    todo: list[tuple[Node | str, bool, bool, bool]] = [(root, False, True, False)]  # element, leaving it, visible, own white space
     while todo:
-        node, leaving = todo.pop()
+        node, leaving, visible, own_pre = todo.pop()
         flow = flows[-1]
         if isinstance(node, str):
-            flow.text(node)
+            if visible:
+                flow.text(node)
             continue
-        tag = node.tag
+        tag, more = node.tag, node.more or {}
         if not leaving:
-            if not _shown(node):
+            style = styles.of(node)
+            if tag in UNSEEN or style.get("display") == "none" or "hidden" in more and "display" not in style or tag == "dialog" and "open" not in more:
                 continue
+            if "visibility" in style:
+                visible = style["visibility"] not in ("hidden", "collapse") if style["visibility"] != "inherit" else visible
             if tag == "br":
                 flow.parts.append("\n")
                 continue
             if tag == "input":
-                if (node.more or {}).get("type", "text").lower() in ("button", "reset", "submit", "text", "search", "email", "url", "tel", "number"):
-                    flow.text((node.more or {}).get("value", ""))
+                if visible and more.get("type", "text").lower() in ("button", "reset", "submit", "text", "search", "email", "url", "tel", "number"):
+                    flow.text(more.get("value", ""))
                 continue
             kids = node.kids
-            if tag == "details" and "open" not in (node.more or {}):
+            if tag == "details" and "open" not in more:
                 kids = [k for k in kids if isinstance(k, Node) and k.tag == "summary"][:1]
             if tag in BLOCKS:
                 flow.flush(1 if tag in PARAGRAPHS and not (tag in LISTS and len(flows) > 1) else 0)
-            if tag == "pre" or tag == "textarea":
-                flow.pre += 1
-            elif tag in LISTS:
-                start = (node.more or {}).get("start", "1").strip()
-                outer, flow = flow, Flow()
-                flow.number = int(start) - 1 if tag == "ol" and start.lstrip("-").isdecimal() else 0 if tag == "ol" else -(1 << 62)
+            own_pre = tag in ("pre", "textarea") or style.get("white-space", "").startswith(("pre", "break-spaces"))
+            if tag in LISTS:
+                flow = Flow(flow.pre + own_pre)
+                if tag == "ol":
+                    start, items = _number(node, "start"), sum(isinstance(k, Node) and k.tag == "li" for k in kids)
+                    flow.step = -1 if "reversed" in more else 1
+                    flow.number = (start if start is not None else items if "reversed" in more else 1) - flow.step
+                else:
+                    flow.number = -(1 << 62)
                 flows.append(flow)
             elif tag in ("li", "dd", "blockquote", "caption") or tag in CELLS:
-                flows.append(Flow())
+                flows.append(Flow(flow.pre + own_pre))
             elif tag == "table":
                 tables.append([])
-                flows.append(Flow())
-            elif tag == "tr" and tables:
-                tables[-1].append([])
-            elif tag == "option":
-                flow.text(" ")
-            todo.append((node, True))
-            todo.extend((k, False) for k in reversed(kids))
+                flows.append(Flow(flow.pre + own_pre))
+            else:
+                flow.pre += own_pre
+                if tag == "tr" and tables:
+                    tables[-1].append([])
+                elif tag == "option":
+                    flow.text(" ")
+            todo.append((node, True, visible, own_pre))
+            todo.extend((k, False, visible, False) for k in reversed(kids))
             continue
-        if tag == "pre" or tag == "textarea":
-            flow.flush()
-            flow.pre -= 1
-        elif tag in LISTS:
+        if tag in LISTS:
             flow.flush()
             flows.pop()
             flows[-1].block(flow.lines)
@@ -290,9 +373,12 @@ def render(root: Node) -> str:
             outer = flows[-1]
             mark = "  "
             if tag == "li":
-                outer.number += 1
+                value = _number(node, "value")
+                outer.number = value if value is not None and outer.number > -(1 << 61) else outer.number + outer.step
                 mark = f"{outer.number}. " if outer.number > -(1 << 61) and len(flows) > 1 else "- "
             pad = " " * len(mark)
+            if not visible:
+                mark = pad  # what is visible inside keeps its indent
             outer.block([(mark if i == 0 and tag == "li" else pad) + x if x else x for i, x in enumerate(flow.lines)])
         elif tag == "caption":
             flow.flush()
@@ -304,7 +390,7 @@ def render(root: Node) -> str:
             if tables:
                 if not tables[-1]:
                     tables[-1].append([])
-                tables[-1][-1].append((_span(node), flow.lines))
+                tables[-1][-1].append((*_spans(node), flow.lines))
             else:  # a cell outside any table
                 flows[-1].block(flow.lines)
         elif tag == "table":
@@ -313,6 +399,10 @@ def render(root: Node) -> str:
             outer = flows[-1]
             outer.block(flow.lines)  # the caption, and what stands in the table but in no cell
             outer.block(table_lines(tables.pop()))
+        elif own_pre:
+            if tag in BLOCKS or tag == "textarea":
+                flow.flush()
+            flow.pre -= 1
         if tag in BLOCKS:
             flows[-1].flush(1 if tag in PARAGRAPHS and not (tag in LISTS and len(flows) > 1) else 0)
     flows[0].flush()

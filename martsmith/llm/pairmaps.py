@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martsmith.llm.common import staged, table
-from martsmith.llm.subwords import MAX_UNITS, ByteLevel, Interned, Ragged, SpacePiece, unit_ids, units_of
+from martsmith.llm.subwords import ByteLevel, Interned, Ragged, SpacePiece, unit_ids, units_of
 
 VOCABULARY_A, VOCABULARY_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 CHUNK_LINKS, CHUNK_DOCS = 1 << 22, 1 << 16
@@ -42,7 +42,7 @@ BATCH_DOCS = 256
 class Aligner:
     """Ids, groups and links of texts by both vocabularies; ``code`` of a pair is ``a * size_b + b``."""
 
-    def __init__(self, path_a: str, path_b: str, max_units: int = MAX_UNITS // 2) -> None:
+    def __init__(self, path_a: str, path_b: str, max_units: int = 200_000) -> None:
         self.a, self.b, self.max_units = ByteLevel(path_a), SpacePiece(path_b), max_units
         self.size_b = self.b.size
         if self.a.size * self.b.size > 1 << 46:

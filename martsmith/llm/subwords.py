@@ -16,7 +16,7 @@ import numpy as np
 
 CUT = re.compile(r"(?<=\S)(?= )")
 WIDE = re.compile(r"\s ")
-MAX_UNITS = 400_000
+MAX_UNITS = 800_000
 JOINED = 1000  # new units in one text for the tokenizer
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+
 import pytest
 
 from martsmith.llm.htmltext import extract, op7_html_text, visible_text
@@ -92,3 +94,60 @@ def test_stray_quotes_take_linear_time():
     for part in ('<a x="', "<a x='", '<a x=" \'', "<a ='", '<p "a=\'>', "<a b =\n", "<a x" + " " * 50):
         visible_text(part * 20_000)
     visible_text("<a x" + " " * 200_000 + "y" + "/" * 200_000)
+
+
+@pytest.mark.parametrize(("html", "want"), [
+    ("<table><tr><td rowspan=2>a<td>b<tr><td>c<tr><td>d<td>e</table>", "a  b\n   c\nd  e"),
+    ("<table><tr><td>x<td rowspan=0>y<td>z<tr><td>1<td>2</table>", "x  y  z\n1     2"),
+    ("<div style='visibility:hidden'>no <b style='visibility: visible'>yes</b> no</div>", "yes"),
+    ("<style>.x{display:none} #y,p.z { visibility : hidden }</style><p class='a x'>no<p id=y>no<p class=z>no<div class=z>yes</div>", "yes"),
+    ("<style>/* .a */ p{display:none} p.b{display:block}</style><p>no<p class=b>yes", "yes"),
+    ("<style>.n{display:none}</style><p class=n style='display:block'>yes", "yes"),
+    ("<style>.n{display:none!important}</style><p class=n style='display:block'>no", ""),
+    ("<style>@media print{p{display:none}} @media screen{i{display:none}} div p{display:none}</style><p>yes<i>no</i>", "yes"),
+    ("<style media=print>p{display:none}</style><p>yes", "yes"),
+    ("<div style='white-space:pre'>a  b\n  c</div>", "a  b\n  c"), ("<p>a <span style='white-space: pre-wrap'>b  c</span>  d", "a b  c d"),
+    ("<ol reversed><li>a<li>b<li>c</ol>", "3. a\n2. b\n1. c"), ("<ol start=5><li>a<li value=9>b<li>c</ol>", "5. a\n9. b\n10. c"),
+    ("<ol reversed start=9><li>a<li>b</ol>", "9. a\n8. b"), ("<p hidden>no<p>yes", "yes"), ("<style>p{}</style><p>yes", "yes"), ("<style>{x:y}}p{display:none", ""),
+])
+def test_spans_styles_and_numbers(html, want):
+    assert visible_text(html) == want
+
+
+def canvas(rows):
+    """A table drawn cell by cell on a grid of owners, then on a sheet of characters."""
+    owner, size = {}, {}
+    for y, row in enumerate(rows):
+        x = 0
+        for n, (columns, down, text) in enumerate(row):
+            while (y, x) in owner:
+                x += 1
+            for dy in range(down):
+                for dx in range(columns):
+                    owner.setdefault((y + dy, x + dx), (y, n))
+            size[y, n] = (x, columns, text)
+    width = [0] * (1 + max((x + c - 1 for x, c, _ in size.values()), default=0))
+    for x, columns, text in size.values():
+        if columns == 1:
+            width[x] = max(width[x], len(text))
+    for _, (x, columns, text) in sorted(size.items()):
+        if columns > 1:
+            width[x + columns - 1] += max(0, len(text) - sum(width[x:x + columns]) - 2 * (columns - 1))
+    lines = []
+    for y, row in enumerate(rows):
+        sheet = [" "] * (sum(width) + 2 * len(width))
+        for n in range(len(row)):
+            x, _, text = size[y, n]
+            left = sum(width[:x]) + 2 * x
+            sheet[left:left + len(text)] = text
+        if any(t for *_, t in row):
+            lines.append("".join(sheet).rstrip())
+    return lines
+
+
+def test_tables_equal_a_drawing():
+    r = random.Random(8)
+    for _ in range(300):
+        rows = [[(r.choice([1, 1, 1, 2, 3]), r.choice([1, 1, 1, 2, 4]), "x" * r.randint(1, 9)) for _ in range(r.randint(1, 5))] for _ in range(r.randint(1, 6))]
+        html = "<table>" + "".join("<tr>" + "".join(f"<td colspan={c} rowspan={d}>{t}" for c, d, t in row) for row in rows) + "</table>"
+        assert visible_text(html).split("\n") == canvas(rows)
