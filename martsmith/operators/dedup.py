@@ -44,6 +44,16 @@ def distinct_rows(df: DataFrame, collation: str | None = None) -> DataFrame:
     return df.select(*cols).distinct()
 
 
+def distinct_spellings(df: DataFrame, collation: str) -> DataFrame:
+    """``SELECT DISTINCT`` under a collation with a stated choice: of the rows that it calls equal the least by their own
+    bytes stays, spelled as it is (NULLs first), whatever the plan and the number of tasks."""
+    own = [F.col(f"`{c}`") for c in df.columns]
+    under = [collated(c, collation).alias(f"__c{i}") if isinstance(f.dataType, T.StringType) else c.alias(f"__c{i}")
+             for i, (c, f) in enumerate(zip(own, df.schema.fields))]
+    least = df.select(*under, F.struct(*own).alias("__row")).groupBy(*[f"__c{i}" for i in range(len(own))]).agg(F.min("__row").alias("__row"))
+    return least.select(*[F.col("__row")[c].alias(c) for c in df.columns])
+
+
 FINGERPRINT = ("__fp1", "__fp2")
 
 

@@ -26,7 +26,7 @@ from martsmith.functions.scalar import (
     nan_to_null,
 )
 from martsmith.operators.conform import conform, convert
-from martsmith.operators.dedup import distinct_rows, distinct_stored_rows, first_wins
+from martsmith.operators.dedup import distinct_rows, distinct_spellings, distinct_stored_rows, first_wins
 from martsmith.operators.joins import checked_broadcast, skew_safe_left_join, typed_key
 from martsmith.operators.loadplan import (
     guarded_refresh_content,
@@ -492,6 +492,35 @@ def distinct_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return distinct_stored_rows(li.unionAll(li.where("l_orderkey % 50 = 0")).unionAll(li.where("l_orderkey % 100 = 0")))
 
 
+def _mixed_case(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cust = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    segment = F.when(c("c_custkey") % 3 == 0, F.lower("c_mktsegment")).when(c("c_custkey") % 3 == 1, F.initcap("c_mktsegment")).otherwise(c("c_mktsegment"))
+    return cust.select("c_custkey", F.when(c("c_custkey") % 17 != 0, segment).alias("segment"), c("c_nationkey").cast("int").alias("nation"))
+
+
+def distinct_collated_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DST-4: distinct (segment, nation) without regard to case; the least spelling stays."""
+    return distinct_spellings(_mixed_case(spark, sf_dir).select("segment", "nation"), "UTF8_LCASE")
+
+
+_COLLATED = TargetSpec("segments", (("c_custkey", "bigint"), ("segment", "varchar(20)"), ("nation", "int")), key=("segment", "nation"),
+                       order=("c_custkey",), key_collation="UTF8_LCASE")
+
+
+def load_collated_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DST-4 in a unique key: keys that differ in case only are one; customers with even numbers first, then all. A segment
+    that is NULL collides with nothing."""
+    from martsmith.plans.runner import load_frame
+    from martsmith.session import scratch_path
+    from martsmith.sinks import ParquetTarget
+
+    target = ParquetTarget(_COLLATED, scratch_path(spark, f"collated-{uuid.uuid4().hex[:12]}"))
+    rows = _mixed_case(spark, sf_dir)
+    for part in (rows.where("c_custkey % 2 = 0"), rows):
+        load_frame(spark, part, _COLLATED, target)
+    return target.read(spark)
+
+
 _PROBE = TargetSpec("probe", (("o_orderkey", "bigint"), ("title", "varchar(5)"), ("amount", "decimal(5,2)"), ("day", "date"), ("qty", "int")),
                     not_null=("qty",), key=("o_orderkey",))
 
@@ -561,6 +590,8 @@ QUERIES: dict[str, Query] = {
     "refresh_versioned": refresh_versioned,
     "incremental_log": incremental_log,
     "json_deep_paths": json_deep_paths,
+    "distinct_collated_rows": distinct_collated_rows,
+    "load_collated_key": load_collated_key,
     "distinct_fingerprint": distinct_fingerprint,
     "load_rejected_cells": load_rejected_cells,
 }

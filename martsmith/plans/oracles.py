@@ -15,7 +15,6 @@ from __future__ import annotations
 
 from dataclasses import replace
 
-from martsmith.plans.jobs import KYC_JSON_PATHS
 from martsmith.schemas import (
     BANK,
     CAMPAIGN,
@@ -30,6 +29,25 @@ from martsmith.schemas import (
 from martsmith.sources.standins import standin_sql
 
 
+# The KYC documents' paths and the names of what stands there, stated here apart from the queries.
+KYC_JSON_PATHS = {
+    "Malaa_Civil_Number": "$.CivilNumber",
+    "Malaa_Name1": "$.Name_1_En",
+    "Malaa_Name2": "$.Name_2_En",
+    "Malaa_Name3": "$.Name_3_En",
+    "Malaa_LastName": "$.Name_6_En",
+    "Malaa_Gender": "$.Gender_Desc_En",
+    "Malaa_Date_Of_Birth": "$.Birth_DateOfBirth",
+    "Malaa_Birth_Country": "$.Birth_Country_Desc_En",
+    "Malaa_Address": "$.Address_Wilayat_Desc_En",
+    "Malaa_Mobile": "$.Current_MobileNumber",
+    "Malaa_Occupation": "$.Occupation_Desc_En",
+    "Malaa_Passport_Number": "$.PassportList[0].PassportType_PassportNumber",
+    "Malaa_Passport_Issue_Date": "$.PassportList[0].PassportType_DateOfIssue",
+    "Malaa_Passport_Expiry_Date": "$.PassportList[0].PassportType_DateOfExpiry",
+}
+
+
 def q(name: str) -> str:
     return f'"{name}"'
 
@@ -423,6 +441,18 @@ LOAD_COUNTS_SQL = (
     "UNION ALL SELECT 3, raw.n, raw.n - n.n, n.n, 0, false FROM n, raw"
 )
 
+_MIXED_CASE = ("SELECT c_custkey, CASE WHEN c_custkey % 17 <> 0 THEN CASE c_custkey % 3 WHEN 0 THEN lower(c_mktsegment) "
+               "WHEN 1 THEN upper(c_mktsegment[1]) || lower(c_mktsegment[2:]) ELSE c_mktsegment END END AS segment, "
+               "CAST(c_nationkey AS INTEGER) AS nation FROM customer")
+LOAD_COLLATED_KEY_SQL = (
+    f"WITH s AS ({_MIXED_CASE}), even AS (SELECT lower(segment) AS k, nation, min(c_custkey) AS first FROM s WHERE c_custkey % 2 = 0 GROUP BY 1, 2), "
+    "every AS (SELECT lower(segment) AS k, nation, min(c_custkey) AS first FROM s GROUP BY 1, 2), "
+    "kept AS (SELECT coalesce(even.first, every.first) AS c_custkey FROM every LEFT JOIN even USING (k, nation) WHERE k IS NOT NULL) "
+    "SELECT s.* FROM s JOIN kept USING (c_custkey) "
+    # NULL segments come in with each load
+    "UNION ALL SELECT * FROM s WHERE segment IS NULL UNION ALL SELECT * FROM s WHERE segment IS NULL AND c_custkey % 2 = 0"
+)
+
 ORACLES: dict[str, str] = {
     "referrals_mart": REFERRALS_SQL,
     "transactions_mart": TRANSACTIONS_SQL,
@@ -482,6 +512,8 @@ ORACLES: dict[str, str] = {
                        "CASE WHEN ok AND said THEN o_orderpriority WHEN ok THEN 'null' END AS first_e_literal, NULL AS nowhere_literal, "
                        "CASE WHEN ok THEN o_orderstatus END AS second_e_literal "
                        "FROM (SELECT *, o_orderkey % 5 <> 0 AS ok, o_orderkey % 3 <> 0 AS said FROM orders)",
+    "distinct_collated_rows": f"SELECT min(segment) AS segment, nation FROM ({_MIXED_CASE}) GROUP BY lower(segment), nation",
+    "load_collated_key": LOAD_COLLATED_KEY_SQL,
     "distinct_fingerprint": "SELECT DISTINCT * FROM lineitem",
     "load_rejected_cells": "SELECT o_orderkey, 'title' AS \"column\", 'converted' AS rule, o_orderpriority AS value FROM orders WHERE length(o_orderpriority) > 5 "
                            "UNION ALL SELECT o_orderkey, 'amount', 'converted', CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS VARCHAR) FROM orders "

@@ -348,3 +348,17 @@ def test_rejected_cells(spark, tmp_path):
     got = sorted(tuple(r) for r in spark.read.parquet(str(tmp_path / "cells")).collect())
     assert got == [(1, "v", "converted", "abcd"), (2, "n", "converted", "999"), (3, "n", "defaulted", "x"), (4, "n", "defaulted", None)]
     assert report.coerced_cells == len(got) and report.written == 4
+
+
+def test_distinct_spellings(spark):
+    from martsmith.operators.dedup import distinct_spellings
+
+    df = spark.createDataFrame([("ab", 1), ("AB", 1), ("Ab", 2), (None, 1), (None, 1), ("ab", None), ("AB", None)], "v string, k int")
+    got = sorted(map(tuple, distinct_spellings(df, "UTF8_LCASE").collect()), key=str)
+    assert got == sorted([("AB", 1), ("Ab", 2), (None, 1), ("AB", None)], key=str)
+
+
+def test_oracle_paths_are_those_of_the_mart():
+    from martsmith.plans import jobs, oracles
+
+    assert oracles.KYC_JSON_PATHS == jobs.KYC_JSON_PATHS and oracles.KYC_JSON_PATHS is not jobs.KYC_JSON_PATHS
