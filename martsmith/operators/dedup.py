@@ -12,9 +12,10 @@ contributes at most one row per map task to the exchange - a key that holds a
 third of the table does not end up in one reducer.
 
 Keys with a NULL component never collide (NULLs are distinct in a UNIQUE
-index). Such rows are all kept: each gets a salt of its own that counts as part of
-the key (``with_salt``), so that the rows are read once, go through one window and
-one anti join, and are spread over all tasks.
+index). Such rows are all kept. Where the rows are a mere scan they are read beside the window, by a filter that
+reaches the scan, and enter no exchange. Where the rows are computed, that would compute them twice: there each such row
+gets a salt of its own that counts as part of the key (``with_salt``), so that all rows go through one window and
+one anti join, spread over all tasks.
 """
 
 from __future__ import annotations
@@ -94,6 +95,14 @@ def key_columns(df: DataFrame, key: Sequence[str], collation: str | None = None)
 SALT = "__salt"
 
 
+def is_scan(df: DataFrame) -> bool:
+    """Whether ``df`` reads one stored table, with filters and projections at most."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    while plan.nodeName() in ("Project", "Filter"):
+        plan = plan.children().head()
+    return plan.nodeName() == "LogicalRelation"
+
+
 def with_salt(df: DataFrame, key: Sequence[str]) -> DataFrame:
     """``df`` with a salt that makes a key with a NULL part unlike any other: 0 where the key is
     complete, the row's place elsewhere. Without a nullable key column, or with a salt already, ``df`` itself."""
@@ -136,6 +145,12 @@ def first_wins(
     NULLs first); the remaining columns break ties."""
     if not key:
         raise ValueError("first_wins needs a key")
+    if SALT not in df.columns and any(df.schema[k].nullable for k in key) and is_scan(df):
+        complete = " AND ".join(f"`{k}` IS NOT NULL" for k in key)
+        whole = df.where(complete)
+        w = Window.partitionBy(*key_columns(df, key, collation)).orderBy(*arrival_order(df, order, exclude=tiebreak_exclude))
+        first = whole.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") == 1).drop("__rn")
+        return first.unionByName(df.where(f"NOT ({complete})"))
     salted = with_salt(df, key)
     salt = [F.col(SALT)] if SALT in salted.columns else []
     w = Window.partitionBy(*key_columns(df, key, collation), *salt).orderBy(

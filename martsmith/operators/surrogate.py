@@ -133,8 +133,9 @@ def ordered_ids(stored: DataFrame, order: Sequence[str | Column], id_col: str =
         step = F.lit(SAMPLES)
         bounds = sample.select(F.lit(1).alias("__one"), F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.floor(F.size("keys") / step).cast("int"))), lambda k: F.get(
             "keys", F.least(k * step, F.size("keys")) - 1)).alias("__bounds"))
-        bounds = stage(bounds, "id-bounds")  # one row, the same for every use
-        n_bounds = bounds.select(F.size("__bounds")).first()[0]
+        held = bounds.toArrow()  # one row of at most MAX_BUCKETS keys: the same boundaries for every use
+        bounds = spark.createDataFrame(held, bounds.schema)
+        n_bounds = len(held.column("__bounds")[0])
         keyed = keyed.withColumn("__one", F.lit(1)).join(F.broadcast(bounds), "__one").withColumn(
             "__bucket", bucket_of(F.col("__key"), F.col("__bounds"), n_bounds)).drop("__bounds", "__one")
     else:
