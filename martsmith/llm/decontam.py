@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martsmith.llm.common import fingerprint128, lower_az, table, text_split
+from martsmith.llm.common import fingerprint128, fresh, lower_az, table, text_split
 
 SEPARATOR = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -103,15 +103,16 @@ def drop_contaminated(docs: DataFrame, bench: DataFrame, n: int = 10, id_col: st
 def cut_contaminated(docs: DataFrame, bench: DataFrame, n: int = 10, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` with the hit words (each with the separator after it) cut from the text; rows without a
     hit keep their text as it is."""
+    hit_id, hit_key, hit_spans = (fresh(docs.columns, x) for x in ("hit_id", "hit_key", "hit_spans"))
     hit = contamination(docs, bench, n, id_col, text_col, **options).where("n_hit > 0").dropDuplicates(["doc_id", "text_key"]).select(
-        F.col("doc_id").alias("__hit_id"), F.col("text_key").alias("__hit_key"), F.col("spans").alias("__hit_spans"))
+        F.col("doc_id").alias(hit_id), F.col("text_key").alias(hit_key), F.col("spans").alias(hit_spans))
     own = F.array(*fingerprint128(F.coalesce(docs[text_col], F.lit(""))))
-    both = docs.join(hit, docs[id_col].eqNullSafe(hit["__hit_id"]) & (own == hit["__hit_key"]), "left")
+    both = docs.join(hit, docs[id_col].eqNullSafe(hit[hit_id]) & (own == hit[hit_key]), "left")
     text = F.col(text_col)
     seps = F.split(text, WORD, -1)  # one more than there are words
     pieces = F.zip_with(text_split(text, SEPARATOR), F.slice(seps, 2, F.size(seps)), lambda w, s: F.concat(w, s))
-    kept = F.filter(pieces, lambda p, i: ~F.exists(F.col("__hit_spans"), lambda r: (r["first"] <= i) & (i < r["last"])))
-    cut = F.when(F.col("__hit_spans").isNull(), text).otherwise(F.concat(F.get(seps, 0), F.array_join(kept, "")))
+    kept = F.filter(pieces, lambda p, i: ~F.exists(F.col(hit_spans), lambda r: (r["first"] <= i) & (i < r["last"])))
+    cut = F.when(F.col(hit_spans).isNull(), text).otherwise(F.concat(F.get(seps, 0), F.array_join(kept, "")))
     return both.select(*[cut.alias(c) if c == text_col else docs[c] for c in docs.columns])
 
 

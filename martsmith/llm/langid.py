@@ -99,7 +99,8 @@ class Words:
 
 
 def _slices(texts: list[str]) -> Iterator[tuple[list[int], str]]:
-    """(indices, joined text) of about SLICE characters; a longer text comes in several, cut at spaces where it has any."""
+    """(indices, joined text) of about SLICE characters; a longer text comes in several, cut at spaces and line breaks alone: a word
+    of more than SLICE characters stays whole."""
     held, size = [], 0
     for i, text in enumerate(texts):
         if size + len(text) > SLICE and held:
@@ -108,7 +109,9 @@ def _slices(texts: list[str]) -> Iterator[tuple[list[int], str]]:
         if len(text) > SLICE:
             start = 0
             while start < len(text):
-                end = len(text) if len(text) - start <= SLICE else max(text.rfind(" ", start, start + SLICE), text.rfind("\n", start, start + SLICE)) + 1 or start + SLICE
+                end = len(text) if len(text) - start <= SLICE else max(text.rfind(" ", start, start + SLICE), text.rfind("\n", start, start + SLICE)) + 1
+                if not end:
+                    end = min([k + 1 for k in (text.find(" ", start + SLICE), text.find("\n", start + SLICE)) if k >= 0], default=len(text))
                 yield [i], text[start:end]
                 start = end
         else:
@@ -237,9 +240,10 @@ def share_known(length: np.ndarray, path: np.ndarray, far: np.ndarray, best: int
 
 
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = 4000) -> Model:
-    """A model of the labelled rows of ``docs``: a sample by id hash of about ``per_language`` documents of each language."""
+    """A model of the labelled rows of ``docs``: a sample by a hash of id and text of about ``per_language`` documents of each language."""
     own = docs.where(F.col(lang_col).isNotNull()).select(
-        F.xxhash64(F.col(id_col)).alias("pick"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
+        # rows of one id, or without one, are told apart by their text
+        F.xxhash64(F.col(id_col), F.col(text_col)).alias("pick"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
     many = own.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
     share = many.select(F.col("lang").alias("of"), F.least(F.lit(1.0), per_language / F.col("n")).alias("share"))
     sample = own.join(F.broadcast(share), F.col("lang") == F.col("of")).where(F.pmod("pick", F.lit(1 << 20)) < F.col("share") * (1 << 20))

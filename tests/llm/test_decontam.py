@@ -71,7 +71,9 @@ def test_documents_go_or_spans_are_cut(case):
     kept = drop_contaminated(docs, bench)
     assert kept.columns == docs.columns
     assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(i) for i, t in raw if not brute(t, items)[1])
-    cut = cut_contaminated(docs, bench)
+    clashing = docs.withColumns({c: F.lit(1) for c in ("hit_id", "hit_key", "hit_spans", "__hit_spans", "spans", "doc")})
+    assert cut_contaminated(clashing, bench).columns == clashing.columns
+    cut = cut_contaminated(clashing, bench).select(*docs.columns)
     assert cut.columns == docs.columns and cut.count() == len(raw)
     for r in cut.collect():
         assert not brute(r.text, items)[1]

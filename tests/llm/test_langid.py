@@ -71,6 +71,25 @@ def test_slices_do_not_change_the_words(monkeypatch):
     assert np.concatenate([p.trigram for p in parts]).tolist() == whole.trigram.tolist()
 
 
+def test_a_word_longer_than_a_slice_stays_whole(monkeypatch):
+    monkeypatch.setattr(langid, "SLICE", 50)
+    for text in ("ab " + "x" * 400 + " cd\nef", "x" * 400, "x" * 400 + "\n" + "y" * 99):
+        parts = [p for _, p in langid._slices([text])]
+        assert "".join(parts) == text and [w for p in parts for w in p.split()] == text.split()
+
+
+def test_rows_without_an_id_are_sampled_too(spark):
+    rows = [(None, "en", f"the cat number {k} sat on a mat") for k in range(3000)] + [(7, "de", f"die Katze {k} und der Hund") for k in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    picked, count = [], langid.count_features
+    try:
+        langid.count_features = lambda sample: picked.append(sample.groupBy("lang").count().collect()) or count(sample)
+        learn(docs, per_language=300)
+    finally:
+        langid.count_features = count
+    assert {r.lang for r in picked[0]} == {"en", "de"} and all(200 < r["count"] < 400 for r in picked[0])
+
+
 def test_edge_cases(spark, edge_docs):
     model = learn(edge_docs)
     got = predict(edge_docs, model).collect()
