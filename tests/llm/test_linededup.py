@@ -21,10 +21,10 @@ def is_boilerplate(k, n, ratio, z):
     return k > 1 and low > ratio
 
 
-def brute(rows, ratio, z):
+def brute(rows, ratio, z, copies_once=False):
     """rows: (host, text) -> list of (text, n_lines, n_dropped)."""
     total, seen = Counter(), defaultdict(int)
-    for host, text in rows:
+    for host, text in set(rows) if copies_once else rows:
         total[host or ""] += 1
         for line in {x.strip(SPACE) for x in (text or "").split("\n")} - {""}:
             seen[host or "", line] += 1

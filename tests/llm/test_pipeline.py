@@ -29,7 +29,7 @@ def test_stages_against_brute_force(spark):
     before, after = seen["language_id"]
     assert {d["doc_id"] for d in after} == {d["doc_id"] for d in before if any(c.isalpha() for c in d["text"] or "")}
     before, after = seen["line_dedup"]
-    want = cut_lines([(d["source"], d["text"]) for d in before], 0.1, 10, True)
+    want = cut_lines([(d["source"], d["text"]) for d in before], 0.1, 1.96, copies_once=True)
     assert {d["doc_id"]: (d["text"], d["n_chars"]) for d in after} == {
         d["doc_id"]: (t, len(t) if n else d["n_chars"]) for d, (t, _, n) in zip(before, want, strict=True)}
     before, after = seen["simhash_dedup"]
