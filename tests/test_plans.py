@@ -75,35 +75,3 @@ def test_split_marts_plan_sort_merge_joins(spark, mart):
     plan = mart_rows(src, mart, strategy="split")._jdf.queryExecution().sparkPlan().toString()
     auto = mart_rows(src, mart)._jdf.queryExecution().sparkPlan().toString()
     assert plan.count("SortMergeJoin") >= 2 and plan.count("BroadcastHashJoin") < max(1, auto.count("BroadcastHashJoin"))
-
-
-def test_ordered_ids_need_no_second_stage(spark, monkeypatch):
-    """No staged table, one window over the buckets; equal to a global row number."""
-    from pyspark.sql import Window
-
-    from martsmith.operators import surrogate
-
-    names = []
-    monkeypatch.setattr(surrogate, "write_stage", lambda df, name, f=surrogate.write_stage: names.append(name) or f(df, name))
-    li = spark.read.parquet(f"{SF0001}/lineitem.parquet")
-    got = surrogate.assign_surrogate_ids(li, ["l_shipdate"], "row_id", 100, "bigint")
-    assert names == []
-    rest = [x for x in li.columns if x != "l_shipdate"]
-    want = li.withColumn("want", F.row_number().over(Window.orderBy("l_shipdate", *rest)) + 100)
-    assert got.join(want, li.columns).where("row_id <> want").count() == 0
-    assert "SinglePartition" not in got._jdf.queryExecution().sparkPlan().toString()
-
-
-@pytest.mark.parametrize("buckets", [1, 3, 50, None])
-def test_ordered_ids_with_ties_nulls_and_a_hot_value(spark, buckets):
-    from martsmith.operators.surrogate import ordered_ids
-
-    rows = [(None if k % 7 == 0 else 5 if k % 3 else k, f"v{k % 11}") for k in range(900)] + [(5, "same")] * 300
-    df = spark.createDataFrame(rows, "k int, v string")
-    for total in (True, False):
-        got = ordered_ids(df, ["k"], "id", 0, "int", total, buckets=buckets).collect()
-        assert sorted(r.id for r in got) == list(range(1, 1201))
-        ks = [r.k for r in sorted(got)]
-        assert ks == sorted(ks, key=lambda x: (x is not None, x or 0))
-    with pytest.raises(ValueError):
-        ordered_ids(df, ["k"], "id", 0, "tinyint")
