@@ -12,7 +12,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from dataclasses import replace
-from functools import reduce
+from functools import reduce, wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +37,7 @@ from martsmith.operators.surrogate import assign_surrogate_ids, stage
 from martsmith.plans.jobs import KYC_JSON_PATHS, MARTS
 from martsmith.plans.runner import load_mart, mart_rows
 from martsmith.schemas import REFERRALS, TargetSpec, spark_type
+from martsmith.session import task_session
 from martsmith.sources.standins import standin_registry
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -540,7 +541,15 @@ def load_rejected_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{run}/rejects")
 
 
-QUERIES: dict[str, Query] = {
+def _sized(fn: Query) -> Query:
+    """``fn`` in a session whose tasks are sized by what they read."""
+    @wraps(fn)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(task_session(spark, sf_dir), sf_dir)
+    return run
+
+
+QUERIES: dict[str, Query] = {name: _sized(fn) for name, fn in {
     "referrals_mart": _mart("referrals"),
     "transactions_mart": _mart("campaign_transactions"),
     "reserved_column": reserved_column,
@@ -594,4 +603,4 @@ QUERIES: dict[str, Query] = {
     "load_collated_key": load_collated_key,
     "distinct_fingerprint": distinct_fingerprint,
     "load_rejected_cells": load_rejected_cells,
-}
+}.items()}

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from martsmith.operators.dedup import first_wins
 from martsmith.operators.surrogate import assign_surrogate_ids
+from martsmith.plans.entries import QUERIES
 from martsmith.plans.jobs import bank_query, campaign_query, campaign_transactions_query, users_query
 from martsmith.sources.standins import standin_registry
 from tests.conftest import SF0001
@@ -75,3 +76,24 @@ def test_split_marts_plan_sort_merge_joins(spark, mart):
     plan = mart_rows(src, mart, strategy="split")._jdf.queryExecution().sparkPlan().toString()
     auto = mart_rows(src, mart)._jdf.queryExecution().sparkPlan().toString()
     assert plan.count("SortMergeJoin") >= 2 and plan.count("BroadcastHashJoin") < max(1, auto.count("BroadcastHashJoin"))
+
+
+def test_tasks_are_sized_by_what_they_read(spark, tmp_path, monkeypatch):
+    """A larger input makes more tasks, not larger ones: scans, shuffles and the caller's settings."""
+    from martsmith import session
+
+    line = spark.range(2000).selectExpr("id AS l_orderkey", "1 AS l_linenumber", "CAST(id % 3 AS DOUBLE) AS l_discount", "CAST(0 AS DOUBLE) AS l_tax")
+    line.repartition(20).write.parquet(f"{tmp_path}/lineitem.parquet")
+    before = dict(spark.conf.getAll)
+    monkeypatch.setattr(session, "TASK_BYTES", 4096)
+    got = QUERIES["nan_to_null"](spark, str(tmp_path))
+    assert got.rdd.getNumPartitions() == 20  # under the session's own settings they are packed by 4 MB per file
+    assert got.count() == 2000
+    assert dict(spark.conf.getAll) == before
+    own = session.task_session(spark, str(tmp_path))
+    read = sum(f.stat().st_size for f in tmp_path.rglob("*") if f.is_file())
+    first = int(own.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum"))
+    assert 8 <= first and abs(first - read * session.ROW_GROWTH / (4 * 4096)) <= 2
+    assert own.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "4096"
+    assert own.conf.get("spark.sql.session.timeZone") == spark.conf.get("spark.sql.session.timeZone")
+    assert session.task_session(own, str(tmp_path)).conf.get("spark.sql.files.maxPartitionBytes") == "4096"
