@@ -13,8 +13,9 @@ names with separators but without both cases have none). Under "random over that
 * serial correlation at lag 1 (two-sided).
 
 Three times the smallest, at most 1, is the candidate's p. A candidate is reported as ``random`` if its p is over ``miss``, the share
-of random strings that may be missed, and is not rejected by Benjamini-Hochberg at ``level`` either: power grows with length, so
-that control is within length classes (each twice as long as the one before), over the candidates of all texts. The ranks come
+of random strings that is missed in any case, and is not rejected by Benjamini-Hochberg at ``level`` either: power grows with length, so
+that control is within length classes (each twice as long as the one before), over the candidates of all texts. It rejects up to ``level``
+times the share of rejected candidates, so ``level`` is above ``miss``: among many names more is asked of a candidate. The ranks come
 from a histogram of p-values (at most 301 bins per class, p rounded up to its bin's edge). A run is reported whole, or else by its
 pieces. Letters of one case can't be told from a long word by so few characters and are tested from ``MIN_LETTERS`` on.
 
@@ -207,8 +208,10 @@ def not_rejected(tested: DataFrame, level: float = 0.01, miss: float = 0.0) -> D
         (F.col("p") > miss) & (F.col("cut").isNull() | (F.col("bin") < F.col("cut")))).drop("band", "bin", "of_band", "cut")
 
 
-def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", level: float = 0.01, miss: float = 0.01) -> DataFrame:
+def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", level: float = 0.05, miss: float = 0.01) -> DataFrame:
     """(doc_id, assign, access, hex, random): one row per row of ``docs``, spans (start, kind, end) of each kind."""
+    if level <= miss:
+        raise ValueError("level must be above miss: no p over miss would be rejected")
     found = staged(scan(docs, id_col, text_col), "secret-scan")
     tested = staged(battery(staged(candidates_of(found), "secret-candidates")), "secret-tests")  # read twice
     kept = not_rejected(tested, level, miss).groupBy(

@@ -157,3 +157,21 @@ def test_battery_equals_the_definitions(spark):
         assert (x.encoding, x.n) == (name, len(v.rstrip("=")))
         assert [x.p_uniform, x.p_runs, x.p_serial] == pytest.approx(ps, abs=2e-5)
         assert x.p == pytest.approx(min(1, 3 * min(ps)), abs=6e-5)
+
+
+def test_false_discovery_control_counts_in_what_is_reported(spark):
+    """A value whose p lies between ``miss`` and ``level`` is reported among random values, and not among many names."""
+    r = random.Random(9)
+    values = [("".join(r.choice(AN) for _ in range(28)),) for _ in range(600)]
+    between = [x.value for x in battery(spark.createDataFrame(values, "value string")).collect() if 0.015 < x.p < 0.03]
+    assert between
+    names = [f"the {''.join(r.choice(['Customer', 'Account', 'Balance', 'Factory', 'Handler']) for _ in range(4))} is" for _ in range(300)]
+    schema = "doc_id long, text string"
+    rows = [(0, f"see {between[0]} here"), *[(k, f"see {v[0]} here") for k, v in enumerate(values[:200], 1)]]
+    got = {x.doc_id: len(x.random) for x in find_secrets(spark.createDataFrame(rows, schema)).collect()}
+    assert got[0] == 1  # one of many random values
+    rows = [(0, f"see {between[0]} here"), *[(k, n) for k, n in enumerate(names, 1)]]
+    got = {x.doc_id: len(x.random) for x in find_secrets(spark.createDataFrame(rows, schema)).collect()}
+    assert got[0] == 0 and sum(got.values()) <= 6
+    with pytest.raises(ValueError, match="above miss"):
+        find_secrets(spark.createDataFrame(rows, schema), level=0.01, miss=0.01)
