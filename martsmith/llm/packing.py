@@ -2,7 +2,7 @@
 
 1. Texts become token ids in Arrow batches. The tokenizer's rules never look across ASCII white
    space, so the words between are encoded once each and looked up after that (a bounded
-   memory of words). An end id closes each document. A document longer than a sequence is cut into
+   memory of words); the new words of many texts are encoded together. An end id closes each document. A document longer than a sequence is cut into
    full pieces and a rest.
 2. The histogram of lengths (at most ``size`` rows) is all that reaches the driver. Lengths are placed
    longest first; those of one length go to the packs with most room, and what fits nowhere opens
@@ -20,6 +20,7 @@ a null id. Only the id and text columns are read. An empty table gives no rows.
 from __future__ import annotations
 
 import os
+import string
 import zlib
 from collections.abc import Iterator
 from heapq import heappop, heappush
@@ -34,10 +35,11 @@ from martsmith.llm.common import staged, table
 
 VOCABULARY = "word_bpe_49k.json"
 WORD_END = "</w>"
-MARKS = b".,!?;:"
+MARKS = string.punctuation.encode()
 LATIN_END = "\u0250"
 MAX_WORDS = 300_000  # words kept in a worker's memory, twice
 MAX_WORD_BYTES = 64
+TOGETHER = 1 << 17  # characters of texts whose new words are encoded together
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
@@ -51,8 +53,8 @@ def _ends_plain(stem: str) -> bool:
 class WordEncoder:
     """Token ids (little-endian unsigned 32 bits) of texts, word by word.
 
-    Words are lower-cased (A-Z) and cut at ASCII white space; final marks after a letter are a token
-    run of their own in any context. Unknown plain words are encoded many at a time: each of
+    Words are lower-cased (A-Z) and cut at ASCII white space; final marks (ASCII punctuation) after a letter or digit are a
+    token run of their own in any context. Unknown plain words are encoded many at a time: each of
     them ends in the only token that has the word-end suffix."""
 
     def __init__(self, path: str, max_words: int = MAX_WORDS) -> None:
@@ -84,12 +86,19 @@ class WordEncoder:
                 known[word] = older[word]
                 return
             queued.add(word)
-            text = word.decode("utf-8")
-            (plain if text.isalpha() and max(text) < LATIN_END and "\u0130" not in text and len(word) <= MAX_WORD_BYTES else other).append(word)
+            if not word.isalpha():  # of ASCII letters, that is
+                text = word.decode("utf-8")
+                latin = text.isalpha() and max(text) < LATIN_END and "\u0130" not in text
+            else:
+                latin = True
+            (plain if latin and len(word) <= MAX_WORD_BYTES else other).append(word)
 
         for word in words:
+            if word in older:
+                known[word] = older[word]
+                continue
             stem = word.rstrip(MARKS)
-            if stem != word and stem and (stem.isascii() and stem[-1:].isalnum() or _ends_plain(stem.decode("utf-8"))):
+            if len(stem) < len(word) and stem and (stem.isascii() and stem[-1:].isalnum() or _ends_plain(stem.decode("utf-8"))):
                 marked.append((word, stem))
                 need(stem)
                 need(word[len(stem):])
@@ -108,14 +117,30 @@ class WordEncoder:
         known.update((word, known[stem] + known[word[len(stem):]]) for word, stem in marked)
 
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
-        for text in texts:
-            words = text.encode("utf-8").lower().split() if text else []  # bytes: ASCII case and space only
-            if new := set(words).difference(self.known):
+        for part in _together(texts):
+            words = [text.encode("utf-8").lower().split() if text else [] for text in part]  # bytes: ASCII case and space only
+            found = set().union(*words)
+            if new := found.difference(self.known):
                 if len(self.known) + len(new) > self.max_words:
                     self.known, self.older = {}, self.known
-                    new = set(words)
+                    new = found
                 self._learn(new)
-            yield b"".join(map(self.known.__getitem__, words))
+            ids_of = self.known.__getitem__
+            for own in words:
+                yield b"".join(map(ids_of, own))
+
+
+def _together(texts: list[str | None]) -> Iterator[list[str | None]]:
+    """``texts`` in runs of ``TOGETHER`` characters, or one text that has more."""
+    first, held = 0, 0
+    for i, text in enumerate(texts):
+        n = len(text or "")
+        if held and held + n > TOGETHER:
+            yield texts[first:i]
+            first, held = i, 0
+        held += n
+    if first < len(texts):
+        yield texts[first:]
 
 
 _ENCODERS: dict[str, WordEncoder] = {}

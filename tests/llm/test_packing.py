@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import string
 import zlib
 from collections import Counter, defaultdict
 
@@ -10,6 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+from martsmith.llm import packing
 from martsmith.llm.packing import VOCABULARY, WordEncoder, op2_packing, pack, shortest_pack_first, slots
 
 from .conftest import SF, edge_texts
@@ -99,3 +101,26 @@ def test_ids_travel_along(edge_docs):
 
 def test_empty(edge_docs):
     assert pack(edge_docs.limit(0)).count() == 0
+
+
+def test_new_words_of_many_texts_are_encoded_together(whole):
+    """One call of the tokenizer for the plain words of many texts, and none for each word with marks at its end."""
+    texts = [f"{a}{b}ing {a}{b}ed&&& ({a}{b}er) {a}{b}est*** {a}{b}or!" for a in "abcdefghijklm" for b in "nopqrstuvwxyz"]
+    own, calls = WordEncoder(public_tokenizers.path(VOCABULARY)), []
+    encode = own._ids
+    own._ids = lambda words: calls.append(len(words)) or encode(words)
+    assert [np.frombuffer(x, "<u4").tolist() for x in own.encode(texts)] == whole(texts)
+    assert len(calls) < 10 and sum(calls) < 2 * len(texts)  # "(aner" is a word of its own; no other is
+
+
+def test_all_ascii_marks_end_words_alone(encoder, whole):
+    texts = [stem + "".join(marks) for stem in ("word", "ab1", "\u00e9t\u00e9", "it's", "<|endoftext", "o'") for marks in
+             [(m,) for m in string.punctuation] + [(m, "'") for m in string.punctuation] + [("'", m) for m in string.punctuation]]
+    assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(texts)] == whole(texts)
+
+
+def test_texts_are_taken_together_up_to_a_size(monkeypatch):
+    monkeypatch.setattr(packing, "TOGETHER", 10)
+    texts = ["12345", None, "12345", "1", "x" * 30, "", "12345678901", "1"]
+    assert list(packing._together(texts)) == [["12345", None, "12345"], ["1"], ["x" * 30], ["", "12345678901"], ["1"]]
+    assert list(packing._together([])) == []
