@@ -12,6 +12,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+from martsmith.llm import subwords
 from martsmith.llm.bitfiles import (
     VOCABULARY,
     TokenFile,
@@ -143,3 +144,35 @@ def test_empty(edge_docs, spark, tmp_path):
     write_token_files(edge_docs.limit(0), path)
     assert read_documents(spark, path).count() == 0
     assert read_range(spark, path, 0, 0).tolist() == []
+
+
+def test_units_are_looked_up_once_in_the_older_memory(tokenizer):
+    """A unit that the older memory has is taken from there, by one look-up; so is the stem of a unit that it lacks."""
+    class Counted(dict):
+        asked: list = []
+
+        def get(self, key, default=None):
+            self.asked.append(key)
+            return super().get(key, default)
+
+        def __contains__(self, key):
+            self.asked.append(key)
+            return super().__contains__(key)
+
+        def __getitem__(self, key):
+            self.asked.append(key)
+            return super().__getitem__(key)
+
+    own = TextEncoder(public_tokenizers.path(VOCABULARY), max_units=10)
+    list(own.encode(["one two three. four five, six seven"]))
+    own._start()
+    own.older = Counted(own.older[0]), *own.older[1:]
+    texts = ["zero two three. five six! eight nine;", "one two ten"]
+    got = own.encode(texts)
+    assert [x.tolist() for x in got] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert len(Counted.asked) == len(set(Counted.asked)) == 9  # two, three., five, six!, eight, nine;, ten; six and nine
+
+
+@given(st.lists(st.binary(max_size=4).map(lambda b: b.decode("latin-1").encode()) | st.sampled_from([b"", b"a", b"a\nb", b"a\n", b"\t", b" a", b"a b", b"\x1fa", b"a\x1f"])))
+def test_joinable_units(units):
+    assert subwords._joinable(units).tolist() == [subwords._joins(u) for u in units]
