@@ -158,20 +158,23 @@ _USER_COLS_2 = [
 ]
 
 
-def users_query(src: SourceRegistry, json_null: str = "sql", dead_joins: bool = True, strategy: str = "auto") -> DataFrame:
+def users_query(src: SourceRegistry, json_null: str = "sql", dead_joins: bool = True, strategy: str = "auto",
+                distinct: Callable[[DataFrame], DataFrame] = distinct_rows) -> DataFrame:
     """JOB-6: the users star - 10 left joins, JSON extraction, DISTINCT on 45 columns.
 
     The KYC documents are parsed once per document (before the fan-out); the
     KYC chain and the user-type bridge are pre-joined on their own, both
     fan-outs go through ``skew_safe_left_join``, and the three unused joins
-    come last, where the optimizer removes them."""
+    come last, where the optimizer removes them. ``distinct`` is the DISTINCT step: a caller that stores the
+    rows anyway may take the form for stored rows. No aggregate is then above the unused joins, so each meets its table's
+    distinct keys, which add no row and let the optimizer drop the join by itself."""
     u = src["accounts.users"].where(c("id").isNotNull()).alias("u")
     cntrs = checked_broadcast(src["accounts.countries"]).alias("cntrs")
     a = src["accounts.aml_stores"].alias("a")
     ic = checked_broadcast(src["accounts.investor_categories"]).alias("ic")
 
-    # bridge: user_types -> types (JN-07 + JN-08)
-    bt = (
+    # bridge: user_types -> types (JN-07 + JN-08); a user's equal types are one, as under the DISTINCT, before they multiply the rows
+    bt = distinct_rows(
         src["accounts.user_types"].alias("b")
         .join(checked_broadcast(src["accounts.types"]).alias("ct"), c("b.type_id") == c("ct.id"), "left")
         .select(c("b.user_id").alias("bt_user_id"), c("ct.type").alias("user_type"))
@@ -206,10 +209,13 @@ def users_query(src: SourceRegistry, json_null: str = "sql", dead_joins: bool =
     )
     if dead_joins:
         # JN-06, JN-11, JN-14: written in the source query, no column used.
+        def key_set(table: str, key: str, of: str) -> DataFrame:
+            return src[table].select(c(key).try_cast(j.schema[of].dataType).alias("id")).distinct()
+
         j = (
-            j.join(src["accounts.cities"].alias("cities"), c("u_country_id") == c("cities.id"), "left")
-            .join(src["accounts.states"].alias("s"), c("u_id") == c("s.id"), "left")
-            .join(src["accounts.user_types"].alias("utp"), c("u_id") == c("utp.user_id"), "left")
+            j.join(key_set("accounts.cities", "id", "u_country_id").alias("cities"), c("u_country_id") == c("cities.id"), "left")
+            .join(key_set("accounts.states", "id", "u_id").alias("s"), c("u_id") == c("s.id"), "left")
+            .join(key_set("accounts.user_types", "user_id", "u_id").alias("utp"), c("u_id") == c("utp.id"), "left")
         )
     q = j.select(
         c("u_id").alias("user_id"),
@@ -228,7 +234,7 @@ def users_query(src: SourceRegistry, json_null: str = "sql", dead_joins: bool =
         c("ic.type").alias("investor_category_type"),
         *[c(n) for n in KYC_JSON_PATHS],
     )
-    return distinct_rows(q)
+    return distinct(q)
 
 
 def wallet_add_funds_query(src: SourceRegistry, strategy: str = "auto") -> DataFrame:
