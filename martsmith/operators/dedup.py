@@ -20,7 +20,7 @@ one anti join, spread over all tasks.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -58,6 +58,19 @@ def distinct_spellings(df: DataFrame, collation: str) -> DataFrame:
 FINGERPRINT = ("__fp1", "__fp2")
 
 
+def fingerprinted(df: DataFrame) -> DataFrame:
+    """``df`` with two 64-bit hashes of each row."""
+    return df.select("*", *[F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in df.columns]).alias(n) for seed, n in enumerate(FINGERPRINT, 1)])
+
+
+def _repeated(marked: DataFrame, max_repeated_bytes: int | None):
+    """(the fingerprints that several rows have, whether they are few enough to be sent to all tasks)"""
+    repeated = marked.groupBy(*FINGERPRINT).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").select(*FINGERPRINT)
+    bound = broadcast_limit(marked, max_repeated_bytes) // 16
+    held = repeated.limit(bound + 1).toArrow()  # 16 bytes a row, within the bound of a broadcast
+    return held, held.num_rows <= bound
+
+
 def distinct_stored_rows(stored: DataFrame, max_repeated_bytes: int | None = None) -> DataFrame:
     """``SELECT DISTINCT`` of wide rows in two levels; ``stored`` must be a scan or a staged table (it is read twice).
 
@@ -69,18 +82,30 @@ def distinct_stored_rows(stored: DataFrame, max_repeated_bytes: int | None = Non
     The repeated fingerprints are sent to all tasks, so they must be few: beyond ``max_repeated_bytes`` (the session's
     broadcast bound) most rows would meet an equal in their own task anyway, and the one-level DISTINCT with its map-side
     combine is taken."""
-    spark = stored.sparkSession
-    marked = stored.select("*", *[F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in stored.columns]).alias(n) for seed, n in enumerate(FINGERPRINT, 1)])
-    repeated = marked.groupBy(*FINGERPRINT).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").select(*FINGERPRINT)
-    bound = broadcast_limit(stored, max_repeated_bytes) // 16
-    held = repeated.limit(bound + 1).toArrow()  # 16 bytes a row, within the bound of a broadcast
-    if held.num_rows > bound:
+    marked = fingerprinted(stored)
+    held, fits = _repeated(marked, max_repeated_bytes)
+    if not fits:
         return stored.distinct()
-    few = F.broadcast(spark.createDataFrame(held))
+    few = F.broadcast(stored.sparkSession.createDataFrame(held))
     again = marked.join(few, list(FINGERPRINT), "left_semi").select(*[F.col(f"`{c}`") for c in stored.columns]).distinct()
     return marked.join(few, list(FINGERPRINT), "left_anti").select(*[F.col(f"`{c}`") for c in stored.columns]).unionByName(again)
 
 
+def distinct_fingerprinted(stored: DataFrame, store: Callable[[DataFrame], DataFrame], max_repeated_bytes: int | None = None) -> DataFrame:
+    """``distinct_stored_rows`` of a stored table of ``fingerprinted`` rows, as a frame of stored rows with their hashes: the equal
+    rows that are left of the repeated fingerprints are stored by ``store``. Whoever reads a few columns of the result, or reads it
+    twice, compares and shuffles nothing; without repeated fingerprints it is ``stored`` itself."""
+    held, fits = _repeated(stored, max_repeated_bytes)
+    if not held.num_rows:
+        return stored
+    if not fits:
+        return store(stored.distinct())
+    few = F.broadcast(stored.sparkSession.createDataFrame(held))
+    names = [F.col(f"`{c}`") for c in stored.columns]
+    again = store(stored.join(few, list(FINGERPRINT), "left_semi").select(*names).distinct())
+    return stored.join(few, list(FINGERPRINT), "left_anti").select(*names).unionByName(again)
+
+
 def key_columns(df: DataFrame, key: Sequence[str], collation: str | None = None) -> list[Column]:
     types = {f.name: f.dataType for f in df.schema.fields}
     out = []

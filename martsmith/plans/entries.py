@@ -26,7 +26,14 @@ from martsmith.functions.scalar import (
     nan_to_null,
 )
 from martsmith.operators.conform import conform, convert
-from martsmith.operators.dedup import distinct_rows, distinct_spellings, distinct_stored_rows, first_wins
+from martsmith.operators.dedup import (
+    distinct_fingerprinted,
+    distinct_rows,
+    distinct_spellings,
+    distinct_stored_rows,
+    fingerprinted,
+    first_wins,
+)
 from martsmith.operators.joins import checked_broadcast, skew_safe_left_join, typed_key
 from martsmith.operators.loadplan import (
     guarded_refresh_content,
@@ -239,6 +246,11 @@ def _distinct_staged(joined: DataFrame) -> DataFrame:
     return distinct_stored_rows(stage(joined, "joined"))
 
 
+def _distinct_marked(joined: DataFrame) -> DataFrame:
+    """The same for a load: the hashes are stored with the rows, so that what is shuffled and what the ids need is read without them."""
+    return distinct_fingerprinted(stage(fingerprinted(joined), "joined"), lambda rows: stage(rows, "repeated"))
+
+
 def append_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SNK-4 + SNK-7: the keyless users mart appended twice; ids continue after the first load."""
     rows = mart_rows(_src(spark, sf_dir), "users", distinct=_distinct_staged)
@@ -373,7 +385,7 @@ def load_nullable_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def load_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SNK-4: the keyless users mart loaded twice."""
-    return _loads(spark, sf_dir, "users", [lambda src: MARTS["users"].query(src, distinct=_distinct_staged)] * 2)[0]
+    return _loads(spark, sf_dir, "users", [lambda src: MARTS["users"].query(src, distinct=_distinct_marked)] * 2)[0]
 
 
 def load_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:

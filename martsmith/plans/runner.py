@@ -17,13 +17,14 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from martsmith.operators.conform import COERCED_COL, REJECTED_COL, conform, rejected_cells
-from martsmith.operators.dedup import first_wins
+from martsmith.operators.dedup import FINGERPRINT, first_wins
 from martsmith.operators.loadplan import anti_existing
 from martsmith.operators.surrogate import (
     STAMP,
     drop_stage,
     in_order,
     max_id,
+    number_in_ranges,
     number_stamped,
     read_stage,
     stamped,
@@ -121,7 +122,10 @@ def load_frame(
     rejects: str | None = None,
 ) -> LoadReport:
     """Load the query-level frame ``query`` into ``target`` following ``spec`` (also the
-    body of each streaming micro-batch)."""
+    body of each streaming micro-batch).
+
+    A ``query`` with the columns of ``FINGERPRINT`` is one of stored rows (``distinct_fingerprinted``): an append in a declared order
+    then stages nothing more."""
     name = name or spec.name
     report = LoadReport(name, spec.mode)
     if run_id is not None:
@@ -132,7 +136,9 @@ def load_frame(
 
     q, arrival = with_arrival(query, spec)
     obs_read = Observation(f"{name}_read")
-    conformed = conform(q, spec, on_bad_cast=on_bad_cast, keep=tuple(arrival), count_coerced=True, tell=rejects is not None)
+    in_ranges = bool(spec.surrogate and arrival and not spec.key and spec.mode == "append" and set(FINGERPRINT) <= set(q.columns))
+    tie = list(FINGERPRINT) if in_ranges else []
+    conformed = conform(q, spec, on_bad_cast=on_bad_cast, keep=(*arrival, *tie), count_coerced=True, tell=rejects is not None)
     conformed = conformed.observe(
         obs_read, F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(COERCED_COL), F.lit(0)).alias("coerced")
     ).drop(COERCED_COL)
@@ -162,14 +168,22 @@ def load_frame(
             rows = anti_existing(rows, target.keys(spark, rows), spec.key)
         elif spec.mode == "insert_ignore" and existing is not None:
             rows = anti_existing(rows, existing, spec.key, spec.key_collation)
-    obs_new = Observation(f"{name}_new")
-    rows = rows.observe(obs_new, F.count(F.lit(1)).alias("rows"))
+    obs_new = None
+    if not in_ranges:  # there every row that is read is new
+        obs_new = Observation(f"{name}_new")
+        rows = rows.observe(obs_new, F.count(F.lit(1)).alias("rows"))
 
     ticket = None  # of a target that shows rows only when they are published
     if not spec.surrogate and spec.mode != "full_refresh":
         # nothing reads the new rows twice: one job computes them and appends
         # (the target keys it reads are listed before the job writes)
         ticket = target.append(rows.drop(*arrival))
+    elif in_ranges:  # the stored rows are read for their places in the order, and once as a whole by the job that appends
+        known = getattr(target, "max_id", None)
+        start = known(spark) if known else max_id(existing, spec.surrogate)
+        id_type = spec.field(spec.surrogate).dataType.simpleString()
+        rows = number_in_ranges(rows, q.select(*arrival, *tie), arrival, tie, spec.surrogate, start, id_type)
+        ticket = target.append(rows.drop(*arrival, *tie))
     else:
         # One evaluation of the whole plan: the new rows are staged in the checkpoint
         # folder (the observations fire exactly once), stamped with their place; the
@@ -196,7 +210,7 @@ def load_frame(
     report.read = int(r.get("rows", 0) or 0)
     report.coerced_cells = int(r.get("coerced", 0) or 0)
     batch_rows = int(_observed(obs_batch).get("rows", 0) or 0) if obs_batch else report.read
-    new_rows = int(_observed(obs_new).get("rows", 0) or 0)
+    new_rows = int(_observed(obs_new).get("rows", 0) or 0) if obs_new else batch_rows
     report.deduped_in_batch = report.read - batch_rows
     report.already_present = batch_rows - new_rows
     report.written = 0 if report.skipped_empty else new_rows

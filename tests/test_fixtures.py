@@ -337,6 +337,60 @@ def test_rows_that_share_a_fingerprint_both_stay(spark, monkeypatch):
     assert dedup.distinct_stored_rows(df).count() == 3
 
 
+def test_distinct_of_fingerprinted_rows(spark):
+    from martsmith.operators.dedup import FINGERPRINT, distinct_fingerprinted, fingerprinted
+
+    rows = [(k % 40 if k % 3 else None, f"v{k % 5}" if k % 4 else None, float(k % 2)) for k in range(500)] + [(1000 + k, "single", 0.0) for k in range(300)]
+    df, stored = spark.createDataFrame(rows, "k int, v string, d double"), []
+
+    def store(part):
+        stored.append(part.count())
+        return part
+
+    collided = df.withColumns({n: F.lit(7).cast("long") for n in FINGERPRINT})  # rows that merely share a fingerprint both stay
+    for marked in (fingerprinted(df), collided):
+        for bound in (None, 0, 16):
+            got = distinct_fingerprinted(marked, store, bound)
+            assert got.columns == marked.columns
+            assert sorted(map(str, got.drop(*FINGERPRINT).collect())) == sorted(map(str, df.distinct().collect()))
+    assert len(stored) == 6
+    single = fingerprinted(df.where("v = 'single'"))
+    assert distinct_fingerprinted(single, store) is single and distinct_fingerprinted(fingerprinted(df.limit(0)), store).count() == 0
+
+
+@pytest.mark.parametrize("advised", ["2k", "64m"])
+def test_ids_in_ranges(spark, tmp_path, advised):
+    """Ids by ranges of stored rows: dense, in the declared order with NULLs first, a hot value spread over ranges."""
+    from datetime import datetime
+
+    from martsmith.operators.surrogate import number_in_ranges
+
+    made = spark.range(6000).select(
+        F.when(F.col("id") % 10 != 0, F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise((F.col("id") * 7919) % 1000)).alias("u"),
+        F.when(F.col("id") % 7 != 0, F.concat(F.lit("s"), (F.col("id") % 13).cast("string"))).alias("s"),
+        F.lit(datetime(2024, 3, 1)).cast("timestamp_ntz").alias("t"), F.xxhash64("id").alias("tie"), F.col("id").alias("n"))
+    made.write.parquet(str(tmp_path / "rows"))
+    own = spark.newSession()
+    own.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", advised)
+    rows = own.read.parquet(str(tmp_path / "rows"))
+    for order in (["u"], ["s", "u", "t"]):
+        numbered = number_in_ranges(rows, rows.select(*order, "tie"), order, ["tie"], "no", 100)
+        numbered.withColumn("part", F.spark_partition_id()).write.mode("overwrite").parquet(str(tmp_path / "out"))
+        got = own.read.parquet(str(tmp_path / "out")).orderBy("no").collect()
+        assert [r.no for r in got] == list(range(101, 6101)) and sorted(r.n for r in got) == list(range(6000))
+        keys = [tuple((r[c] is not None, r[c]) for c in (*order, "tie")) for r in got]
+        assert keys == sorted(keys)
+        if advised == "2k":  # a third of the rows has one value
+            sizes = {r.part: 0 for r in got}
+            for r in got:
+                sizes[r.part] += 1
+            assert len(sizes) > 20 and max(sizes.values()) < 600
+    none = rows.limit(0)
+    assert number_in_ranges(none, none.select("u", "tie"), ["u"], ["tie"], "no").count() == 0
+    with pytest.raises(ValueError, match="do not fit tinyint"):
+        number_in_ranges(rows, rows.select("u", "tie"), ["u"], ["tie"], "no", id_type="tinyint")
+
+
 def test_rejected_cells(spark, tmp_path):
     from martsmith.plans.runner import load_frame
     from martsmith.schemas import TargetSpec

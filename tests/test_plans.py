@@ -151,3 +151,50 @@ def test_append_snapshots_of_repeated_rows(spark, tmp_path, copies):
         part = [r for r in got if r.load_no == load]
         assert [r.user_id for r in part] == sorted(r.user_id for r in part)
         assert sorted(str(r).replace(f"id={r.id}, ", "", 1).replace(f", load_no={load})", ")") for r in part) == mart
+
+
+def test_load_append_stages_wide_rows_once(spark, tmp_path, monkeypatch):
+    """A load of the users mart stores its joined rows and writes them to the target: no staged table between the two."""
+    from martsmith.operators import surrogate
+    from martsmith.plans import entries, runner
+
+    path, staged, write = _users_tables(spark, tmp_path), [], surrogate.write_stage
+
+    def spy(df, what):
+        staged.append(what)
+        return write(df, what)
+
+    for module in (surrogate, runner):
+        monkeypatch.setattr(module, "write_stage", spy)
+    n = QUERIES["users_mart"](spark, path).count()
+    assert entries.load_append(spark, path).count() == 2 * n and staged == ["joined", "joined"]
+
+
+@pytest.mark.parametrize("copies", [1, 3])
+def test_load_append_numbers_and_reports_as_a_plain_load(spark, tmp_path, copies):
+    from martsmith.plans import MARTS, entries, load_mart
+    from martsmith.sinks import ParquetTarget
+    from martsmith.sources.standins import standin_registry
+
+    src, spec = standin_registry(spark, _users_tables(spark, tmp_path / "in", copies)), MARTS["users"].target
+    plain, marked = (ParquetTarget(spec, str(tmp_path / n)) for n in ("plain", "marked"))
+    for _ in range(2):
+        want, got = load_mart(spark, src, "users", plain), load_mart(spark, src, "users", marked, distinct=entries._distinct_marked)
+        assert got == want and got.written > 8
+    rows = marked.read(spark).orderBy("id").collect()
+    n = len(rows) // 2
+    assert [r.id for r in rows] == list(range(1, 2 * n + 1))
+    for part in (rows[:n], rows[n:]):
+        assert [r.user_id for r in part] == sorted(r.user_id for r in part)
+    without_ids = [sorted(map(str, t.read(spark).drop("id").collect())) for t in (marked, plain)]
+    assert without_ids[0] == without_ids[1]
+
+
+def test_loads_run_in_code_that_the_jvm_compiles(spark, tmp_path):
+    """The conversion of 45 columns, counted, is a loop of more than 8000 bytes when its operators are fused."""
+    from martsmith.session import task_session
+
+    own = task_session(spark, str(tmp_path))
+    assert own.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
+    own.conf.set("spark.sql.codegen.hugeMethodLimit", "4000")
+    assert task_session(own, str(tmp_path)).conf.get("spark.sql.codegen.hugeMethodLimit") == "4000"
